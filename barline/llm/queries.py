@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from barline.llm import mixing, packing, rans, sharding
+from barline.llm import ann, embedding_dedup, mixing, ngram_join, packing, rans, sharding
 
 QUERIES = {
     "op1_token_output": rans.query,
+    "op3_nearest_neighbours": ann.query,
     "op4_sharding": sharding.query,
     "op5_packing": packing.query,
+    "op6_embedding_dedup": embedding_dedup.query,
     "op8_mixing": mixing.query,
+    "op9_ngram_join": ngram_join.query,
 }
 
-SQL = {"op8_mixing": mixing.SQL}
+SQL = {"op6_embedding_dedup": embedding_dedup.SQL, "op8_mixing": mixing.SQL}
