@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from barline.llm import ann, embedding_dedup, mixing, ngram_join, packing, rans, sharding
+from barline.llm import ann, embedding_dedup, mixing, ngram_join, packing, rans, sharding, substring_dedup
 
 QUERIES = {
     "op1_token_output": rans.query,
@@ -10,6 +10,7 @@ QUERIES = {
     "op4_sharding": sharding.query,
     "op5_packing": packing.query,
     "op6_embedding_dedup": embedding_dedup.query,
+    "op7_substring_dedup": substring_dedup.query,
     "op8_mixing": mixing.query,
     "op9_ngram_join": ngram_join.query,
 }
