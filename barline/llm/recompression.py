@@ -20,7 +20,8 @@ def symbols(h: np.ndarray, first: np.ndarray, rounds: int) -> tuple[np.ndarray,
     """name, number of words, context start and context end (exclusive), in order of place.
 
     ``h`` are the words' hashes, ``first`` the place of each text's first word, and the
-    number of all words at the end. Contexts do not cross texts.
+    number of all words at the end. A symbol that owes itself to an end of its text has a
+    context that reaches beyond.
     """
     n = len(h)
     if not n:
@@ -33,7 +34,7 @@ def symbols(h: np.ndarray, first: np.ndarray, rounds: int) -> tuple[np.ndarray,
     name = np.where(size > 1, mix(h[at] + mix(size.astype(np.uint64))), h[at])
     head = head[at]  # whether a symbol opens its text
     tail = np.append(head[1:], True)
-    lo, hi = at - ~head, at + size + ~tail  # a run ends where another word stands
+    lo, hi = at - 1, at + size + 1  # a run ends where another word stands, or its text does
     for k in range(rounds):
         right = (mix(name + np.uint64(0x632BE59BD9B4E019 * (k + 1) & (1 << 64) - 1)) >> np.uint64(63)).astype(bool)
         joins = ~right[:-1] & right[1:] & ~head[1:]

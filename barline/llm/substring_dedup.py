@@ -42,7 +42,8 @@ def _texts(b: pa.RecordBatch) -> list[bytes]:
 def _looked_up(h: np.ndarray, first: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Name, context start and end of the symbols that can rule out a run."""
     name, size, lo, hi = symbols(h, first, ROUNDS)
-    use = (size >= LEAST_WORDS) & (hi - lo <= width)
+    within = np.searchsorted(first, lo, "right") == np.searchsorted(first, hi - 1, "right")
+    use = (size >= LEAST_WORDS) & (hi - lo <= width) & within
     return name[use], lo[use], hi[use]
 
 
@@ -75,7 +76,7 @@ def deduplicated(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id", te
         for b in batches:
             h, first = hashed(_texts(b))
             name, lo, _ = _looked_up(h, first, width)
-            cut = np.searchsorted(lo, first)  # contexts stay within their text
+            cut = np.searchsorted(lo, first)
             out = [twice_at_most(name[x:y]).view(np.int64) for x, y in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True)]
             offsets = pa.array(np.cumsum([0, *map(len, out)]), pa.int32())
             yield pa.RecordBatch.from_arrays([b.column("d"), b.column("w"), pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(out) if out else np.zeros(0, np.int64)))], ["d", "w", "names"])
