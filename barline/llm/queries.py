@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from barline.llm import ann, embedding_dedup, mixing, ngram_join, packing, rans, sharding, substring_dedup
+from barline.llm import ann, embedding_dedup, mixing, ngram_join, packing, rans, sharding, substring_dedup, toxicity
 
 QUERIES = {
     "op1_token_output": rans.query,
+    "op2_toxicity": toxicity.query,
     "op3_nearest_neighbours": ann.query,
     "op4_sharding": sharding.query,
     "op5_packing": packing.query,
