@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from barline.llm import ann, embedding_dedup, mixing, ngram_join, packing, rans, sharding, substring_dedup, toxicity
+import corpus_pipeline
+from barline.llm import ann, embedding_dedup, mixing, ngram_join, packing, rans, secrets, sharding, substring_dedup, toxicity
 
 QUERIES = {
     "op1_token_output": rans.query,
@@ -14,6 +15,8 @@ QUERIES = {
     "op7_substring_dedup": substring_dedup.query,
     "op8_mixing": mixing.query,
     "op9_ngram_join": ngram_join.query,
+    "op10_secrets": secrets.query,
+    "pipeline": corpus_pipeline.run,
 }
 
 SQL = {"op6_embedding_dedup": embedding_dedup.SQL, "op8_mixing": mixing.SQL}

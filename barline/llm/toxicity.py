@@ -120,9 +120,6 @@ class Model:
             np.maximum.at(out[lo : lo + 2048], owner, score)
         return out
 
-    def document(self, best: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self.slope * best + self.offset, -50, 50)))
-
 
 def linear_svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, c: float = 50.0, rounds: int = 60) -> tuple[np.ndarray, float]:
     """Weights and bias of a linear SVM with hinge loss, by dual coordinate descent."""
@@ -188,7 +185,7 @@ def _best(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*(b.column(k) for k in keep), pa.array(best, pa.float64())], [*keep, "best"])
 
     schema = ", ".join(f"{k} {fields[k].dataType.simpleString()}" for k in keep) + ", best double"
-    return docs.select(*keep, "text").mapInArrow(run, schema)
+    return docs.select(*keep, *({"text"} - set(keep))).mapInArrow(run, schema)
 
 
 def held_out(doc_id: Column) -> Column:
@@ -260,12 +257,22 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> Model:
     return model
 
 
+def _score(model: Model) -> Column:
+    z = F.greatest(F.least(model.slope * F.col("best") + model.offset, F.lit(50.0)), F.lit(-50.0))
+    return 1 / (1 + F.exp(-z))
+
+
 def scored(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, score: one row per row of ``docs``."""
     common.prepare(docs.sparkSession)
     best = _best(docs.select("doc_id", "text"), model, ["doc_id"])
-    z = F.greatest(F.least(model.slope * F.col("best") + model.offset, F.lit(50.0)), F.lit(-50.0))
-    return best.select("doc_id", (1 / (1 + F.exp(-z))).alias("score"))
+    return best.select("doc_id", _score(model).alias("score"))
+
+
+def clean(docs: DataFrame, model: Model, below: float = 0.5) -> DataFrame:
+    """The rows of ``docs`` that score less than ``below``, with all their columns."""
+    common.prepare(docs.sparkSession)
+    return _best(docs, model, docs.columns).where(_score(model) < below).select(*docs.columns)
 
 
 def query(spark, sf_dir: str) -> DataFrame:
