@@ -21,7 +21,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barline.llm import common
@@ -66,6 +67,54 @@ def candidates(h: np.ndarray, first: np.ndarray, recurring: np.ndarray, width: i
     return np.flatnonzero((np.cumsum(change)[:n] == 0) & (text[:n] == text[width - 1 :]))
 
 
+#: A run of words: two hashes of it, the document, its version and the place.
+RUN = np.dtype([("a", "<u8"), ("c", "<u4"), ("d", "<i8"), ("w", "<i4"), ("start", "<u4")])
+
+
+def repeats(x: np.ndarray) -> np.ndarray:
+    """Whether an equal run stands before: in a lesser document, or earlier in the same."""
+    order = np.lexsort((x["start"], x["w"], x["d"], x["c"], x["a"]))
+    a, c = x["a"][order], x["c"][order]
+    out = np.zeros(len(x), bool)
+    out[order[1:]] = (a[1:] == a[:-1]) & (c[1:] == c[:-1])
+    return out
+
+
+def packed(x: np.ndarray) -> bytes:
+    """Runs column by column, which compresses better than row by row."""
+    return b"".join(x[f].tobytes() for f in RUN.names)
+
+
+def unpacked(raw: bytes) -> np.ndarray:
+    n = len(raw) // RUN.itemsize
+    out, at = np.zeros(n, RUN), 0
+    for f in RUN.names:
+        out[f] = np.frombuffer(raw, RUN[f], n, at)
+        at += n * RUN[f].itemsize
+    return out
+
+
+def dealt(x: np.ndarray, by: np.ndarray, buckets: int) -> list[tuple[int, bytes]]:
+    """(bucket, packed runs): the runs dealt out by the number ``by``."""
+    bucket = by % np.uint64(buckets)
+    order = np.argsort(bucket, kind="stable")
+    edge = np.searchsorted(bucket[order], np.arange(buckets + 1, dtype=np.uint64))
+    return [(k, packed(x[order[edge[k] : edge[k + 1]]])) for k in np.flatnonzero(np.diff(edge)).tolist()]
+
+
+def stretches(x: np.ndarray) -> list[tuple[int, int, bytes]]:
+    """(document, version, packed (first place, number of places) of unbroken stretches) of runs."""
+    if not len(x):
+        return []
+    x = x[np.lexsort((x["start"], x["w"], x["d"]))]
+    other = np.concatenate([[True], (x["d"][1:] != x["d"][:-1]) | (x["w"][1:] != x["w"][:-1])])
+    opens = np.flatnonzero(other | np.concatenate([[True], np.diff(x["start"].astype(np.int64)) > 1]))
+    last = x["start"][np.append(opens[1:] - 1, len(x) - 1)]
+    both = np.stack([x["start"][opens], last - x["start"][opens] + 1], axis=1).astype("<u4")
+    edge = np.append(np.flatnonzero(other[opens]), len(opens)).tolist()
+    return [(int(x["d"][opens[i]]), int(x["w"][opens[i]]), both[i:j].tobytes()) for i, j in zip(edge[:-1], edge[1:], strict=True)]
+
+
 def deduplicated(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_words, n_removed, kept (the kept words, joined by one space): one row per row of ``docs``."""
     common.prepare(docs.sparkSession)
@@ -85,37 +134,41 @@ def deduplicated(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id", te
     often = named.groupBy("name").agg(F.count("*").alias("m")).where("m > 1").select("name")
     recurring = common.stored(named.join(often, "name").groupBy("d", "w").agg(F.collect_set("name").alias("names")))
 
+    buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             h, first = hashed(_texts(b))
             known_names = b.column("names").flatten().to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
             at = candidates(h, first, known_names, width)
+            if not len(at):
+                continue
             text = np.searchsorted(first, at, "right") - 1
-            d, w = b.column("d").to_numpy(), b.column("w").to_numpy().astype(np.int64)
-            place = at - first[text]
-            p = (w[text] << 40) | place
-            a, c = (rolling(x, width)[at] if len(at) else np.zeros(0, np.uint64) for x in (h, mix(h + np.uint64(1))))
-            order = np.lexsort((p, d[text], c, a))
-            repeat = np.zeros(len(at), bool)
-            repeat[order[1:]] = (a[order[1:]] == a[order[:-1]]) & (c[order[1:]] == c[order[:-1]])
-            # known repeats as runs of places
-            r = np.flatnonzero(repeat)
-            opens = np.flatnonzero(np.concatenate([[True], (np.diff(at[r]) != 1) | (np.diff(text[r]) != 0)])) if len(r) else r
-            length = np.diff(opens, append=len(r))
-            new = np.flatnonzero(~repeat)
-            r = r[opens]
-            both = np.concatenate([new, r])
-            key = np.concatenate([a[new], mix(mix(d[text[r]].astype(np.uint64)) ^ p[r].astype(np.uint64))])
-            check = np.concatenate([c[new].astype(np.uint32).view(np.int32), np.zeros(len(r), np.int32)])
-            size = np.concatenate([np.zeros(len(new), np.int32), length.astype(np.int32)])
-            yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(check), pa.array(d[text[both]]), pa.array(p[both]), pa.array(size)], ["a", "c", "d", "p", "known"])
-
-    found = docs.join(recurring, ["d", "w"], "left").select("d", "w", "text", "names").mapInArrow(places, "a long, c int, d long, p long, known int")
-    place = F.struct("d", "p")
-    seen = found.withColumn("least", F.min(F.when(F.col("known") == 0, place)).over(Window.partitionBy("a", "c")))
-    later = seen.where((F.col("known") > 0) | (place > F.col("least")))
-    place_of = F.struct(F.col("p").bitwiseAND((1 << 40) - 1).alias("start"), F.greatest("known", F.lit(1)).alias("runs"))
-    marked = later.select("d", F.shiftright("p", 40).cast("int").alias("w"), place_of.alias("x")).groupBy("d", "w").agg(F.collect_list("x").alias("x"))
+            d, w = b.column("d").to_numpy(), b.column("w").to_numpy()
+            x = np.zeros(len(at), RUN)
+            x["a"], x["c"] = rolling(h, width)[at], rolling(mix(h + np.uint64(1)), width)[at].astype(np.uint32)
+            x["d"], x["w"], x["start"] = d[text], w[text], at - first[text]
+            later = repeats(x)
+            new = dealt(x[~later], x["a"][~later], buckets)
+            known = dealt(x[later], mix(x["d"][later].astype(np.uint64)), buckets)
+            rows = [(k, v, False) for k, v in new] + [(k, v, True) for k, v in known]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int32(), pa.binary(), pa.bool_()), strict=True)], ["bucket", "data", "known"])
+
+    def verify(t: pa.Table) -> pa.Table:
+        told = t.column("known")
+        known, new = (np.concatenate([np.zeros(0, RUN), *(unpacked(s) for s in t.filter(k).column("data").to_pylist())]) for k in (told, pc.invert(told)))
+        later = np.concatenate([known, new[repeats(new)]])
+        rows = dealt(later, mix(later["d"].astype(np.uint64)), buckets)
+        return pa.table([pa.array([k for k, _ in rows], pa.int32()), pa.array([v for _, v in rows], pa.binary())], ["text_bucket", "data"])
+
+    def gather(t: pa.Table) -> pa.Table:
+        rows = stretches(np.concatenate([np.zeros(0, RUN), *map(unpacked, t.column("data").to_pylist())]))
+        cols = zip(*rows, strict=True) if rows else ([], [], [])
+        return pa.table([pa.array(c, k) for c, k in zip(cols, (pa.int64(), pa.int32(), pa.binary()), strict=True)], ["d", "w", "x"])
+
+    found = docs.join(recurring, ["d", "w"], "left").select("d", "w", "text", "names").mapInArrow(places, "bucket int, data binary, known boolean")
+    later = found.groupBy("bucket").applyInArrow(verify, "text_bucket int, data binary")
+    marked = later.groupBy("text_bucket").applyInArrow(gather, "d long, w int, x binary")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -125,9 +178,9 @@ def deduplicated(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id", te
                 words = t.split()
                 gone = 0
                 if m.is_valid:
-                    start, many = (m.values.field(k).to_numpy() for k in ("start", "runs"))
+                    start, many = np.frombuffer(m.as_py(), "<u4").astype(np.int64).reshape(-1, 2).T
                     n = len(words) + 1
-                    covered = np.cumsum(np.bincount(start, minlength=n) - np.bincount(start + many + width - 1, minlength=n))[:-1] > 0
+                    covered = np.cumsum(np.bincount(start, minlength=n) - np.bincount(start + many - 1 + width, minlength=n))[:-1] > 0
                     gone = int(covered.sum())
                     words_kept = [words[i] for i in np.flatnonzero(~covered).tolist()]
                 else:
