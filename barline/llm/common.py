@@ -47,6 +47,15 @@ def stored(df: DataFrame, path: str | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Documents whose keys one task gathers, at most as a mean.
+BUCKET_DOCS = 4000
+
+
+def buckets(spark: SparkSession, documents: int) -> int:
+    """Buckets for keys of so many documents: at least the session's shuffle partitions."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), documents // BUCKET_DOCS)
+
+
 def word_count(text: Column) -> Column:
     """Number of words; null counts as no text."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

@@ -134,7 +134,7 @@ def deduplicated(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id", te
     often = named.groupBy("name").agg(F.count("*").alias("m")).where("m > 1").select("name")
     recurring = common.stored(named.join(often, "name").groupBy("d", "w").agg(F.collect_set("name").alias("names")))
 
-    buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    buckets = common.buckets(docs.sparkSession, docs.count())
 
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -150,7 +150,9 @@ def deduplicated(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id", te
             x["d"], x["w"], x["start"] = d[text], w[text], at - first[text]
             later = repeats(x)
             new = dealt(x[~later], x["a"][~later], buckets)
-            known = dealt(x[later], mix(x["d"][later].astype(np.uint64)), buckets)
+            old = x[later]
+            old["a"] = old["c"] = 0  # hashes have done their work
+            known = dealt(old, mix(old["d"].astype(np.uint64)), buckets)
             rows = [(k, v, False) for k, v in new] + [(k, v, True) for k, v in known]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int32(), pa.binary(), pa.bool_()), strict=True)], ["bucket", "data", "known"])
 
@@ -158,6 +160,8 @@ def deduplicated(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id", te
         told = t.column("known")
         known, new = (np.concatenate([np.zeros(0, RUN), *(unpacked(s) for s in t.filter(k).column("data").to_pylist())]) for k in (told, pc.invert(told)))
         later = np.concatenate([known, new[repeats(new)]])
+        later = later[np.lexsort((later["start"], later["w"], later["d"]))]
+        later["a"] = later["c"] = 0  # hashes have done their work
         rows = dealt(later, mix(later["d"].astype(np.uint64)), buckets)
         return pa.table([pa.array([k for k, _ in rows], pa.int32()), pa.array([v for _, v in rows], pa.binary())], ["text_bucket", "data"])
 
