@@ -10,7 +10,8 @@ Training is by instances within labelled texts: words of clean ones are clean, a
 toxic one has a witness, found by covering the toxic texts with words that clean ones
 lack. Clean words that score highest are added and the SVM is fitted
 again. A document scores as its most toxic unit (a word, its letters alone, or a run of
-single characters joined), through a logistic curve fitted on the sample.
+single characters joined), through a logistic curve fitted on the sample's toxic
+texts and on a third of its clean ones, whose words the SVM does not learn from.
 
 The sample is bounded: SAMPLE_TOXIC and SAMPLE_CLEAN labelled documents, least hash
 first. Scoring reads every whole text. The kernel of a word with all landmarks is linear
@@ -200,7 +201,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> Model:
     by_hash = [F.xxhash64("doc_id"), "doc_id"]
     sample = known.where("y = 1").orderBy(*by_hash).limit(SAMPLE_TOXIC).unionByName(known.where("y = 0").orderBy(*by_hash).limit(SAMPLE_CLEAN))
     sample = common.stored(sample.dropDuplicates(["doc_id"]))
-    rows = common.stored(docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id"))  # the sample has a fixed bound
+    apart = (F.col("y") == 0) & (F.pmod(F.xxhash64("doc_id", F.lit("apart")), F.lit(3)) == 0)
+    rows = common.stored(docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").withColumn("apart", apart.cast("int")))  # the sample has a fixed bound
     share = {r["y"]: r["n"] for r in rows.groupBy("y").agg(F.count("*").alias("n")).collect()}
     if not share.get(0) or not share.get(1):
         p = float(bool(share.get(1)))
@@ -210,17 +212,17 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> Model:
         for b in batches:
             cut = [sorted(units(t)) if t else [] for t in b.column("text").to_pylist()]
             at = pa.array(np.repeat(np.arange(len(cut)), list(map(len, cut))))
-            yield pa.RecordBatch.from_arrays([b.column("doc_id").take(at), b.column("y").take(at), pa.array([w for u in cut for w in u], pa.string())], ["doc_id", "y", "word"])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id").take(at), b.column("y").take(at), b.column("apart").take(at), pa.array([w for u in cut for w in u], pa.string())], ["doc_id", "y", "apart", "word"])
 
-    exploded = rows.select("doc_id", "y", "text").mapInArrow(explode, "doc_id long, y int, word string")
-    words = common.stored(exploded.groupBy("word").agg(F.sum("y").alias("toxic"), F.sum(1 - F.col("y")).alias("clean"), F.collect_list(F.when(F.col("y") == 1, F.col("doc_id"))).alias("docs")))  # a list is as long as the sample at most
+    exploded = rows.select("doc_id", "y", "apart", "text").mapInArrow(explode, "doc_id long, y int, apart int, word string")
+    words = common.stored(exploded.groupBy("word").agg(F.sum("y").alias("toxic"), F.sum(1 - F.col("y")).alias("clean"), F.sum(1 - F.col("y") - F.col("apart")).alias("mined"), F.collect_list(F.when(F.col("y") == 1, F.col("doc_id"))).alias("docs")))  # a list is as long as the sample at most
     rate = share[1] / share[0]
     found = words.where((F.col("toxic") >= 3) & (F.col("toxic") > 10 * rate * F.col("clean"))).orderBy(F.desc("toxic"), "word").limit(4000).select("word", "docs").collect()
     witnesses = _witnesses([(r["word"], r["docs"]) for r in found])
     if not witnesses:
         return Model(none, 0.0, 0.0, float(np.log(rate)))
     names = {w for w, _ in witnesses}
-    clean = words.where("clean > 0 and toxic <= 10 * clean")
+    clean = words.where("mined > 0 and toxic <= 10 * clean")
     common_words = [r["word"] for r in clean.orderBy(F.desc("clean"), "word").limit(CLEAN_WORDS // 2).collect()]
     other = [r["word"] for r in clean.orderBy(F.xxhash64("word"), "word").limit(CLEAN_WORDS // 2).collect()]
     negative = sorted({*common_words, *other} - names)
@@ -249,10 +251,12 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> Model:
         hard = clean.select("word").mapInArrow(score, "word string, s double").orderBy(F.desc("s"), "word").limit(HARD_WORDS)
         negative = sorted({*negative, *(r["word"] for r in hard.collect())} - names)
         model = fitted(negative)
-    best = _best(rows, model, ["doc_id", "y"]).select("y", "best").toPandas()  # the sample's rows
+    best = _best(rows, model, ["doc_id", "y", "apart"]).select("y", "apart", "best").toPandas()  # the sample's rows
+    if best["apart"].any():
+        best = best[(best["y"] == 1) | (best["apart"] == 1)]  # clean texts whose words the SVM has not seen
     every = {r["y"]: r["n"] for r in known.groupBy("y").agg(F.count("*").alias("n")).collect()}
     y = best["y"].to_numpy()
-    weight = np.where(y == 1, every[1] / share[1], every[0] / share[0])  # both kinds as often as among all labels
+    weight = np.where(y == 1, every[1] / share[1], every[0] / max(1, (y == 0).sum()))  # both kinds as often as among all labels
     model.slope, model.offset = logistic(best["best"].to_numpy(), y.astype(float), weight)
     return model
 

@@ -1,0 +1,202 @@
+"""Each operator against a plain version of itself, on small and awkward documents."""
+
+import hashlib
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+
+from barline.llm import ann, embedding_dedup, mixing, ngram_join, packing, rans, secrets, sharding, substring_dedup, toxicity
+from barline.llm.tokens import encoder
+
+LINE = " ".join(f"w{i}" for i in range(40))
+TEXTS = [None, "", "  \n", "one", "two words", LINE, LINE, LINE + " tail", "x " * 60, LINE + " mid " + LINE, "Ünï cödé  the. and, don't\tstop " * 30, "z" * 5000 + " end", LINE.upper()]
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, bucket int, known int, k string"
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    rows = [(i, t, "en", None if i == 3 else f"s{i % 3}", len(t or ""), 1, 2, "x") for i, t in enumerate(TEXTS)]
+    return spark.createDataFrame(rows, SCHEMA).repartition(3)
+
+
+@pytest.fixture(scope="module")
+def empty(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+def ids_of(name, end):
+    t = encoder(public_tokenizers.path(name)).tokenizer
+    return [np.array([*t.encode(x or "", add_special_tokens=False).ids, end], "<u4") for x in TEXTS]
+
+
+def test_pieces_encode_like_whole_texts():
+    for name in ("word_bpe_49k.json", "byte_bpe_50k.json"):
+        e = encoder(public_tokenizers.path(name))
+        for x in [*TEXTS, "a   b", "x\n \n y  ", "<|endoftext|> a<|startoftext|>", "é ́x ΣΑΣ.", "the.and|so"]:
+            assert e.encode(x) == np.array(e.tokenizer.encode(x or "", add_special_tokens=False).ids, "<u4").tobytes()
+
+
+def test_token_file(spark, docs, empty, tmp_path):
+    for df, n in ((docs, len(TEXTS)), (empty, 0)):
+        path = f"file://{tmp_path}/{n}"
+        rans.write_token_file(df, public_tokenizers.path("word_bpe_49k.json"), path, 1)
+        rows = rans.read_token_file(spark, path).orderBy("doc_id").collect()
+        assert len(rows) == n
+    at = 0
+    for r, ids in zip(sorted(rans.read_token_file(spark, f"file://{tmp_path}/{len(TEXTS)}").collect()), ids_of("word_bpe_49k.json", 1), strict=True):
+        assert (r.start, r.n_tokens, r.ids_crc32) == (at, len(ids), zlib.crc32(ids.tobytes()))
+        at += len(ids)
+
+
+def test_rans_segments_and_damage():
+    ids = np.random.default_rng(1).zipf(1.3, 300_000) % 5000
+    coder = rans.Coder(rans.frequency_table(np.bincount(ids, minlength=5000)))
+    at, states, crcs, words = coder.encode(ids, 1000)
+    assert len(at) > 3 and (coder.decode(len(ids), 1000, at, states, crcs, words) == ids).all()
+    step = rans.CHECK_STEPS * 1000
+    assert (coder.segment(2, len(ids), 1000, at, states, crcs, words) == ids[2 * step : 3 * step]).all()
+    with pytest.raises(ValueError, match="damaged"):
+        coder.decode(len(ids), 1000, at, states, crcs, words[:-1] + bytes([words[-1] ^ 1]))
+
+
+def test_packing(docs, empty):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    assert packing.packed(empty, path, 0).count() == 0
+    rows = packing.packed(docs, path, 0).toPandas()
+    for d, ids in enumerate(ids_of("byte_bpe_50k.json", 0)):
+        at = 0
+        for r in rows[rows.doc_id == d].sort_values("start").itertuples():
+            assert r.start == at and r.ids_crc32 == zlib.crc32(ids[at : at + r.length].tobytes())
+            at += r.length
+        assert at == len(ids)
+    for _, g in rows.groupby("sequence_id"):
+        g = g.sort_values("offset")
+        assert g.length.sum() <= packing.LENGTH and (g.offset.to_numpy() == g.length.cumsum().shift(fill_value=0)).all()
+
+
+def test_sharding(docs, empty):
+    trees = sharding.even_tree(40), sharding.even_tree(41)
+    assert sharding.sharded(empty, *trees).count() == 0
+    rows = sharding.sharded(docs.unionByName(docs), *trees).toPandas()
+    assert len(rows) == 2 * len(TEXTS) and (rows.groupby("doc_id").shard.nunique() == 1).all()
+    assert ((rows.shard == rows.grown_shard) | (rows.grown_shard == 40)).all()
+    for _, g in rows.groupby("shard"):
+        assert sorted(g.slot) == list(range(len(g)))
+
+
+def test_sharding_moves_within_changed_subtrees(spark):
+    ids = spark.range(3000).select(F.col("id").alias("doc_id"), F.lit("t").alias("text"))
+    tree, heavier = sharding.even_tree(40), sharding.even_tree(40)
+    heavier[1][2][3] = (heavier[1][2][3][0], 3.0)
+    rows = sharding.sharded(ids, tree, heavier).toPandas()
+    moved = rows[rows.shard != rows.grown_shard]
+    assert len(moved) and (moved.grown_shard // 20 == 1).all()
+
+
+def test_mixing(docs, empty):
+    assert mixing.mixed(empty)[0].count() == 0
+    rows = mixing.mixed(docs, block_words=8)[0].toPandas()
+    assert len(rows) == len(TEXTS) and (rows.taken <= 3 * rows["size"]).all()
+    per = rows.groupby(["source_size", "target"]).taken.sum().reset_index()
+    assert ((per.taken - per.target).abs() <= 0.5).all()
+
+
+def brute_groups(percent, width):
+    def shingles(t):
+        w = "".join(c.lower() if "A" <= c <= "Z" else c for c in t or "").encode().split()
+        return {tuple(w[i : i + width]) for i in range(len(w) - width + 1)} or ({tuple(w)} if w else set())
+
+    sets = [shingles(t) for t in TEXTS]
+    label = list(range(len(sets)))
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if a and b and 100 * len(a & b) >= percent * len(a | b):
+                x, y = label[i], label[j]
+                label = [min(x, y) if v in (x, y) else v for v in label]
+    return [(len(s), c) for s, c in zip(sets, label, strict=True)]
+
+
+@pytest.mark.parametrize(("percent", "width"), [(90, 3), (80, 5), (50, 1)])
+def test_ngram_join(docs, empty, percent, width):
+    assert ngram_join.joined(empty, width, percent).count() == 0
+    got = ngram_join.joined(docs, width, percent).orderBy("doc_id").collect()
+    assert [(r.n_shingles, r.component_id) for r in got] == brute_groups(percent, width)
+
+
+def test_substring_dedup(docs, empty):
+    assert substring_dedup.deduplicated(empty).count() == 0
+    seen, got = set(), {r.doc_id: r for r in substring_dedup.deduplicated(docs).collect()}
+    for d, t in enumerate(TEXTS):
+        w = (t or "").encode().split()
+        gone = [False] * len(w)
+        for i in range(len(w) - 19):
+            key = tuple(w[i : i + 20])
+            if key in seen:
+                gone[i : i + 20] = [True] * 20
+            seen.add(key)
+        kept = b" ".join(x for x, g in zip(w, gone, strict=True) if not g)
+        assert (got[d].n_words, got[d].n_removed, hashlib.sha256(got[d].kept.encode()).digest()) == (len(w), sum(gone), hashlib.sha256(kept).digest())
+
+
+@pytest.fixture(scope="module")
+def vectors(spark):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(400, 16))
+    x[50:60], x[60:90], x[90] = x[0], x[1] + rng.normal(size=(30, 16)) * 0.1, x[2] * 4
+    rows = [(i, v.tolist()) for i, v in enumerate(x)] + [(400, None), (401, [0.0] * 16), (402, [float("nan")] * 16), (403, [None] * 16), (404, [])]
+    return x, spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(4)
+
+
+def test_embedding_dedup(vectors, monkeypatch):
+    x, df = vectors
+    monkeypatch.setattr(embedding_dedup, "BLOCK", 100)
+    monkeypatch.setattr(embedding_dedup, "TILE", 32)
+    u = x.astype(np.float32).astype(float)
+    u /= np.linalg.norm(u, axis=1, keepdims=True)
+    near = (u @ u.T) >= 0.9
+    got = {r.vec_id: r for r in embedding_dedup.linked(df).collect()}
+    assert len(got) == 405 and all(got[i].n_links == near[i].sum() - 1 for i in range(400))
+    label = np.arange(400)
+    for _ in range(20):
+        label = np.array([label[near[i]].min() for i in range(400)])
+    assert [got[i].component_id for i in range(400)] == label.tolist()
+    assert all(got[i].n_links == 0 and got[i].kept for i in range(400, 405))
+    assert embedding_dedup.linked(df.where("vec_id < 0")).count() == 0
+
+
+def test_nearest(vectors):
+    x, df = vectors
+    rows = ann.nearest(df, lambda v: v % 10 == 0).toPandas()
+    u = x.astype(np.float32).astype(float)
+    u /= np.linalg.norm(u, axis=1, keepdims=True)
+    hits = 0
+    for q, g in rows.groupby("query_id"):
+        s = u @ u[q]
+        s[q] = -2
+        hits += len(set(np.lexsort((np.arange(400), -np.round(s, 12)))[:5]) & set(g.vec_id))
+        assert g["rank"].tolist() == [1, 2, 3, 4, 5]
+    assert hits >= 0.9 * 5 * 40
+    assert ann.nearest(df.where("vec_id < 0"), lambda v: v >= 0).count() == 0
+    assert ann.nearest(df.where("vec_id in (1, 2)"), lambda v: v >= 0).count() == 2
+
+
+def test_toxicity(spark, docs, empty):
+    read = lambda t: spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet")
+    model = toxicity.fit(read("documents"), read("labels"))
+    got = toxicity.scored(read("documents"), model).join(read("labels"), "doc_id").where(toxicity.held_out(F.col("doc_id"))).toPandas()
+    assert ((got.score >= 0.5) == (got.toxic == 1)).mean() > 0.97
+    words = model.raw(["idiot", "i.d.i.o.t", "idioot", "window"])
+    assert words[:3].min() > words[3] + 1
+    assert toxicity.scored(docs, model).where("score < 0.5").count() == len(TEXTS) and toxicity.scored(empty, model).count() == 0
+    assert toxicity.scored(docs, toxicity.fit(docs, read("labels").where("toxic = 0"))).where("score > 0.01").count() == 0
+
+
+def test_secrets(spark, docs, empty):
+    assert secrets.scanned(empty).count() == 0 and secrets.redacted(docs).exceptAll(docs).count() == 0
+    found = secrets.scanned(spark.read.parquet("/root/testdata/sf0.01/documents.parquet")).toPandas()
+    assert found[found.value.str.match("^AKIA[0-9A-Z]{16}$")].is_secret.all() and not found[found.value.str.contains("@")].is_secret.any()
+    out = secrets.redacted(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))
+    assert out.count() == 1000 and out.where("text rlike 'AKIA[0-9A-Z]{16}'").count() == 0
