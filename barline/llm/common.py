@@ -15,6 +15,10 @@ WORD = r"[^\x20\x09-\x0D]+"
 BATCH_ROWS = 512
 
 
+#: Frees a query's shuffle files as soon as it ends, not when the driver's heap is next swept.
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -40,10 +44,21 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def stored(df: DataFrame, path: str | None = None) -> DataFrame:
-    """Writes ``df`` as Parquet in the shared folder and reads it back: lineage ends here."""
+    """Writes ``df`` as Parquet in the shared folder and reads it back: lineage ends here.
+
+    What was shuffled to make it is freed once it is written.
+    """
     spark = df.sparkSession
     path = path or shared_dir(spark)
-    df.write.mode("overwrite").parquet(path)
+    before = spark.conf.get(FREE_SHUFFLES, None)
+    spark.conf.set(FREE_SHUFFLES, "true")
+    try:
+        df.write.mode("overwrite").parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(FREE_SHUFFLES)
+        else:
+            spark.conf.set(FREE_SHUFFLES, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
