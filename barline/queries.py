@@ -58,11 +58,51 @@ def _streamed(spark: SparkSession, rows: DataFrame) -> DataFrame:
 
 
 def klines_stream(spark: SparkSession, sf: str) -> DataFrame:
-    return _streamed(spark, streams.klines_stream(T.json_trades(_messages(spark, sf, True))))
+    return _start_us(_streamed(spark, streams.klines_stream(T.json_trades(_messages(spark, sf, True)))))
 
 
 def indicator_stream(spark: SparkSession, sf: str) -> DataFrame:
-    return _streamed(spark, streams.indicator_stream(streams.klines_stream(T.json_trades(_messages(spark, sf, True)), "60 minutes")))
+    return _start_us(_streamed(spark, streams.indicator_stream(streams.klines_stream(T.json_trades(_messages(spark, sf, True)), "60 minutes"))))
+
+
+def _start_us(rows: DataFrame) -> DataFrame:
+    """Window bounds as microseconds."""
+    return rows.withColumns({c: F.unix_micros(c) for c in ("window_start", "window_end")})
+
+
+def prices_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """Events as price messages, decoded by a stream."""
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    events = spark.readStream.schema(spark.read.parquet(f"{sf}/events.parquet").schema).parquet(f"{sf}/events.parque[t]")
+    value = F.to_json(F.struct(F.col("event_type").alias("ticker"), F.col("value").alias("price"), F.col("ts").cast("timestamp").alias("event_time")), {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"})
+    return _streamed(spark, T.prices(events.select(value.alias("value")))).select("ticker", "price", F.unix_micros("event_time").alias("event_time"))
+
+
+def multi_sink(spark: SparkSession, sf: str) -> DataFrame:
+    """Closed 15-minute bars of a stream, written by the serving sink and read back."""
+    bars, path = streams.klines_stream(T.json_trades(_messages(spark, sf, True))), storage.scratch(spark)
+    streams.multi_sink(bars, f"{path}/checkpoint", [lambda rows, n: streams.serving_write(rows, n, f"{path}/out")], availableNow=True).awaitTermination()
+    return _start_us(spark.read.schema(bars.schema).parquet(f"{path}/out/batch=*")).select("symbol", "window_start", "close_price", "volume")
+
+
+def csv_trades_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """Trades written as files of the feed and scanned again."""
+    path = storage.scratch(spark)
+    _trades(spark, sf).drop("symbol", "landing_date").write.csv(path)
+    return T.csv_trades_scan(spark, path)
+
+
+def landing_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """Trades landed and read back."""
+    path = storage.scratch(spark)
+    T.landing_write(_trades(spark, sf), path)
+    return T.landing_scan(spark, path).select("agg_trade_id", "symbol", "price", "timestamp")
+
+
+def keyed_json(spark: SparkSession, sf: str) -> DataFrame:
+    """Bars as keyed messages; their fields are read again."""
+    rows = streams.keyed_json(_bars(spark, sf).select("symbol", "group_id", "close_price"))
+    return rows.select("key", *(F.get_json_object("value", f"$.{c}").cast(t).alias(c) for c, t in (("group_id", "long"), ("close_price", "double"))))
 
 
 def prev_day_state(spark: SparkSession, sf: str) -> DataFrame:
@@ -90,11 +130,17 @@ QUERIES = {
     "rsi": lambda s, d: _full(s, d).select("symbol", "group_id", "rsi6", "rsi_ag", "rsi_al"),
     "macd_daily": _daily("macd"),
     "rsi_daily": _daily("rsi6"),
+    "pattern_one_daily": _daily("pattern_one"),
     "pattern_two_daily": _daily("pattern_two"),
+    "pattern_three_daily": _daily("pattern_three"),
+    "run_day": lambda s, d: jobs.run_day(_trades(s, d), "2024-01-05")["macd"].select("symbol", "group_id", "close_price", "macd", "signal", "histogram"),
     "lag_prev": lambda s, d: P.lags(_bars(s, d)).select("symbol", "group_id", "o1", "c1", "h1", "l1", "o2", "c2"),
     "pattern_one": lambda s, d: _marked(s, d).where("pattern_one is not null").select("symbol", "group_id", F.col("pattern_one").alias("pattern")),
     "pattern_two": lambda s, d: _marked(s, d).where("pattern_two is not null").select("symbol", "group_id", F.col("pattern_two").alias("pattern")),
     "pattern_three": lambda s, d: _marked(s, d).where("pattern_three is not null").select("symbol", "group_id", F.col("pattern_three").alias("pattern")),
+    "trend": lambda s, d: _marked(s, d).select("symbol", "group_id", "trend"),
+    "pattern_priority": lambda s, d: _marked(s, d).select("symbol", "group_id", "pattern_one", "pattern_two", "pattern_three", "pattern"),
+    "pattern_only": lambda s, d: S.pattern_only(_marked(s, d)).select("symbol", "group_id", "pattern"),
     "indicator_set": lambda s, d: _marked(s, d).select("symbol", "group_id", *OUTPUTS, "trend", "pattern"),
     "pattern_history": lambda s, d: S.pattern_history(_marked(s, d)).select("symbol", "group_id", "trend", "pattern"),
     "latest_patterns": lambda s, d: S.latest_patterns(_marked(s, d)).select("symbol", "group_id", "trend", "pattern"),
@@ -106,6 +152,13 @@ QUERIES = {
     "sink_cast": lambda s, d: sink_cast(_full(s, d)).select("symbol", "group_id", "rsi6", "macd"),
     "trades_to_messages": lambda s, d: _messages(s, d, False).select("key", F.get_json_object("value", "$.agg_trade_id").cast("long").alias("agg_trade_id"), F.get_json_object("value", "$.price").cast("double").alias("price")),
     "json_trades": lambda s, d: T.json_trades(_messages(s, d, False)).select("agg_trade_id", "symbol", "price", "quantity", "ts_int", "is_buyer_maker"),
+    "event_time": lambda s, d: T.json_trades(_messages(s, d, False)).select("agg_trade_id", F.unix_micros("ts").alias("ts_us")),
+    "csv_trades_scan": csv_trades_scan,
+    "landing_scan": landing_scan,
+    "partition_scan": lambda s, d: storage.partition_scan(_trades(s, d), "view", "2024-01-03").select("agg_trade_id", "price", "timestamp"),
+    "keyed_json_sink": keyed_json,
+    "prices_stream": prices_stream,
+    "multi_sink": multi_sink,
     "avg_by_symbol": lambda s, d: streams.avg_by_symbol(_trades(s, d)),
     "upsert_partitions": table_round_trip,
     "klines_stream": klines_stream,
@@ -156,6 +209,57 @@ m AS (SELECT *, CASE WHEN {_UP} THEN 'uptrend' WHEN {_DOWN} THEN 'downtrend' END
 p AS (SELECT *, CASE WHEN low3 AND star THEN 'morning star' WHEN high3 AND star THEN 'evening star' WHEN low3 AND doji THEN 'morning doji star' WHEN high3 AND doji THEN 'evening doji star' END AS pattern_three FROM m),
 q AS (SELECT *, coalesce(pattern_three, pattern_two, pattern_one) AS pattern FROM p)"""
 )
+
+
+def _closed(width: int) -> str:
+    """Bars as a stream makes them, of windows that the watermark has passed: times in milliseconds, prices to six places."""
+    ms = "ms AS (SELECT id, price, quantity, us, us // 1000 * 1000 AS tm, symbol FROM t WHERE price IS NOT NULL AND quantity IS NOT NULL)"
+    return f"""{ms}, b AS (SELECT * FROM (SELECT tm // {width * 1000000} AS group_id, make_timestamp(tm // {width * 1000000} * {width * 1000000})::DATE AS landing_date, symbol,
+  round(arg_min(price, (us, id)), 6) AS open_price, round(max(price), 6) AS high_price, round(min(price), 6) AS low_price, round(arg_max(price, (us, id)), 6) AS close_price,
+  round(sum(quantity), 8) AS volume FROM ms GROUP BY ALL) WHERE (group_id + 1) * {width * 1000000} <= (SELECT max(tm) - 5000000 FROM ms))"""
+
+
+def _window(width: int) -> str:
+    return f"group_id * {width * 1000000} AS window_start, (group_id + 1) * {width * 1000000} AS window_end, symbol, landing_date, open_price, high_price, low_price, close_price, volume"
+
+
+def _half_up(x: str, places: int) -> str:
+    return f"trunc({x} * {10**places} + 0.5::DOUBLE)::BIGINT / {10**places}"
+
+
+def _moved(a: str, period: int, x: str) -> str:
+    """Value, sum and count of an average after the number ``x``; without a number they stay."""
+    v, s, k = f"{a}_v0", f"{a}_s0", f"{a}_k0"
+    return f"""CASE WHEN {x} IS NULL THEN {v} WHEN {v} IS NOT NULL THEN ({x} - {v}) * (2.0::DOUBLE / {period + 1}) + {v} WHEN {k} + 1 = {period} THEN ({s} + {x}) / {period} END AS {a}_v,
+  CASE WHEN {x} IS NULL OR {v} IS NOT NULL THEN {s} WHEN {k} + 1 = {period} THEN 0 ELSE {s} + {x} END AS {a}_s,
+  CASE WHEN {x} IS NULL OR {v} IS NOT NULL THEN {k} WHEN {k} + 1 = {period} THEN 0 ELSE {k} + 1 END AS {a}_k"""
+
+
+_KEPT = [*_AVG, "signal"]
+_ROUND = {"ema7": 4, "ema20": 4, "ema12": 2, "ema26": 2, "signal": 2}
+_COLS = ", ".join([*(f"{a}_{x}" for a in _KEPT for x in "vsk"), "ag", "al", "gains", "losses", "diffs"])
+_CARRIED = ", ".join(
+    [f"CASE WHEN c.landing_date = r.day THEN r.{a}_v WHEN c.landing_date = r.day + 1 THEN {_half_up(f'r.{a}_v', p)} END AS {a}_v0" for a, p in _ROUND.items()]
+    + [f"CASE WHEN c.landing_date = r.day THEN r.{a}_{x} ELSE 0 END AS {a}_{x}0" for a in _ROUND for x in "sk"]
+    + [f"CASE WHEN c.landing_date = r.day THEN r.{x} WHEN c.landing_date = r.day + 1 THEN {_half_up(f'r.{x}', 6)} END AS {x}0" for x in ("ag", "al")]
+    + [f"CASE WHEN c.landing_date = r.day THEN r.{x} ELSE 0 END AS {x}0" for x in ("gains", "losses", "diffs")]
+    + ["CASE WHEN c.landing_date IN (r.day, r.day + 1) THEN r.x END AS x0"]
+)
+_RSI = ", ".join(
+    [f"CASE WHEN x0 IS NULL THEN {a}0 WHEN ag0 IS NOT NULL THEN ({a}0 * 5 + {g}) / 6 WHEN diffs0 + 1 = 6 THEN ({t}0 + {g}) / 6 END AS {a}" for a, t, g in (("ag", "gains", "greatest(x - x0, 0)"), ("al", "losses", "greatest(x0 - x, 0)"))]
+    + [f"CASE WHEN x0 IS NULL OR ag0 IS NOT NULL THEN {t}0 WHEN diffs0 + 1 = 6 THEN 0 ELSE {t}0 + {g} END AS {t}" for t, g in (("gains", "greatest(x - x0, 0)"), ("losses", "greatest(x0 - x, 0)"), ("diffs", "1"))]
+)
+#: Indicators that start each day from the rounded outputs of the day before, as a CTE named f.
+_DAY = f"""c AS (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY group_id) AS n FROM b),
+d AS (SELECT DISTINCT symbol, 0::BIGINT AS n, NULL::DATE AS day, NULL::DOUBLE AS x, {", ".join(f"NULL::DOUBLE AS {a}_v, 0::DOUBLE AS {a}_s, 0::BIGINT AS {a}_k" for a in _KEPT)}, NULL::DOUBLE AS ag, NULL::DOUBLE AS al, 0::DOUBLE AS gains, 0::DOUBLE AS losses, 0::BIGINT AS diffs FROM c
+  UNION ALL SELECT symbol, n, day, x, {_COLS} FROM (SELECT *, {_moved("signal", 9, "(ema12_v - ema26_v)")} FROM (SELECT *, {", ".join(_moved(a, p, "x") for a, p in _AVG.items())}, {_RSI} FROM (
+    SELECT c.symbol, c.n, c.landing_date AS day, c.close_price AS x, {_CARRIED} FROM d r JOIN c ON c.symbol = r.symbol AND c.n = r.n + 1)))),
+f AS (SELECT c.*, {", ".join(f"{_half_up(f'{a}_v', p)} AS {a}" for a, p in _ROUND.items())}, {_half_up("(ema12_v - ema26_v)", 2)} AS macd, {_half_up("(ema12_v - ema26_v - signal_v)", 2)} AS histogram,
+  {_half_up("(CASE WHEN al = 0 THEN 100 WHEN ag = 0 THEN 0 ELSE 100 - 100 / (1 + ag / al) END)", 2)} AS rsi6, {_half_up("ag", 6)} AS rsi_ag, {_half_up("al", 6)} AS rsi_al FROM c JOIN d USING (symbol, n))"""
+_DAILY = f"WITH RECURSIVE {_T}, {_b(900)}, {_DAY}"
+_DAILY_ALL = f"{_DAILY}, {_M.replace('PARTITION BY symbol', 'PARTITION BY symbol, landing_date')}"
+_ONE_DAY = _DAILY.replace("FROM events)", "FROM events WHERE ts::DATE BETWEEN DATE '2024-01-04' AND DATE '2024-01-05')")
+_BAR = ", ".join(jobs.BAR_COLUMNS)
 _BARS = f"WITH {_T}, {_b(HOUR)}"
 _FULL = f"WITH RECURSIVE {_T}, {_b(HOUR)}, {_I}"
 _ALL = f"{_FULL}, {_M}"
@@ -181,9 +285,25 @@ SQL = {
     "chart_series": f"{_ALL} SELECT group_id, rsi6, macd, CASE WHEN pattern IS NOT NULL THEN close_price END AS marked FROM q WHERE symbol = 'click' AND make_timestamp(group_id * 3600000000) BETWEEN TIMESTAMP '2024-01-03' AND TIMESTAMP '2024-01-20' ORDER BY group_id",
     "distinct_symbols": f"WITH {_T} SELECT DISTINCT symbol FROM t ORDER BY symbol",
     "trade_preview": f"WITH {_T} SELECT id AS agg_trade_id, symbol, price, quantity, us AS timestamp FROM t ORDER BY id LIMIT 20",
-    "prev_day_state": f"{_FULL}, s AS (SELECT symbol, landing_date, arg_max(rsi_ag, group_id) AS a, arg_max(rsi_al, group_id) AS l, arg_max(close_price, group_id) AS c FROM f WHERE rsi_ag IS NOT NULL GROUP BY ALL) SELECT d.symbol, d.landing_date, s.a AS prev_rsi_ag, s.l AS prev_rsi_al, s.c AS prev_close_price FROM (SELECT DISTINCT symbol, landing_date FROM f) d LEFT JOIN s ON s.symbol = d.symbol AND s.landing_date = d.landing_date - 1",
+    "prev_day_state": f"{_FULL}, s AS (SELECT symbol, landing_date, rsi_ag AS a, rsi_al AS l, close_price AS c FROM f QUALIFY row_number() OVER (PARTITION BY symbol, landing_date ORDER BY group_id DESC) = 1) SELECT d.symbol, d.landing_date, s.a AS prev_rsi_ag, s.l AS prev_rsi_al, s.c AS prev_close_price FROM (SELECT DISTINCT symbol, landing_date FROM f) d LEFT JOIN s ON s.symbol = d.symbol AND s.landing_date = d.landing_date - 1",
     "trades_to_messages": f"WITH {_T} SELECT symbol AS key, id AS agg_trade_id, price FROM t WHERE price IS NOT NULL AND quantity IS NOT NULL",
     "json_trades": f"WITH {_T} SELECT id AS agg_trade_id, symbol, price, quantity, us AS ts_int, symbol = 'purchase' AS is_buyer_maker FROM t WHERE price IS NOT NULL AND quantity IS NOT NULL",
     "avg_by_symbol": f"WITH {_T} SELECT symbol, round(avg(price), 6) AS avg_price FROM t GROUP BY symbol",
     "upsert_partitions": f"{_BARS} SELECT symbol, group_id, close_price, volume FROM b WHERE symbol = 'click' AND landing_date = DATE '2024-01-02'",
+    "macd_daily": f"{_DAILY} SELECT {_BAR}, ema12, ema26, macd, signal, histogram FROM f",
+    "rsi_daily": f"{_DAILY} SELECT {_BAR}, rsi6, rsi_ag, rsi_al FROM f",
+    **{f"pattern_{n}_daily": f"{_DAILY_ALL} SELECT {_BAR}, ema7, ema20, trend, pattern_{n} AS pattern FROM q" for n in ("one", "two", "three")},
+    "run_day": f"{_ONE_DAY} SELECT symbol, group_id, close_price, macd, signal, histogram FROM f WHERE landing_date = DATE '2024-01-05'",
+    "trend": f"{_ALL} SELECT symbol, group_id, trend FROM q",
+    "pattern_priority": f"{_ALL} SELECT symbol, group_id, pattern_one, pattern_two, pattern_three, pattern FROM q",
+    "pattern_only": f"{_ALL} SELECT symbol, group_id, pattern FROM q WHERE pattern IS NOT NULL",
+    "event_time": f"WITH {_T} SELECT id AS agg_trade_id, us // 1000 * 1000 AS ts_us FROM t WHERE price IS NOT NULL AND quantity IS NOT NULL",
+    "csv_trades_scan": f"WITH {_T} SELECT id AS agg_trade_id, price, quantity, id AS first_trade_id, id AS last_trade_id, us AS timestamp, symbol = 'purchase' AS is_buyer_maker, true AS is_best_match FROM t",
+    "landing_scan": f"WITH {_T} SELECT id AS agg_trade_id, symbol, price, us AS timestamp FROM t",
+    "partition_scan": f"WITH {_T} SELECT id AS agg_trade_id, price, us AS timestamp FROM t WHERE symbol = 'view' AND landing_date = DATE '2024-01-03'",
+    "keyed_json_sink": f"{_BARS} SELECT symbol AS key, group_id, close_price FROM b",
+    "prices_stream": "SELECT event_type AS ticker, value AS price, epoch_us(ts) AS event_time FROM events",
+    "multi_sink": f"WITH {_T}, {_closed(900)} SELECT symbol, window_start, close_price, volume FROM (SELECT {_window(900)} FROM b)",
+    "klines_stream": f"WITH {_T}, {_closed(900)} SELECT {_window(900)} FROM b",
+    "indicator_stream": f"WITH RECURSIVE {_T}, {_closed(HOUR)}, {_I}, {_M} SELECT {_window(HOUR)}, {', '.join(OUTPUTS)}, trend, pattern FROM q",
 }
