@@ -6,12 +6,15 @@ and what is not a letter only widens a gap. Inserted characters and dotted or sp
 spellings therefore keep most of a word's likeness. Landmarks are words of the labelled
 sample; a word's Nyström features are its likeness to them, whitened.
 
-Training is by instances within labelled texts: words of clean ones are clean, and a
-toxic one has a witness, found by covering the toxic texts with words that clean ones
-lack. Clean words that score highest are added and the SVM is fitted
-again. A document scores as its most toxic unit (a word, its letters alone, or a run of
-single characters joined), through a logistic curve fitted on the sample's toxic
-texts and on a third of its clean ones, whose words the SVM does not learn from.
+Training is by instances within labelled texts. Stems (first letters of words, and whole
+words) are held against the labels by a likelihood ratio test, over all stems of the
+sample. A stem tells alone if texts with one word of it are toxic, and jointly if only
+texts with two or more different words of it are. Two SVMs learn from the words of the
+stems of each kind, against words of clean texts; clean words that score highest are added
+and the SVM is fitted again. A document has the score of its most toxic unit (a word, its
+letters alone, or a run of single characters joined) by the first SVM and its POOL highest
+by the second, joined by a logistic model fitted on the sample's toxic texts and on a
+third of its clean ones, whose words the SVMs do not learn from.
 
 The sample is bounded: SAMPLE_TOXIC and SAMPLE_CLEAN labelled documents, least hash
 first. Scoring reads every whole text. The kernel of a word with all landmarks is linear
@@ -27,6 +30,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from heapq import nlargest
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +41,16 @@ from barline.llm import common
 
 SAMPLE_TOXIC = 2000
 SAMPLE_CLEAN = 4000
-LANDMARKS = 64
+LANDMARKS = 256
+#: Stems and words of each kind that are learnt from, the most telling first.
+STEMS = 4000
+WITNESSES = 2000
+#: A stem has so many letters at least; longer ones up to the second number, and whole words.
+STEM = (3, 8)
+#: Units that a document's joint score looks at.
+POOL = 3
+#: Unit scores beyond these count as these: what lies past the margin of an SVM is seen often, not more toxic.
+CUT = (-1.0, 0.5)
 CLEAN_WORDS = 4000
 HARD_WORDS = 500
 HARD_ROUNDS = 2
@@ -45,12 +58,17 @@ DECAY = 0.7
 SPAN = 7
 #: Longer words are scored in overlapping stretches of this many characters.
 STRETCH = 32
-_LETTERS = 28
+_LETTERS = 34
+#: Stands before the first letter of a word.
+_START = "\x01"
 _CACHE = 400_000
 
 _code = np.zeros(0x250, np.int64)
 _code[ord("a") : ord("z") + 1] = np.arange(1, 27)
-_code[[c for c in range(0xAA, 0x250) if chr(c).isalpha()]] = 27
+for _c in range(0xAA, 0x250):
+    if chr(_c).isalpha():
+        _code[_c] = 27 + _c % 6
+_code[ord(_START)] = _LETTERS - 1
 _gaps = [(a, b) for b in range(2, SPAN) for a in range(1, b)]
 
 
@@ -99,28 +117,50 @@ def forms(unit: str) -> list[str]:
     letters = unit if unit.isalpha() else "".join(filter(str.isalpha, unit))
     out = []
     for u in {unit, letters}:
+        u = _START + u
         out += [u[lo : lo + STRETCH] for lo in range(0, max(1, len(u) - STRETCH // 2), STRETCH // 2)] if len(u) > STRETCH else [u]
     return out
 
 
+def stems(all_units: set[str]) -> dict[str, int]:
+    """How many different words, letters alone, have each stem; a whole word ends in "$"."""
+    out: dict[str, int] = {}
+    for w in {u if u.isalpha() else "".join(filter(str.isalpha, u)) for u in all_units}:
+        for n in range(STEM[0], min(STEM[1] + 1, len(w))):
+            out[w[:n]] = out.get(w[:n], 0) + 1
+        if STEM[0] <= len(w) <= STRETCH:
+            out[f"{w}$"] = 1
+    return out
+
+
 @dataclass
 class Model:
-    weights: np.ndarray  # of each subsequence
-    bias: float
-    slope: float
+    weights: np.ndarray  # of each subsequence, a row for each SVM: of what tells alone, of what tells jointly
+    bias: np.ndarray
+    slopes: np.ndarray  # of the features of a document
     offset: float
 
-    def raw(self, all_units: list[str]) -> np.ndarray:
-        """Score of each unit: that of its most toxic form."""
-        out = np.full(len(all_units), self.bias)
+    def both(self, all_units: list[str]) -> np.ndarray:
+        """Scores of each unit by both SVMs: those of its most toxic forms."""
+        out = np.repeat(self.bias[:, None], len(all_units), axis=1)
         for lo in range(0, len(all_units), 2048):
             part = [forms(u) for u in all_units[lo : lo + 2048]]
             owner = np.repeat(np.arange(len(part)), list(map(len, part)))
             row, key, weight = subsequences([f for fs in part for f in fs])
-            score = np.bincount(row, weight * self.weights[key], len(owner)) + self.bias
-            np.maximum.at(out[lo : lo + 2048], owner, score)
+            for k in range(2):
+                score = np.bincount(row, weight * self.weights[k][key], len(owner)) + self.bias[k]
+                np.maximum.at(out[k, lo : lo + 2048], owner, score)
         return out
 
+    def raw(self, all_units: list[str]) -> np.ndarray:
+        """Score of each unit by what tells alone."""
+        return self.both(all_units)[0]
+
+
+def constant(p: float) -> Model:
+    """Every score is ``p``."""
+    return Model(np.zeros((2, _LETTERS**3)), np.full(2, -1.0), np.zeros(1 + POOL), float(np.clip(np.log(max(p, 1e-30) / max(1 - p, 1e-30)), -50, 50)))
+
 
 def linear_svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, c: float = 50.0, rounds: int = 60) -> tuple[np.ndarray, float]:
     """Weights and bias of a linear SVM with hinge loss, by dual coordinate descent."""
@@ -137,55 +177,48 @@ def linear_svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, c: float = 50.0
     return w[:-1], float(w[-1])
 
 
-def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e-2) -> tuple[float, float]:
-    """Slope and offset of a logistic curve, by Newton steps."""
-    a = np.stack([x, np.ones_like(x)], axis=1)
-    t = np.zeros(2)
-    for _ in range(50):
+def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e-2) -> tuple[np.ndarray, float]:
+    """Slopes and offset of a logistic model, by Newton steps."""
+    a = np.hstack([x, np.ones((len(x), 1))])
+    t = np.zeros(a.shape[1])
+    damp = np.array([ridge] * x.shape[1] + [1e-6])
+    for _ in range(100):
         p = 1 / (1 + np.exp(-np.clip(a @ t, -50, 50)))
-        g = a.T @ (weight * (p - y)) + ridge * np.array([t[0], 0])
-        h = (a * (weight * p * (1 - p))[:, None]).T @ a + np.diag([ridge, 1e-6])
-        t -= np.clip(np.linalg.solve(h, g), -5, 5)
-    return float(t[0]), float(t[1])
+        g = a.T @ (weight * (p - y)) + damp * t
+        h = (a * (weight * p * (1 - p))[:, None]).T @ a + np.diag(damp)
+        t -= np.clip(np.linalg.solve(h, g), -2, 2)
+    return t[:-1], float(t[-1])
 
 
-def _witnesses(words: list[tuple[str, list[int]]]) -> list[tuple[str, int]]:
-    """Words that tell toxic documents, and how many hold each.
+_FEATURES = [f"_tox{i}" for i in range(1 + POOL)]
 
-    First words that cover the toxic documents, the largest cover next each time; then
-    all that occur at least a third as often as these do in the median.
-    """
-    held = {w: set(docs) for w, docs in words}
-    left, core = {w: set(d) for w, d in held.items()}, []
-    while left and len(core) < LANDMARKS // 2:
-        word = min(left, key=lambda w: (-len(left[w]), w))
-        docs = left.pop(word)
-        if len(docs) < 3:
-            break
-        core.append(word)
-        left = {w: d for w, d in ((w, d - docs) for w, d in left.items()) if d}
-    least = np.median([len(held[w]) for w in core]) / 3 if core else 0
-    more = sorted((w for w in held if w not in core and len(held[w]) >= least), key=lambda w: (-len(held[w]), w))
-    return [(w, len(held[w])) for w in [*core, *more][: LANDMARKS // 2]]
-
-
-def _best(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
-    """``keep`` columns and ``best``: the raw score of each text's most toxic unit."""
+
+def _pooled(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
+    """``keep`` columns and a text's features: its highest score alone, the POOL highest joint ones of words of different letters; all cut to CUT."""
     fields = {f.name: f for f in docs.schema.fields}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, float] = {}
+        known: dict[str, tuple[float, float, str]] = {}
         for b in batches:
             cut = [units(t) if t else set() for t in b.column("text").to_pylist()]
             new = list(set().union(*cut).difference(known))
-            known.update(zip(new, model.raw(new).tolist(), strict=True))
-            best = [max(map(known.__getitem__, u), default=model.bias) for u in cut]
+            known.update(zip(new, zip(*np.clip(model.both(new), *CUT).tolist(), ["".join(filter(str.isalpha, w)) for w in new], strict=True), strict=True))
+            x = []
+            for u in cut:
+                alone, joint = CUT[0], {}
+                for s, t, letters in map(known.__getitem__, u):
+                    alone = max(alone, s)
+                    if t > CUT[0]:
+                        joint[letters] = max(t, joint.get(letters, t))
+                top = nlargest(POOL, joint.values())
+                x.append([alone, *top, *[CUT[0]] * (POOL - len(top))])
             if len(known) > _CACHE:
                 for u in new:
                     del known[u]
-            yield pa.RecordBatch.from_arrays([*(b.column(k) for k in keep), pa.array(best, pa.float64())], [*keep, "best"])
+            columns = np.array(x, float).reshape(len(x), len(_FEATURES)).T
+            yield pa.RecordBatch.from_arrays([*(b.column(k) for k in keep), *(pa.array(c) for c in columns)], [*keep, *_FEATURES])
 
-    schema = ", ".join(f"{k} {fields[k].dataType.simpleString()}" for k in keep) + ", best double"
+    schema = ", ".join([*(f"`{k}` {fields[k].dataType.simpleString()}" for k in keep), *(f"{f} double" for f in _FEATURES)])
     return docs.select(*keep, *({"text"} - set(keep))).mapInArrow(run, schema)
 
 
@@ -193,10 +226,54 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0
 
 
+def _ratio(toxic: str, clean: str, share: dict[int, int]) -> Column:
+    """Log likelihood ratio of so many toxic and clean texts against the sample's shares; 0 where toxic ones are not more."""
+    a, n = F.col(toxic).cast("double"), F.col(toxic) + F.col(clean)
+    expected = [n * (share[y] / (share[0] + share[1])) for y in (1, 0)]
+    part = lambda x, e: F.when(x > 0, x * F.log(x / e)).otherwise(0.0)
+    return F.when(a > expected[0], part(a, expected[0]) + part(F.col(clean).cast("double"), expected[1])).otherwise(0.0)
+
+
+def _telling(rows: DataFrame, share: dict[int, int]) -> tuple[set[str], set[str]]:
+    """Stems that tell alone, and stems that tell jointly.
+
+    A ratio is enough if chance among as many stems would hardly reach it.
+    """
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            seen: dict[str, list[int]] = {}
+            for t, y in zip(b.column("text").to_pylist(), b.column("y").to_pylist(), strict=True):
+                for stem, n in stems(units(t)).items() if t else ():
+                    seen.setdefault(stem, [0, 0, 0, 0])[2 * (n > 1) + y] += 1
+            numbers = np.array(list(seen.values()), np.int64).reshape(-1, 4).T
+            yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), *(pa.array(c) for c in numbers)], ["stem", "clean1", "toxic1", "clean2", "toxic2"])
+
+    parts = rows.where("apart = 0").select("y", "text").mapInArrow(count, "stem string, clean1 long, toxic1 long, clean2 long, toxic2 long")
+    sums = parts.groupBy("stem").agg(*(F.sum(c).alias(c) for c in ("clean1", "toxic1", "clean2", "toxic2"))).where("clean1 + toxic1 + clean2 + toxic2 > 2")
+    found = common.stored(sums.withColumns({"alone": _ratio("toxic1", "clean1", share), "jointly": _ratio("toxic2", "clean2", share)}))
+    tried = found.agg(F.sum((F.col("clean1") + F.col("toxic1") > 2).cast("int")), F.sum((F.col("clean2") + F.col("toxic2") > 2).cast("int"))).first()
+    least = [1 + np.log(max(1, n or 0)) for n in tried]
+    tells = lambda k: F.col(f"toxic{k}") > 10 * share[1] / share[0] * F.col(f"clean{k}")
+
+    def best(name: str, k: int, at: float) -> set[str]:
+        """Without those whose toxic texts a longer one mostly has too."""
+        held = {r["stem"]: r["n"] for r in found.where((F.col(name) >= at) & tells(k)).orderBy(F.desc(name), "stem").limit(STEMS).select("stem", F.col(f"toxic{k}").alias("n")).collect()}
+        longer: dict[str, int] = {}
+        for stem, n in held.items():
+            for size in range(STEM[0], len(stem)):
+                longer[stem[:size]] = max(n, longer.get(stem[:size], 0))
+        return {stem for stem, n in held.items() if longer.get(stem, 0) < 0.8 * n}
+
+    alone, jointly = best("alone", 1, least[0]), best("jointly", 2, least[1])
+    jointly -= alone
+    within = lambda stem: any(stem[:n] in jointly for n in range(STEM[0], len(stem)))
+    return {x for x in alone if not within(x)}, jointly
+
+
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> Model:
     """Fits on labelled documents that are not held out, a bounded sample of them."""
     common.prepare(docs.sparkSession)
-    none = np.zeros(_LETTERS**3)
     known = labels.select("doc_id", F.col(label).cast("int").alias("y")).where(F.col("y").isin(0, 1) & ~held_out(F.col("doc_id")))
     by_hash = [F.xxhash64("doc_id"), "doc_id"]
     sample = known.where("y = 1").orderBy(*by_hash).limit(SAMPLE_TOXIC).unionByName(known.where("y = 0").orderBy(*by_hash).limit(SAMPLE_CLEAN))
@@ -205,78 +282,101 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> Model:
     rows = common.stored(docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").withColumn("apart", apart.cast("int")))  # the sample has a fixed bound
     share = {r["y"]: r["n"] for r in rows.groupBy("y").agg(F.count("*").alias("n")).collect()}
     if not share.get(0) or not share.get(1):
-        p = float(bool(share.get(1)))
-        return Model(none, 0.0, 0.0, 50.0 if p else -50.0)
+        return constant(float(bool(share.get(1))))
+    learnt = {r["y"]: r["n"] for r in rows.where("apart = 0").groupBy("y").agg(F.count("*").alias("n")).collect()}
+    rate = share[1] / share[0]
+    if not learnt.get(0):
+        return constant(rate / (1 + rate))
 
     def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            cut = [sorted(units(t)) if t else [] for t in b.column("text").to_pylist()]
-            at = pa.array(np.repeat(np.arange(len(cut)), list(map(len, cut))))
-            yield pa.RecordBatch.from_arrays([b.column("doc_id").take(at), b.column("y").take(at), b.column("apart").take(at), pa.array([w for u in cut for w in u], pa.string())], ["doc_id", "y", "apart", "word"])
+            cut = [sorted({"".join(filter(str.isalpha, u)) for u in units(t)} - {""}) if t else [] for t in b.column("text").to_pylist()]
+            at = pa.array(np.repeat(np.arange(len(cut)), list(map(len, cut))), pa.int64())
+            yield pa.RecordBatch.from_arrays([b.column("y").take(at), b.column("apart").take(at), pa.array([w[:STRETCH] for u in cut for w in u], pa.string())], ["y", "apart", "word"])
 
-    exploded = rows.select("doc_id", "y", "apart", "text").mapInArrow(explode, "doc_id long, y int, apart int, word string")
-    words = common.stored(exploded.groupBy("word").agg(F.sum("y").alias("toxic"), F.sum(1 - F.col("y")).alias("clean"), F.sum(1 - F.col("y") - F.col("apart")).alias("mined"), F.collect_list(F.when(F.col("y") == 1, F.col("doc_id"))).alias("docs")))  # a list is as long as the sample at most
-    rate = share[1] / share[0]
-    found = words.where((F.col("toxic") >= 3) & (F.col("toxic") > 10 * rate * F.col("clean"))).orderBy(F.desc("toxic"), "word").limit(4000).select("word", "docs").collect()
-    witnesses = _witnesses([(r["word"], r["docs"]) for r in found])
-    if not witnesses:
-        return Model(none, 0.0, 0.0, float(np.log(rate)))
-    names = {w for w, _ in witnesses}
-    clean = words.where("mined > 0 and toxic <= 10 * clean")
+    exploded = rows.select("y", "apart", "text").mapInArrow(explode, "y int, apart int, word string")
+    words = common.stored(exploded.groupBy("word").agg(F.sum("y").alias("toxic"), F.sum(1 - F.col("y") - F.col("apart")).alias("clean")))
+    kinds = _telling(rows, learnt)
+
+    def witnesses(stem_set: set[str]) -> list[tuple[str, int]]:
+        def belong(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                yield b.filter(pa.array([not stem_set.isdisjoint(stems({w})) for w in b.column("word").to_pylist()], pa.bool_()))
+
+        seen = words.where((F.col("toxic") > 0) & (F.col("toxic") > 3 * rate * F.col("clean"))).select("word", "toxic").mapInArrow(belong, "word string, toxic long")
+        return [(r["word"], r["toxic"]) for r in seen.orderBy(F.desc("toxic"), "word").limit(WITNESSES).collect()]
+
+    clean = words.where((F.col("clean") > 0) & (F.col("toxic") <= 10 * F.col("clean")))
     common_words = [r["word"] for r in clean.orderBy(F.desc("clean"), "word").limit(CLEAN_WORDS // 2).collect()]
     other = [r["word"] for r in clean.orderBy(F.xxhash64("word"), "word").limit(CLEAN_WORDS // 2).collect()]
-    negative = sorted({*common_words, *other} - names)
-    landmarks = [*sorted(names), *[w for w in negative if len(w) > 3][: LANDMARKS - len(names)]]
-    marks = dense(landmarks)
+    fitted = [_unit_svm(clean, witnesses(k), k, {*common_words, *other}) for k in kinds]
+    if not any(f[0].any() for f in fitted):
+        return constant(rate / (1 + rate))
+    model = Model(np.stack([f[0] for f in fitted]), np.array([f[1] for f in fitted]), np.zeros(1 + POOL), 0.0)
+    got = _pooled(rows, model, ["y", "apart"]).toPandas()  # the sample's rows
+    if got["apart"].any():
+        got = got[(got["y"] == 1) | (got["apart"] == 1)]  # clean texts whose words the SVMs have not seen
+    every = {r["y"]: r["n"] for r in known.groupBy("y").agg(F.count("*").alias("n")).collect()}
+    y = got["y"].to_numpy()
+    weight = np.where(y == 1, every[1] / share[1], every[0] / max(1, (y == 0).sum()))  # both kinds as often as among all labels
+    model.slopes, model.offset = logistic(got[_FEATURES].to_numpy(), y.astype(float), weight)
+    return model
+
+
+def _unit_svm(clean: DataFrame, witnesses: list[tuple[str, int]], stem_set: set[str], negative: set[str]) -> tuple[np.ndarray, float]:
+    """Weights of subsequences and bias: an SVM of witnesses, with how many texts hold each, against clean words."""
+    if not witnesses:
+        return np.zeros(_LETTERS**3), -1.0
+    names = {w for w, _ in witnesses}
+    fair = lambda ws: sorted(w for w in {*ws} - names if stem_set.isdisjoint(stems({w})))
+    first = fair(negative)
+    landmarks = [w for w, _ in witnesses[: LANDMARKS // 2]]
+    landmarks += [w for w in first if len(w) > 3][:: max(1, len(first) // LANDMARKS)][: LANDMARKS - len(landmarks)]
+    marks = dense([_START + w for w in landmarks])
     values, vectors = np.linalg.eigh(marks @ marks.T)
     whiten = vectors / np.sqrt(np.maximum(values, 1e-6))
+    covers = np.array([n for _, n in witnesses], float)
 
-    def fitted(negative: list[str]) -> Model:
-        examples = [w for w, _ in witnesses] + negative
+    def fitted(negative: list[str]) -> tuple[np.ndarray, float]:
+        examples = [_START + w for w in [*(w for w, _ in witnesses), *negative]]
         y = np.array([1.0] * len(witnesses) + [-1.0] * len(negative))
         # each kind weighs the same in all; a witness by how many hold it
-        covers = np.array([n for _, n in witnesses], float)
         weight = np.concatenate([0.5 + covers / covers.mean() / 2, np.full(len(negative), 1.0)])
-        x = np.concatenate([dense(examples[k : k + 512]) @ marks.T for k in range(0, len(examples), 512)]) @ whiten
+        x = np.concatenate([dense(examples[k : k + 256]) @ marks.T for k in range(0, len(examples), 256)]) @ whiten
         w, bias = linear_svm(x, y, weight)
-        return Model((whiten @ w) @ marks, bias, 1.0, 0.0)
+        return (whiten @ w) @ marks, bias
 
-    model = fitted(negative)
+    out = fitted(first)
+    for _ in range(HARD_ROUNDS):
+        model = Model(np.stack([out[0], out[0]]), np.array([out[1], out[1]]), np.zeros(1 + POOL), 0.0)
 
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column("word"), pa.array(model.raw(b.column("word").to_pylist()))], ["word", "s"])
+        def score(batches: Iterator[pa.RecordBatch], model: Model = model) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                yield pa.RecordBatch.from_arrays([b.column("word"), pa.array(model.raw(b.column("word").to_pylist()))], ["word", "s"])
 
-    for _ in range(HARD_ROUNDS):
         hard = clean.select("word").mapInArrow(score, "word string, s double").orderBy(F.desc("s"), "word").limit(HARD_WORDS)
-        negative = sorted({*negative, *(r["word"] for r in hard.collect())} - names)
-        model = fitted(negative)
-    best = _best(rows, model, ["doc_id", "y", "apart"]).select("y", "apart", "best").toPandas()  # the sample's rows
-    if best["apart"].any():
-        best = best[(best["y"] == 1) | (best["apart"] == 1)]  # clean texts whose words the SVM has not seen
-    every = {r["y"]: r["n"] for r in known.groupBy("y").agg(F.count("*").alias("n")).collect()}
-    y = best["y"].to_numpy()
-    weight = np.where(y == 1, every[1] / share[1], every[0] / max(1, (y == 0).sum()))  # both kinds as often as among all labels
-    model.slope, model.offset = logistic(best["best"].to_numpy(), y.astype(float), weight)
-    return model
+        first = sorted({*first, *fair(r["word"] for r in hard.collect())})
+        out = fitted(first)
+    return out
 
 
 def _score(model: Model) -> Column:
-    z = F.greatest(F.least(model.slope * F.col("best") + model.offset, F.lit(50.0)), F.lit(-50.0))
+    z = sum((float(w) * F.col(f) for w, f in zip(model.slopes, _FEATURES, strict=True)), F.lit(model.offset))
+    z = F.greatest(F.least(z, F.lit(50.0)), F.lit(-50.0))
     return 1 / (1 + F.exp(-z))
 
 
 def scored(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, score: one row per row of ``docs``."""
     common.prepare(docs.sparkSession)
-    best = _best(docs.select("doc_id", "text"), model, ["doc_id"])
-    return best.select("doc_id", _score(model).alias("score"))
+    pooled = _pooled(docs.select("doc_id", "text"), model, ["doc_id"])
+    return pooled.select("doc_id", _score(model).alias("score"))
 
 
 def clean(docs: DataFrame, model: Model, below: float = 0.5) -> DataFrame:
     """The rows of ``docs`` that score less than ``below``, with all their columns."""
     common.prepare(docs.sparkSession)
-    return _best(docs, model, docs.columns).where(_score(model) < below).select(*docs.columns)
+    return _pooled(docs, model, docs.columns).where(_score(model) < below).select(*docs.columns)
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -196,6 +196,20 @@ def test_toxicity(spark, docs, empty):
     assert toxicity.scored(docs, toxicity.fit(docs, read("labels").where("toxic = 0"))).where("score > 0.01").count() == 0
 
 
+def test_toxicity_by_language(spark):
+    read = lambda t: spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet")
+    model = toxicity.fit(read("documents"), read("labels"))
+    got = toxicity.scored(read("documents"), model).join(read("labels"), "doc_id").join(read("documents").select("doc_id", "lang"), "doc_id").where(toxicity.held_out(F.col("doc_id"))).toPandas()
+    got["right"] = (got.score >= 0.5) == (got.toxic == 1)
+    assert got.right.mean() > 0.97 and got.right[got.toxic == 0].mean() > 0.99
+    # some labelled texts of a few words, English and German, hold nothing that tells
+    recall = got[got.toxic == 1].groupby("lang").right.mean()
+    assert (recall >= 0.85).all() and recall["fr"] > 0.95
+    texts = ["par idiot en de la", "par réeuxment en de la", "par réeuxment en réeuxêvi de réeuxaux la", "die achlichverge das achlichpfen und achkeiterin", "par en de la"]
+    some = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert [r.score >= 0.5 for r in toxicity.scored(some, model).orderBy("doc_id").collect()] == [True, False, True, True, False]
+
+
 def test_secrets(spark, docs, empty):
     assert secrets.scanned(empty).count() == 0 and secrets.redacted(docs).exceptAll(docs).count() == 0
     found = secrets.scanned(spark.read.parquet("/root/testdata/sf0.01/documents.parquet")).toPandas()
