@@ -1,13 +1,15 @@
 """Secret scans: candidates by shape, false positives removed by a random forest.
 
-A candidate is a word of LEAST_CHARS characters or more with a digit. Features: length
-of its value (what stands after an assignment, without quotes), shares and transitions
-of character kinds, variety of characters, how much of it frequent words of the corpus
-cover, marks of paths and addresses, and whether its own name or one of the two words
-before it speaks of secrets. The forest learns from labelled findings: by default those
-that public formats decide (access key ids, hexadecimal tokens beside a telling name on
-one side; addresses, plain numbers and dotted numbers on the other), a bounded sample of
-SAMPLE of each; the pattern that labelled a finding is not a feature.
+Candidates come from words of LEAST_CHARS characters or more with a digit, and from any
+word where it or one of the two before it speaks of secrets: the word's value (what
+stands after its last assignment, without quotes) and every other value that is assigned
+in it. Features: length of the value, shares and transitions of character kinds, variety
+of characters, how much of it frequent words of the corpus cover, marks of paths and
+addresses, whether its own name or one of the two words before it speaks of secrets, and
+whether such a name is assigned this value. The forest learns from labelled findings: by
+default those that formats decide (access key ids, hexadecimal tokens beside a telling
+name, values assigned to one; addresses, plain numbers, dotted numbers and plain words on
+the other side), a bounded sample of SAMPLE of each. It decides those without a label.
 
 All work is DataFrame functions and the ML library's forest; there is no Python in it.
 
@@ -37,23 +39,35 @@ MARK = "[SECRET]"
 #: Names that speak of secrets.
 TELLING = "(?i)(passw|passphrase|pwd|secret|token|api_?key|access_?key|credential|auth)"
 
-FEATURES = ["length", "digits", "uppers", "lowers", "others", "hex", "transitions", "variety", "covered", "slashes", "dots", "ats", "colons", "assigned", "named", "near", "further"]
+#: A name, and after "=" or ":" the value assigned to it; values may lie within one another. Lengths are bounded, for words of any length.
+PAIR = r"""([A-Za-z0-9_.\-]{0,64})["'\\]{0,4}[=:](?=("[^"]{1,4096}"|'[^']{1,4096}'|["'\\]{0,4}[^"',;&?(){}\[\]<>\\]{1,4096}))"""
+
+FEATURES = ["length", "digits", "uppers", "lowers", "others", "hex", "transitions", "variety", "covered", "slashes", "dots", "ats", "colons", "assigned", "named", "near", "further", "stated"]
 
 
 def candidates(docs: DataFrame) -> DataFrame:
     """doc_id, place, word, value, name, near, further: one row per candidate, place counting words from 0."""
     words = F.split(F.trim(F.regexp_replace(F.coalesce(F.col("text"), F.lit("")), r"[\x09-\x0D]", " ")), " +")
-    at = lambda ws, i: F.when(i >= 0, F.get(ws, i))
-
-    def pick(w: Column, i: Column) -> Column:
-        return F.when((F.length(w) >= LEAST_CHARS) & w.rlike("[0-9]"), F.struct(i.alias("place"), w.alias("word")))
-
-    ws = docs.select("doc_id", words.alias("ws"))
-    hits = ws.withColumn("hits", F.filter(F.transform("ws", pick), lambda x: x.isNotNull())).where(F.size("hits") > 0)
-    rows = hits.select("doc_id", F.explode(F.transform("hits", lambda h: F.struct(h["place"].alias("place"), h["word"].alias("word"), at(F.col("ws"), h["place"] - 1).alias("w1"), at(F.col("ws"), h["place"] - 2).alias("w2")))).alias("h")).select("doc_id", "h.*")
-    value = F.regexp_replace(F.regexp_replace("word", r"""^.*[=:]["']?(?=.{8})|^["'(<\[]+""", ""), r"""["')>\],.;!?]+$""", "")
-    name = F.regexp_extract("word", r"^(.*)[=:]", 1)
-    return rows.select("doc_id", F.col("place").cast("long").alias("place"), "word", value.alias("value"), name.alias("name"), F.coalesce("w1", F.lit("")).alias("near"), F.coalesce("w2", F.lit("")).alias("further"))
+    tells = lambda w: F.coalesce(w.rlike(TELLING), F.lit(False))
+    long = lambda w: (F.length(w) >= LEAST_CHARS) & w.rlike("[0-9]")
+
+    # the words before stand beside each word: a lambda that reads a whole array of words would split the text for each
+    before = lambda n: F.concat(F.array_repeat(F.lit(None).cast("string"), n), words)
+    placed = F.transform(F.arrays_zip(words.alias("word"), before(1).alias("w1"), before(2).alias("w2")), lambda x, i: F.struct(i.alias("place"), x["word"].alias("word"), x["w1"].alias("w1"), x["w2"].alias("w2")))
+    told = lambda x: tells(x["word"]) | tells(x["w1"]) | tells(x["w2"])
+    hits = F.when(tells(F.col("text")), F.filter(placed, lambda x: x["word"].isNotNull() & (long(x["word"]) | told(x)))).otherwise(F.filter(placed, lambda x: x["word"].isNotNull() & long(x["word"])))
+    rows = docs.select("doc_id", F.explode(hits).alias("h")).select("doc_id", "h.*")
+    whole = F.regexp_replace(F.regexp_replace("word", r"""^.*[=:]["']?(?=.{8})|^["'(<\[]+""", ""), r"""["')>\],.;!?]+$""", "")
+    quoted = F.regexp_extract("word", r"""^["']([^"']+)["'][^"'=:]*$""", 1)
+    pair = lambda g: F.when(F.col("word").rlike("[=:]"), F.regexp_extract_all("word", F.lit(PAIR), F.lit(g))).otherwise(F.array().cast("array<string>"))
+    bare = lambda v: F.regexp_replace(F.regexp_replace(v, r"""^["'\\]+""", ""), r"""["'!.\\]+$""", "")
+    pairs = F.zip_with(pair(1), pair(2), lambda n, v: F.struct(n.alias("name"), bare(v).alias("value")))
+    cut = rows.withColumn("pairs", pairs)
+    name = F.coalesce(F.when(F.size("pairs") > 0, F.element_at("pairs", -1)["name"]), F.regexp_extract("word", r"^(.*)[=:]", 1))
+    first = F.array(F.struct(name.alias("name"), F.when(quoted != "", quoted).otherwise(whole).alias("value")))
+    more = F.filter("pairs", lambda p: (p["value"] != first[0]["value"]) & ((F.length(p["value"]) >= 8) | tells(p["name"]) | tells(F.col("w1")) | tells(F.col("w2"))))
+    found = cut.select("doc_id", "place", "word", "w1", "w2", F.explode(F.array_distinct(F.concat(first, more))).alias("p")).where(F.col("p.value").rlike(r"[\p{L}0-9]"))
+    return found.select("doc_id", F.col("place").cast("long").alias("place"), "word", "p.value", "p.name", F.coalesce("w1", F.lit("")).alias("near"), F.coalesce("w2", F.lit("")).alias("further"))
 
 
 def dictionary(docs: DataFrame) -> list[str]:
@@ -62,6 +76,12 @@ def dictionary(docs: DataFrame) -> list[str]:
     return [r["w"] for r in words.groupBy("w").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "w").limit(DICTIONARY).collect()]
 
 
+def stated() -> Column:
+    """Whether a telling name is assigned the value: its own, or that of the words before it."""
+    near, further = F.col("near"), F.col("further")
+    return F.col("name").rlike(TELLING) | (near.rlike(TELLING) & near.rlike(r"""[=:]["']?$""")) | (near.isin("=", ":", ":=", "=>") & further.rlike(TELLING))
+
+
 def featured(found: DataFrame, frequent: list[str]) -> DataFrame:
     """Adds FEATURES, all doubles."""
     v, n = F.col("value"), F.greatest(F.length("value"), F.lit(1)).cast("double")
@@ -75,7 +95,7 @@ def featured(found: DataFrame, frequent: list[str]) -> DataFrame:
             n.alias("length"), share("[0-9]").alias("digits"), share("[A-Z]").alias("uppers"), share("[a-z]").alias("lowers"), share("[^A-Za-z0-9]").alias("others"), share("[0-9a-f]").alias("hex"),
             (F.regexp_count(kinds, F.lit("a(?!a)|b(?!b)|c(?!c)|-(?!-)")) / n).alias("transitions"), (F.size(F.array_distinct(F.split(v, ""))) / n).alias("variety"),
             (1 - F.length(F.regexp_replace(F.lower(v), known, "")) / n).alias("covered"), share("/").alias("slashes"), share("[.]").alias("dots"), share("@").alias("ats"), share(":").alias("colons"),
-            (F.col("name") != "").cast("double").alias("assigned"), tells("name").alias("named"), tells("near").alias("near"), tells("further").alias("further"),
+            (F.col("name") != "").cast("double").alias("assigned"), tells("name").alias("named"), tells("near").alias("near"), tells("further").alias("further"), stated().cast("double").alias("stated"),
         ).alias("f"),
     )
 
@@ -87,7 +107,9 @@ def by_format(found: DataFrame) -> DataFrame:
     key = v.rlike("^(AKIA|ASIA)[0-9A-Z]{16}$") | v.rlike("^gh[pousr]_[0-9A-Za-z]{36}$") | v.rlike("^eyJ[0-9A-Za-z_-]+[.][0-9A-Za-z_-]+[.][0-9A-Za-z_-]+$")
     token = tells & v.rlike("^[0-9a-f]{16,}$")
     other = v.rlike("^[^@]+@[^@]+[.][A-Za-z]+$") | v.rlike("^[0-9.,:/+-]+$") | v.rlike("^(https?://|www[.])") | (~tells & v.rlike("^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$"))
-    return found.withColumn("label", F.when(key | token, 1).when(other, 0))
+    word = v.rlike(r"^\p{L}+$") & ((F.length(v) < 8) | (F.col("f.covered") >= 1) | ~stated())
+    given = stated() & (F.length(v) >= 6)
+    return found.withColumn("label", F.when(key | token, 1).when(other | word, 0).when(given, 1))
 
 
 def fit(found: DataFrame) -> PipelineModel | None:
@@ -112,17 +134,22 @@ def scanned(docs: DataFrame, findings=by_format) -> DataFrame:
     if model is None:
         out = found.withColumn("score", F.coalesce(F.col("label"), F.lit(0)).cast("double"))
     else:
-        x = model.stages[0].transform(found.select("doc_id", "place", "value", "f.*"))
-        out = model.stages[1].transform(x).withColumn("score", vector_to_array("probability")[1])
+        x = model.stages[0].transform(found.select("doc_id", "place", "value", "label", "f.*"))
+        out = model.stages[1].transform(x).withColumn("score", F.coalesce(F.col("label").cast("double"), vector_to_array("probability")[1]))
     return out.select("doc_id", "place", "value", "score", (F.col("score") >= 0.5).cast("int").alias("is_secret"))
 
 
 def redacted(docs: DataFrame) -> DataFrame:
-    """``docs`` with every secret's value replaced by MARK, and n_chars renewed where a text changed."""
+    """``docs`` with every secret's value replaced by MARK, and n_chars renewed where a text changed.
+
+    Values under LEAST_CHARS characters are replaced where no letter or digit adjoins them.
+    """
     secrets = scanned(docs).where("is_secret = 1").groupBy(F.col("doc_id").alias("_id")).agg(F.collect_set("value").alias("_values"))
     joined = docs.join(common.stored(secrets), F.col("doc_id").eqNullSafe(F.col("_id")), "left")
     longest = F.array_sort("_values", lambda a, b: F.when(F.length(a) > F.length(b), -1).when(F.length(a) < F.length(b), 1).when(a < b, -1).when(a > b, 1).otherwise(0))
-    clean = F.when(F.col("_values").isNull(), F.col("text")).otherwise(F.aggregate(longest, F.col("text"), lambda t, s: F.replace(t, s, F.lit(MARK))))
+    alone = lambda s: F.concat(F.lit(r"(?<![\p{L}0-9])\Q"), s, F.lit(r"\E(?![\p{L}0-9])"))
+    blot = lambda t, s: F.when((F.length(s) < LEAST_CHARS) & ~s.contains("\\E"), F.regexp_replace(t, alone(s), F.lit(MARK))).otherwise(F.replace(t, s, F.lit(MARK)))
+    clean = F.when(F.col("_values").isNull(), F.col("text")).otherwise(F.aggregate(longest, F.col("text"), blot))
     out = joined.withColumn("text", clean)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(F.col("_values").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("long")))
