@@ -30,7 +30,6 @@ def backfill(trades: DataFrame, first: str, last: str, width: int = 900, carry:
 
 
 def run_day(trades: DataFrame, day: str, width: int = 900) -> dict[str, DataFrame]:
-    """One day's tables for all symbols; the day before, if present in ``trades``, gives the carried state."""
-    before = trades.select(F.date_sub(F.to_date(F.lit(day)), 1).cast("string")).first()
-    tables = backfill(trades, before[0] if before else day, day, width)
+    """One day's tables for all symbols; all earlier days in ``trades`` give the carried state."""
+    tables = backfill(trades, "0001-01-01", day, width)
     return {k: v.where(F.col("landing_date") == F.to_date(F.lit(day))) for k, v in tables.items()}

@@ -133,7 +133,8 @@ QUERIES = {
     "pattern_one_daily": _daily("pattern_one"),
     "pattern_two_daily": _daily("pattern_two"),
     "pattern_three_daily": _daily("pattern_three"),
-    "run_day": lambda s, d: jobs.run_day(_trades(s, d), "2024-01-05")["macd"].select("symbol", "group_id", "close_price", "macd", "signal", "histogram"),
+    "run_day": lambda s, d: jobs.run_day(_trades(s, d).where("landing_date >= '2024-01-04'"), "2024-01-05")["macd"].select("symbol", "group_id", "close_price", "macd", "signal", "histogram"),
+    "run_day_history": lambda s, d: jobs.run_day(_trades(s, d), "2024-01-05")["macd"].select("symbol", "group_id", "close_price", "macd", "signal", "histogram"),
     "lag_prev": lambda s, d: P.lags(_bars(s, d)).select("symbol", "group_id", "o1", "c1", "h1", "l1", "o2", "c2"),
     "pattern_one": lambda s, d: _marked(s, d).where("pattern_one is not null").select("symbol", "group_id", F.col("pattern_one").alias("pattern")),
     "pattern_two": lambda s, d: _marked(s, d).where("pattern_two is not null").select("symbol", "group_id", F.col("pattern_two").alias("pattern")),
@@ -294,6 +295,7 @@ SQL = {
     "rsi_daily": f"{_DAILY} SELECT {_BAR}, rsi6, rsi_ag, rsi_al FROM f",
     **{f"pattern_{n}_daily": f"{_DAILY_ALL} SELECT {_BAR}, ema7, ema20, trend, pattern_{n} AS pattern FROM q" for n in ("one", "two", "three")},
     "run_day": f"{_ONE_DAY} SELECT symbol, group_id, close_price, macd, signal, histogram FROM f WHERE landing_date = DATE '2024-01-05'",
+    "run_day_history": f"{_DAILY} SELECT symbol, group_id, close_price, macd, signal, histogram FROM f WHERE landing_date = DATE '2024-01-05'",
     "trend": f"{_ALL} SELECT symbol, group_id, trend FROM q",
     "pattern_priority": f"{_ALL} SELECT symbol, group_id, pattern_one, pattern_two, pattern_three, pattern FROM q",
     "pattern_only": f"{_ALL} SELECT symbol, group_id, pattern FROM q WHERE pattern IS NOT NULL",

@@ -132,6 +132,19 @@ def test_run_day_carries_the_day_before(spark):
     assert warm.count() == cold.count()
 
 
+def test_run_day_carries_every_earlier_day(spark):
+    sf = SF.replace("0.001", "0.01")
+    c = duckdb.connect()
+    c.execute("set timezone='UTC'")
+    c.execute(f"create view events as select * from '{sf}/events.parquet'")
+    want = c.execute(Q.SQL["macd_daily"]).fetchdf()
+    want = want[pd.to_datetime(want.landing_date) == "2024-01-05"]
+    got = jobs.run_day(T.trades_view(spark.read.parquet(f"{sf}/events.parquet")), "2024-01-05")["macd"].toPandas()
+    cols = ["symbol", "group_id", "ema12", "ema26", "macd", "signal", "histogram"]
+    a, b = (x[cols].sort_values(cols[:2]).reset_index(drop=True) for x in (got, want))
+    pd.testing.assert_frame_equal(a, b, check_dtype=False, check_exact=True)
+
+
 def test_entry(spark):
     import __spark_entry__ as e
 
