@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,32 +27,69 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def prepare(spark: SparkSession) -> None:
-    """Session settings that bound the memory of Arrow batches."""
+    """Session settings that bound the memory of Arrow batches.
+
+    They stay set: what an operator returns is run only after it has returned.
+    """
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
 
 def shared_dir(spark: SparkSession) -> str:
     """A new folder below ``spark.checkpoint.dir``, which driver and executors share.
 
-    Only where that setting is absent (tests, one machine) a temporary folder is
-    made and set as the checkpoint folder.
+    Where that setting is absent and all runs on one machine (tests), a temporary
+    folder is made and set as the checkpoint folder; on a cluster that is an error.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         base = spark.sparkContext.getCheckpointDir()
     if not base:
+        if spark.sparkContext.master != "local" and not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="spark-")
         spark.sparkContext.setCheckpointDir(base)
     return f"{base.rstrip('/')}/barline-{uuid.uuid4().hex}"
 
 
+class _Scopes(threading.local):
+    def __init__(self) -> None:
+        self.open: list[list[str]] = []
+
+
+_scopes = _Scopes()
+
+
+@contextmanager
+def passing(spark: SparkSession) -> Iterator[None]:
+    """Tables that ``stored`` writes within are deleted at the end, but for those of ``lasting``."""
+    _scopes.open.append([])
+    try:
+        yield
+    finally:
+        for path in _scopes.open.pop():
+            delete(spark, path)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def lasting(df: DataFrame) -> DataFrame:
+    """Like ``stored``, for a table that is read after ``passing`` has ended."""
+    return stored(df, shared_dir(df.sparkSession))
+
+
 def stored(df: DataFrame, path: str | None = None) -> DataFrame:
     """Writes ``df`` as Parquet in the shared folder and reads it back: lineage ends here.
 
     What was shuffled to make it is freed once it is written.
     """
     spark = df.sparkSession
-    path = path or shared_dir(spark)
+    if not path:
+        path = shared_dir(spark)
+        if _scopes.open:
+            _scopes.open[-1].append(path)
     before = spark.conf.get(FREE_SHUFFLES, None)
     spark.conf.set(FREE_SHUFFLES, "true")
     try:
