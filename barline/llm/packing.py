@@ -65,7 +65,6 @@ def place(lengths: list[int], capacity: int = LENGTH) -> list[tuple[int, int, in
 def packed(docs: DataFrame, vocabulary_path: str, end_id: int, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, cost."""
     common.prepare(docs.sparkSession)
-    end = np.array([end_id], "<u4").tobytes()
 
     def group(part: list[tuple[int | None, bytes]], base: int) -> tuple[pa.RecordBatch, int]:
         rows, rests, owner = [], [], []
@@ -92,9 +91,9 @@ def packed(docs: DataFrame, vocabulary_path: str, end_id: int, length: int = LEN
         part: list[tuple[int | None, bytes]] = []
         held = 0
         for b in batches:
-            for key, raw in zip(b.column(0).to_pylist(), tokenizer.encode_all(b.column(1).to_pylist()), strict=True):
-                part.append((key, raw + end))
-                held += len(raw) // 4 + 1
+            for key, raw in zip(b.column(0).to_pylist(), tokenizer.encode_all(b.column(1).to_pylist(), end_id), strict=True):
+                part.append((key, raw))
+                held += len(raw) // 4
                 if len(part) >= GROUP_PIECES or held >= GROUP_TOKENS:
                     out, seq = group(part, seq)
                     part, held = [], 0

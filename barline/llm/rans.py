@@ -5,7 +5,8 @@ serves every block. A block holds the ids of whole documents in ascending doc_id
 order. Token ``i`` belongs to lane ``i % lanes``; a step codes one token in each
 lane at once. Every ``CHECK_STEPS`` steps a checkpoint records the states of all
 lanes, the place in the word stream and a crc32 of the words up to the next
-checkpoint, so that a segment can be decoded and verified alone.
+checkpoint, so that a segment can be decoded and verified alone. A crc32 of the
+block's other columns guards them.
 
 Defined results: a null text is an empty text; an empty table gives no block;
 rows with equal doc_id all stay, next to each other; a null doc_id sorts first.
@@ -21,9 +22,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from barline.llm import common
 from barline.llm.tokens import encoder
@@ -36,7 +36,7 @@ BLOCK_TOKENS = 1 << 18
 
 BLOCK_SCHEMA = (
     "part int, seq int, start_in_part long, n_tokens long, lanes int, doc_ids array<long>, doc_tokens array<long>, "
-    "word_at array<long>, states binary, crcs array<long>, words binary"
+    "word_at array<long>, states binary, crcs array<long>, words binary, head_crc long"
 )
 
 
@@ -120,12 +120,11 @@ class Coder:
 def encoded(docs: DataFrame, path: str, end_id: int | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_tokens, ids): ids as packed little-endian numbers, with the end id."""
     width = "<u2" if encoder(path).vocabulary <= 1 << 16 else "<u4"
-    end = b"" if end_id is None else np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = encoder(path)
         for b in batches:
-            raw = [x + end for x in tokenizer.encode_all(b.column(1).to_pylist())]
+            raw = tokenizer.encode_all(b.column(1).to_pylist(), end_id)
             ids = [np.frombuffer(x, "<u4").astype(width).tobytes() for x in raw]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([len(x) // 4 for x in raw], pa.int64()), pa.array(ids, pa.binary())], ["doc_id", "n_tokens", "ids"])
 
@@ -150,10 +149,14 @@ def id_counts(ids: DataFrame, vocabulary: int) -> np.ndarray:
     return counts
 
 
+def head_crc(n: int, lanes: int, doc_ids: list[int | None], doc_tokens: list[int], word_at: list[int], states: bytes, crcs: list[int]) -> int:
+    return zlib.crc32(states, zlib.crc32(json.dumps([n, lanes, doc_ids, doc_tokens, word_at, crcs]).encode()))
+
+
 def write_blocks(ids: DataFrame, freq: np.ndarray, vocabulary: int, path: str) -> None:
     """Blocks of ``ids``, which must be sorted within partitions that ascend."""
     width = "<u2" if vocabulary <= 1 << 16 else "<u4"
-    schema = pa.schema([("part", pa.int32()), ("seq", pa.int32()), ("start_in_part", pa.int64()), ("n_tokens", pa.int64()), ("lanes", pa.int32()), ("doc_ids", pa.list_(pa.int64())), ("doc_tokens", pa.list_(pa.int64())), ("word_at", pa.list_(pa.int64())), ("states", pa.binary()), ("crcs", pa.list_(pa.int64())), ("words", pa.binary())])
+    schema = pa.schema([("part", pa.int32()), ("seq", pa.int32()), ("start_in_part", pa.int64()), ("n_tokens", pa.int64()), ("lanes", pa.int32()), ("doc_ids", pa.list_(pa.int64())), ("doc_tokens", pa.list_(pa.int64())), ("word_at", pa.list_(pa.int64())), ("states", pa.binary()), ("crcs", pa.list_(pa.int64())), ("words", pa.binary()), ("head_crc", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder, part, seq, start = Coder(freq), TaskContext.get().partitionId(), 0, 0
@@ -167,7 +170,7 @@ def write_blocks(ids: DataFrame, freq: np.ndarray, vocabulary: int, path: str) -
             tokens = np.frombuffer(b"".join(data), width)
             lanes = int(np.clip(len(tokens) // CHECK_STEPS, 1, LANES))
             at, states, crcs, words = coder.encode(tokens, lanes)
-            row = [part, seq, start, len(tokens), lanes, keys, sizes, at, states, crcs, words]
+            row = [part, seq, start, len(tokens), lanes, keys, sizes, at, states, crcs, words, head_crc(len(tokens), lanes, keys, sizes, at, states, crcs)]
             seq, start = seq + 1, start + len(tokens)
             keys, sizes, data, held = [], [], [], 0
             return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, schema, strict=True)], schema=schema)
@@ -199,16 +202,19 @@ def write_token_file(docs: DataFrame, vocabulary_path: str, path: str, end_id: i
     docs.sparkSession.createDataFrame(table, "id int, freq int").coalesce(1).write.parquet(f"{path}-table")
     ordered = staged.repartitionByRange(F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "n_tokens", "ids")
     write_blocks(ordered, freq, vocabulary, path)
+    common.delete(docs.sparkSession, f"{path}-ids")
+
+
+#: Rows of one number each up to which a side is broadcast.
+BROADCAST_ROWS = 100_000
 
 
-def part_starts(blocks: DataFrame) -> Column:
-    """Ids before each writing task, as a map literal: one entry a task, however much each wrote."""
-    rows = sorted((r["part"], r["n"]) for r in blocks.groupBy("part").agg(F.sum("n_tokens").alias("n")).collect())
-    total, starts = 0, {}
-    for part, n in rows:
-        starts[part], total = total, total + n
-    known = F.from_json(F.lit(json.dumps(starts)), T.MapType(T.StringType(), T.LongType()))
-    return known[F.col("part").cast("string")]
+def with_part_starts(blocks: DataFrame) -> DataFrame:
+    """Adds part_start, the ids before each writing task: one row a task is ordered, however much each wrote."""
+    parts = blocks.groupBy("part").agg(F.sum("n_tokens").alias("n"))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = common.stored(parts.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("part_start")))
+    return blocks.join(F.broadcast(starts) if starts.count() <= BROADCAST_ROWS else starts, "part")
 
 
 def read_token_file(spark: SparkSession, path: str) -> DataFrame:
@@ -223,6 +229,8 @@ def read_token_file(spark: SparkSession, path: str) -> DataFrame:
         coder = Coder(freq)
         for b in batches:
             for r in b.to_pylist():
+                if head_crc(r["n_tokens"], r["lanes"], *(r[c] for c in ("doc_ids", "doc_tokens", "word_at", "states", "crcs"))) != r["head_crc"]:
+                    raise ValueError(f"the head of a block of part {r['part']} is damaged")
                 ids = coder.decode(r["n_tokens"], r["lanes"], r["word_at"], r["states"], r["crcs"], r["words"])
                 raw = memoryview(ids.astype("<u4").tobytes())
                 ends = np.cumsum(np.array(r["doc_tokens"], np.int64))
@@ -233,8 +241,8 @@ def read_token_file(spark: SparkSession, path: str) -> DataFrame:
                     ["doc_id", "start", "n_tokens", "ids_crc32"],
                 )
 
-    cols = ["part", "start_in_part", "n_tokens", "lanes", "doc_ids", "doc_tokens", "word_at", "states", "crcs", "words"]
-    return blocks.select(*cols, part_starts(blocks).alias("part_start")).mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    cols = ["part", "start_in_part", "n_tokens", "lanes", "doc_ids", "doc_tokens", "word_at", "states", "crcs", "words", "head_crc", "part_start"]
+    return with_part_starts(blocks).select(*cols).mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -37,16 +37,21 @@ def spans(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nd
     return raw, starts, ends, np.searchsorted(starts, at)
 
 
-def hashed(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """A hash for each word of all texts, and each text's first word (one more at the end)."""
-    raw, starts, ends, first = spans(texts)
+def span_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A hash of the bytes of each span; equal bytes have equal hashes, wherever they stand."""
     p = _power(len(raw) + 1)
     total = np.zeros(len(raw) + 1, np.uint64)
     np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * p[:-1], out=total[1:])
     h = (total[ends] - total[starts]) * p[len(raw) - starts]
-    # the factor p**len(raw) is taken out, so that equal words agree between batches
+    # the factor p**len(raw) is taken out, so that equal bytes agree between batches
     inverse = np.uint64(pow(_BASE, -len(raw), 1 << 64))
-    return mix(h * inverse ^ (ends - starts).astype(np.uint64)), first
+    return mix(h * inverse ^ (ends - starts).astype(np.uint64))
+
+
+def hashed(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """A hash for each word of all texts, and each text's first word (one more at the end)."""
+    raw, starts, ends, first = spans(texts)
+    return span_hashes(raw, starts, ends), first
 
 
 def runs(h: np.ndarray, width: int) -> np.ndarray:
