@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barline.llm import common
-from barline.llm.components import components
+from barline.llm.components import components, forest
 
 THRESHOLD = 0.9
 BLOCK = 8192
@@ -69,24 +69,6 @@ def links(a: dict[str, np.ndarray], b: dict[str, np.ndarray], threshold: float)
     return i[keep], j[keep]
 
 
-def forest(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Edges (node, least node reachable), one for each node but the least."""
-    nodes, ends = np.unique(np.concatenate([u, v]), return_inverse=True)
-    a, b = ends[: len(u)], ends[len(u) :]
-    label = np.arange(len(nodes))
-    while True:
-        least = np.minimum(label[a], label[b])
-        new = label.copy()
-        np.minimum.at(new, a, least)
-        np.minimum.at(new, b, least)
-        new = np.minimum(new, new[new])
-        if (new == label).all():
-            break
-        label = new
-    other = label != np.arange(len(nodes))
-    return nodes[other], nodes[label[other]]
-
-
 def _tiles(t: pa.Table) -> Iterator[tuple[np.ndarray, dict[str, np.ndarray]]]:
     dims = t.column("dim").to_numpy()
     for dim in np.unique(dims):
