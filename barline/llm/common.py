@@ -111,6 +111,22 @@ def buckets(spark: SparkSession, documents: int) -> int:
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), documents // BUCKET_DOCS)
 
 
+def columns(df: DataFrame) -> list[Column]:
+    """All columns of ``df``, whatever they are called."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]
+
+
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, lengthened until ``df`` has no such column."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for n in names:
+        while n.lower() in taken:
+            n += "_"
+        taken.add(n.lower())
+        out.append(n)
+    return out
+
+
 def word_count(text: Column) -> Column:
     """Number of words; null counts as no text."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

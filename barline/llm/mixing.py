@@ -11,6 +11,8 @@ source leaves the schedule when its words taken reach its target.
 Hot sources: streams and ranks are summed in two levels, (source, md5 bucket) and
 (source, run of slots), so no task holds a source.
 
+Sources are few beside documents: what is known of each is one row, ordered in one task.
+
 Defined results: a null text has no words; a null source is a source of its own,
 last in order; documents without words are taken 0 times; repeated rows count each;
 an empty table gives no row. Columns other than the named ones are not read.
@@ -20,7 +22,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barline.llm import common
@@ -28,6 +30,8 @@ from barline.llm import common
 BLOCK_WORDS = 1024
 WEIGHTS = (5, 2, 1)
 MOST_REPEATS = 3
+#: Sources up to which what is known of each is broadcast.
+BROADCAST_ROWS = 100_000
 _POINT_BITS = 40
 _CELL_BITS = 12
 _RUN = 1 << 14
@@ -83,10 +87,46 @@ def mixed(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_
     ``k``, block, words: the mix in order, each slot taking the first ``words`` words
     of a block of its source.
     """
+    taken, slots = _mixed(docs, weights, most, block_words)
+    return taken.select("doc_id", "size", "source_size", "target", "taken"), slots
+
+
+def mixed_documents(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_REPEATS) -> DataFrame:
+    """Whole documents, as often as the mix takes their words, to the nearest number; with all columns of ``docs``.
+
+    A source's stream is in the order of ``h``, and its last round of blocks breaks off
+    somewhere: up to there each document is taken once more than beyond. So the mix comes
+    down to three values a source, and texts are not moved. Documents without words are
+    not taken; rows that share an id are taken equally often.
+    """
+    with common.passing(docs.sparkSession):
+        taken, _ = _mixed(docs, weights, most, BLOCK_WORDS)
+        n = F.round(F.col("taken") / F.col("size")).cast("int")
+        each = common.stored(taken.where("size > 0").groupBy("k", "h").agg(F.max(n).alias("n")))
+        span = each.groupBy("k").agg(F.min("n").alias("low"), F.max("n").alias("high"))
+        last = each.join(span, "k").where("n = high").groupBy("k").agg(F.max("h").alias("cut"))
+        rule = common.lasting(span.join(last, "k"))
+    k, h, times, one, low, high, cut = common.unused(docs, "k", "h", "times", "one", "low", "high", "cut")
+    rule = rule.select(F.col("k").alias(k), F.col("low").alias(low), F.col("high").alias(high), F.col("cut").alias(cut))
+    rule = F.broadcast(rule) if rule.count() <= BROADCAST_ROWS else rule
+    own = common.columns(docs)
+    rows = docs.where(F.coalesce(F.col("text").rlike(common.WORD), F.lit(False))).select(*own, _source_key().alias(k), _place().alias(h)).join(rule, k)
+    rows = rows.withColumn(times, F.when(F.col(h) <= F.col(cut), F.col(high)).otherwise(F.col(low))).where(F.col(times) > 0)
+    return rows.withColumn(one, F.explode(F.sequence(F.lit(1), F.col(times)))).select(*own)
+
+
+def _source_key() -> Column:
+    return F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("t"))  # null last
+
+
+def _place() -> Column:
+    """What a source's documents are ordered by."""
+    return F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")))
+
+
+def _mixed(docs: DataFrame, weights: tuple[int, ...], most: int, block_words: int) -> tuple[DataFrame, DataFrame]:
     b = F.lit(block_words).cast("long")
-    key = F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("t"))  # null last
-    order = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")))
-    d = common.stored(docs.select("doc_id", key.alias("k"), common.word_count(F.col("text")).alias("size"), order.alias("h")).withColumn("bucket", F.substring("h", 1, 3)))
+    d = common.stored(docs.select("doc_id", _source_key().alias("k"), common.word_count(F.col("text")).alias("size"), _place().alias("h")).withColumn("bucket", F.substring("h", 1, 3)))
     buckets = common.stored(d.groupBy("k", "bucket").agg(F.sum("size").alias("n")))
     src = targets(buckets.groupBy("k").agg(F.sum("n").alias("source_size")), weights, most)
     quota = F.floor(F.col("target") + 0.5).cast("long")
@@ -113,8 +153,8 @@ def mixed(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_
     lo = F.greatest(F.col("at") - F.col("block") * b, F.lit(0))
     hi = F.least(F.col("at") + F.col("size") - F.col("block") * b, b)
     got = F.coalesce(F.col("whole"), F.lit(0)) * (hi - lo) + F.greatest(F.least(hi, F.coalesce(F.col("part"), F.lit(0))) - lo, F.lit(0))
-    cols = ["doc_id", "size", "source_size", "target"]
-    taken = pieces.join(picks, ["k", "block"], "left").groupBy("k", "at", *cols).agg(F.sum(got).alias("taken"))
+    cols = ["k", "h", "doc_id", "size", "source_size", "target"]
+    taken = pieces.join(picks, ["k", "block"], "left").groupBy("at", *cols).agg(F.sum(got).alias("taken"))
     none = placed.where("size = 0").select(*cols, F.lit(0).cast("long").alias("taken"))
     return taken.select(*cols, "taken").unionByName(none), slots.select("slot", "k", "block", "words")
 

@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import corpus_pipeline
-from barline.llm import ann, embedding_dedup, mixing, ngram_join, packing, rans, secrets, sharding, substring_dedup, toxicity
+from barline.llm import ann, embedding_dedup, mixing, ngram_join, packing, pipeline, rans, secrets, sharding, substring_dedup, toxicity
 
 QUERIES = {
     "op1_token_output": rans.query,
@@ -16,7 +15,7 @@ QUERIES = {
     "op8_mixing": mixing.query,
     "op9_ngram_join": ngram_join.query,
     "op10_secrets": secrets.query,
-    "pipeline": corpus_pipeline.run,
+    "pipeline": pipeline.run,
 }
 
 SQL = {"op6_embedding_dedup": embedding_dedup.SQL, "op8_mixing": mixing.SQL}

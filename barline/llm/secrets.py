@@ -144,16 +144,19 @@ def redacted(docs: DataFrame) -> DataFrame:
 
     Values under LEAST_CHARS characters are replaced where no letter or digit adjoins them.
     """
-    secrets = scanned(docs).where("is_secret = 1").groupBy(F.col("doc_id").alias("_id")).agg(F.collect_set("value").alias("_values"))
-    joined = docs.join(common.stored(secrets), F.col("doc_id").eqNullSafe(F.col("_id")), "left")
-    longest = F.array_sort("_values", lambda a, b: F.when(F.length(a) > F.length(b), -1).when(F.length(a) < F.length(b), 1).when(a < b, -1).when(a > b, 1).otherwise(0))
+    id_, values = common.unused(docs, "id", "values")
+    with common.passing(docs.sparkSession):
+        secrets = scanned(docs).where("is_secret = 1").groupBy("doc_id").agg(F.collect_set("value").alias("values"))
+        secrets = common.lasting(secrets).toDF(id_, values)
+    joined = docs.join(secrets, F.col("doc_id").eqNullSafe(F.col(id_)), "left")
+    longest = F.array_sort(values, lambda a, b: F.when(F.length(a) > F.length(b), -1).when(F.length(a) < F.length(b), 1).when(a < b, -1).when(a > b, 1).otherwise(0))
     alone = lambda s: F.concat(F.lit(r"(?<![\p{L}0-9])\Q"), s, F.lit(r"\E(?![\p{L}0-9])"))
     blot = lambda t, s: F.when((F.length(s) < LEAST_CHARS) & ~s.contains("\\E"), F.regexp_replace(t, alone(s), F.lit(MARK))).otherwise(F.replace(t, s, F.lit(MARK)))
-    clean = F.when(F.col("_values").isNull(), F.col("text")).otherwise(F.aggregate(longest, F.col("text"), blot))
+    clean = F.when(F.col(values).isNull(), F.col("text")).otherwise(F.aggregate(longest, F.col("text"), blot))
     out = joined.withColumn("text", clean)
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("_values").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("long")))
-    return out.select(*docs.columns)
+        out = out.withColumn("n_chars", F.when(F.col(values).isNull(), F.col("n_chars")).otherwise(F.length("text").cast("long")))
+    return out.select(*common.columns(docs))
 
 
 def query(spark, sf_dir: str) -> DataFrame:

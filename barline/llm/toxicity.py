@@ -36,6 +36,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from barline.llm import common
 
@@ -190,17 +191,19 @@ def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e
     return t[:-1], float(t[-1])
 
 
-_FEATURES = [f"_tox{i}" for i in range(1 + POOL)]
+_FEATURES = [f"tox{i}" for i in range(1 + POOL)]
 
 
-def _pooled(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
+def _pooled(docs: DataFrame, model: Model, keep: list[str], features: list[str] = _FEATURES) -> DataFrame:
     """``keep`` columns and a text's features: its highest score alone, the POOL highest joint ones of words of different letters; all cut to CUT."""
-    fields = {f.name: f for f in docs.schema.fields}
+    every = docs.columns
+    kept = [every.index(k) for k in keep]
+    text = every.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, tuple[float, float, str]] = {}
         for b in batches:
-            cut = [units(t) if t else set() for t in b.column("text").to_pylist()]
+            cut = [units(t) if t else set() for t in b.column(text).to_pylist()]
             new = list(set().union(*cut).difference(known))
             known.update(zip(new, zip(*np.clip(model.both(new), *CUT).tolist(), ["".join(filter(str.isalpha, w)) for w in new], strict=True), strict=True))
             x = []
@@ -216,10 +219,10 @@ def _pooled(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
                 for u in new:
                     del known[u]
             columns = np.array(x, float).reshape(len(x), len(_FEATURES)).T
-            yield pa.RecordBatch.from_arrays([*(b.column(k) for k in keep), *(pa.array(c) for c in columns)], [*keep, *_FEATURES])
+            yield pa.RecordBatch.from_arrays([*(b.column(k) for k in kept), *(pa.array(c) for c in columns)], [*keep, *features])
 
-    schema = ", ".join([*(f"`{k}` {fields[k].dataType.simpleString()}" for k in keep), *(f"{f} double" for f in _FEATURES)])
-    return docs.select(*keep, *({"text"} - set(keep))).mapInArrow(run, schema)
+    schema = T.StructType([*(docs.schema.fields[k] for k in kept), *(T.StructField(f, T.DoubleType()) for f in features)])
+    return docs.toDF(*(f"c{i}" for i in range(len(every)))).mapInArrow(run, schema)  # whatever the columns are called
 
 
 def held_out(doc_id: Column) -> Column:
@@ -274,6 +277,11 @@ def _telling(rows: DataFrame, share: dict[int, int]) -> tuple[set[str], set[str]
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> Model:
     """Fits on labelled documents that are not held out, a bounded sample of them."""
     common.prepare(docs.sparkSession)
+    with common.passing(docs.sparkSession):
+        return _fit(docs, labels, label)
+
+
+def _fit(docs: DataFrame, labels: DataFrame, label: str) -> Model:
     known = labels.select("doc_id", F.col(label).cast("int").alias("y")).where(F.col("y").isin(0, 1) & ~held_out(F.col("doc_id")))
     by_hash = [F.xxhash64("doc_id"), "doc_id"]
     sample = known.where("y = 1").orderBy(*by_hash).limit(SAMPLE_TOXIC).unionByName(known.where("y = 0").orderBy(*by_hash).limit(SAMPLE_CLEAN))
@@ -313,7 +321,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> Model:
     if not any(f[0].any() for f in fitted):
         return constant(rate / (1 + rate))
     model = Model(np.stack([f[0] for f in fitted]), np.array([f[1] for f in fitted]), np.zeros(1 + POOL), 0.0)
-    got = _pooled(rows, model, ["y", "apart"]).toPandas()  # the sample's rows
+    got = _pooled(rows.select("y", "apart", "text"), model, ["y", "apart"]).toPandas()  # the sample's rows
     if got["apart"].any():
         got = got[(got["y"] == 1) | (got["apart"] == 1)]  # clean texts whose words the SVMs have not seen
     every = {r["y"]: r["n"] for r in known.groupBy("y").agg(F.count("*").alias("n")).collect()}
@@ -360,8 +368,8 @@ def _unit_svm(clean: DataFrame, witnesses: list[tuple[str, int]], stem_set: set[
     return out
 
 
-def _score(model: Model) -> Column:
-    z = sum((float(w) * F.col(f) for w, f in zip(model.slopes, _FEATURES, strict=True)), F.lit(model.offset))
+def _score(model: Model, features: list[str] = _FEATURES) -> Column:
+    z = sum((float(w) * F.col(f) for w, f in zip(model.slopes, features, strict=True)), F.lit(model.offset))
     z = F.greatest(F.least(z, F.lit(50.0)), F.lit(-50.0))
     return 1 / (1 + F.exp(-z))
 
@@ -376,7 +384,8 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
 def clean(docs: DataFrame, model: Model, below: float = 0.5) -> DataFrame:
     """The rows of ``docs`` that score less than ``below``, with all their columns."""
     common.prepare(docs.sparkSession)
-    return _pooled(docs, model, docs.columns).where(_score(model) < below).select(*docs.columns)
+    features = common.unused(docs, *_FEATURES)
+    return _pooled(docs, model, docs.columns, features).where(_score(model, features) < below).select(*common.columns(docs))
 
 
 def query(spark, sf_dir: str) -> DataFrame:
