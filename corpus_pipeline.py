@@ -1,58 +1,5 @@
-"""A corpus from documents: toxic ones go, one of each group of near copies stays, secrets
-are blotted out, sources are mixed to their weights, and what is left is packed.
+"""The corpus pipeline's stages; they are in ``barline.llm.pipeline``."""
 
-Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return
-the columns of documents. ``run`` writes each stage and reads it again.
-"""
+from barline.llm.pipeline import ORACLE_SQL, STAGES, run
 
-from __future__ import annotations
-
-import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from barline.llm import common, mixing, ngram_join, packing, secrets, toxicity
-
-
-def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that score below 0.5; the model learns from the tables' labelled documents."""
-    model = toxicity.fit(common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "labels"))
-    return toxicity.clean(docs, model)
-
-
-def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, the least doc_id, of each group that five-word runs link at 0.8; rows without an id stay."""
-    found = ngram_join.joined(docs, width=5, percent=80)
-    gone = found.where("doc_id <> component_id").select("doc_id")
-    return docs.join(common.stored(gone), "doc_id", "left_anti").select(*docs.columns)
-
-
-def blot_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return secrets.redacted(docs)
-
-
-def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Whole documents, each as often as the mix takes its words, to the nearest number.
-
-    Rows that share an id are taken equally often; documents without words go.
-    """
-    taken = mixing.mixed(docs)[0].where("size > 0").groupBy(F.col("doc_id").alias("_id")).agg(F.max(F.round(F.col("taken") / F.col("size"))).cast("int").alias("_n"))
-    many = docs.join(common.stored(taken.where("_n > 0")), F.col("doc_id").eqNullSafe(F.col("_id")))
-    return many.withColumn("_k", F.explode(F.sequence(F.lit(1), F.col("_n")))).select(*docs.columns)
-
-
-def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.packed(docs, public_tokenizers.path("byte_bpe_50k.json"), end_id=0)
-
-
-STAGES = [("toxicity", drop_toxic), ("ngram_join", drop_near_copies), ("secrets", blot_secrets), ("mixing", mix_sources), ("packing", pack)]
-
-#: No stage but mixing can be expressed in SQL.
-ORACLE_SQL = None
-
-
-def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = common.table(spark, sf_dir, "documents")
-    for _, stage in STAGES:
-        docs = common.stored(stage(spark, docs, sf_dir))
-    return docs
+__all__ = ["ORACLE_SQL", "STAGES", "run"]
