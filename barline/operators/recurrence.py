@@ -12,6 +12,7 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 EMAS = (7, 20, 12, 26)
@@ -88,23 +89,71 @@ def next_day(last: dict[str, float | None] | None, close: float | None) -> dict[
     return s
 
 
-def indicators(bars: DataFrame, carry: str = "exact") -> DataFrame:
+#: What a day takes over from the one before, besides the close.
+CARRIED = [*_AVERAGES, "rsi_ag", "rsi_al"]
+
+
+def _per_symbol(bars: DataFrame, run, outputs: list[str], drop: list[str] | None = None) -> DataFrame:
+    """``run`` over each symbol's bars in order of group_id: one shuffle, and Arrow batches that stream through."""
+
+    def symbol(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b, rows in run(batches):
+            yield pd.concat([b.drop(columns=drop or []).reset_index(drop=True), pd.DataFrame(rows, columns=outputs, dtype=float)], axis=1)
+
+    symbol.__annotations__ = {"batches": Iterator[pd.DataFrame], "return": Iterator[pd.DataFrame]}
+    schema = T.StructType([*(f for f in bars.schema.fields if f.name not in (drop or [])), *(T.StructField(c, T.DoubleType()) for c in outputs)])
+    return bars.repartition("symbol").sortWithinPartitions("symbol", "group_id").groupBy("symbol").applyInPandas(symbol, schema)
+
+
+def ema(bars: DataFrame, period: int, previous: DataFrame | None = None, value: str = "close_price") -> DataFrame:
+    """``bars`` with ema<period> of ``value``: null until ``period`` values are seen, then their mean, then smoothed.
+
+    ``previous`` (symbol, prev_ema) gives a symbol a value to go on from; null or no row starts it cold.
+    """
+    if period < 1:
+        raise ValueError("a period is 1 at least")
+    goes_on = previous is not None
+
+    def run(batches: Iterator[pd.DataFrame]):
+        s = None
+        for b in batches:
+            if s is None:
+                first = b["prev_ema"].iloc[0] if goes_on else None
+                s = {"x_value": None if pd.isna(first) else float(first), "x_sum": 0.0, "x_count": 0.0}
+            yield b, [(None if pd.isna(x) else _average(s, "x", period, float(x)),) for x in b[value]]
+
+    rows = bars if previous is None else bars.join(previous.select("symbol", "prev_ema"), "symbol", "left")
+    return _per_symbol(rows, run, [f"ema{period}"], ["prev_ema"] if previous is not None else None)
+
+
+def indicators(bars: DataFrame, carry: str = "exact", previous: DataFrame | None = None) -> DataFrame:
     """``bars`` with OUTPUTS, in order of group_id within each symbol.
 
     One shuffle, on the symbol; each symbol's bars stream through in Arrow batches, so
-    memory does not grow with history.
+    memory does not grow with history. ``previous`` (symbol, landing_date and prev_ columns
+    of CARRIED and close_price; one row per symbol and day, as ``prev_day_state`` gives) holds
+    what a day takes over, instead of what was computed for the day before.
     """
     if carry not in ("exact", "daily_rounded"):
         raise ValueError(f"no such carry: {carry}")
-    schema = T.StructType([*bars.schema.fields, *(T.StructField(c, T.DoubleType()) for c in OUTPUTS)])
+    if previous is not None and carry != "daily_rounded":
+        raise ValueError("only days take over stored outputs")
+    given = [f"prev_{c}" for c in (*CARRIED, "close_price")]
+    goes_on = previous is not None
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pd.DataFrame]):
         s, day, last, close = empty_state(), None, None, None
         for b in batches:
             rows = []
-            for c, d in zip(b["close_price"], b["landing_date"], strict=True):
+            stored = b[given].to_dict("records") if goes_on else None
+            for i, (c, d) in enumerate(zip(b["close_price"], b["landing_date"], strict=True)):
                 if carry == "daily_rounded" and d != day:
                     follows = day is not None and d - day == datetime.timedelta(days=1)
+                    if stored is not None:
+                        told = {k: None if pd.isna(v) else float(v) for k, v in stored[i].items()}
+                        close = told["prev_close_price"]
+                        last = {k: told[f"prev_{k}"] for k in CARRIED} if any(v is not None for v in told.values()) else None
+                        follows = True
                     s, day = next_day(last if follows else None, close), d
                 if pd.isna(c):
                     rows.append(dict.fromkeys(OUTPUTS))
@@ -114,11 +163,7 @@ def indicators(bars: DataFrame, carry: str = "exact") -> DataFrame:
                     out = {k: half_up(v, PLACES[k]) for k, v in out.items()}
                 last, close = out, float(c)
                 rows.append(out)
-            yield pd.concat([b.reset_index(drop=True), pd.DataFrame(rows, columns=OUTPUTS, dtype=float)], axis=1)
-
-    def symbol(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        yield from run(batches)
+            yield b, rows
 
-    symbol.__annotations__ = {"batches": Iterator[pd.DataFrame], "return": Iterator[pd.DataFrame]}
-    ordered = bars.repartition("symbol").sortWithinPartitions("symbol", "group_id")
-    return ordered.groupBy("symbol").applyInPandas(symbol, schema)
+    rows = bars if previous is None else bars.join(previous.select("symbol", "landing_date", *(F.col(c).cast("double").alias(c) for c in given)), ["symbol", "landing_date"], "left").select(*bars.columns, *given)
+    return _per_symbol(rows, run, OUTPUTS, given if previous is not None else None)

@@ -5,31 +5,57 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barline.operators.bars import klines_batch
+from barline.operators.bars import klines_batch, prev_day_state
 from barline.operators.patterns import patterns
 from barline.operators.recurrence import indicators
 
 BAR_COLUMNS = ["group_id", "group_date", "open_time", "open_price", "high_price", "low_price", "close_price", "volume", "close_time", "landing_date", "symbol"]
 
 
-def backfill(trades: DataFrame, first: str, last: str, width: int = 900, carry: str = "daily_rounded") -> dict[str, DataFrame]:
+class Tables(dict):
+    """Named tables that share cached inputs; ``free`` lets go of these once the tables are written."""
+
+    shared: tuple[DataFrame, ...] = ()
+
+    def free(self) -> None:
+        for df in self.shared:
+            df.unpersist()
+
+
+def _tables(bars: DataFrame, full: DataFrame, by_day: bool) -> Tables:
+    """klines, macd, rsi6 and the three pattern tables from bars and their indicators."""
+    marked = patterns(full, by_day)
+    out = Tables(klines=bars, macd=full.select(*BAR_COLUMNS, "ema12", "ema26", "macd", "signal", "histogram"), rsi6=full.select(*BAR_COLUMNS, "rsi6", "rsi_ag", "rsi_al"))
+    for n in ("one", "two", "three"):
+        out[f"pattern_{n}"] = marked.select(*BAR_COLUMNS, "ema7", "ema20", "trend", F.col(f"pattern_{n}").alias("pattern"))
+    out.shared = (bars, full)
+    return out
+
+
+def backfill(trades: DataFrame, first: str, last: str, width: int = 900, carry: str = "daily_rounded") -> Tables:
     """klines, macd, rsi6 and the three pattern tables for every symbol and day between two dates.
 
     Days are carried within one pass per symbol, so a range needs no day-by-day jobs and
-    later days follow when an earlier one changes.
+    later days follow when an earlier one changes. Bars and indicators are cached for the
+    tables; ``free`` them when these are written.
     """
     days = F.col("landing_date").between(F.to_date(F.lit(first)), F.to_date(F.lit(last)))
     bars = klines_batch(trades.where(days), width).select(*BAR_COLUMNS).persist()
-    full = indicators(bars, carry).persist()
-    marked = patterns(full, by_day=carry == "daily_rounded")
-    out = {"klines": bars, "macd": full.select(*BAR_COLUMNS, "ema12", "ema26", "macd", "signal", "histogram"), "rsi6": full.select(*BAR_COLUMNS, "rsi6", "rsi_ag", "rsi_al")}
-    for n in ("one", "two", "three"):
-        hit = F.col(f"pattern_{n}")
-        out[f"pattern_{n}"] = marked.select(*BAR_COLUMNS, "ema7", "ema20", "trend", hit.alias("pattern"))
-    return out
+    return _tables(bars, indicators(bars, carry).persist(), by_day=carry == "daily_rounded")
+
 
+def run_day(trades: DataFrame, stored: dict[str, DataFrame], day: str, width: int = 900) -> Tables:
+    """One day's tables for all symbols, carried on from the stored tables of the day before.
 
-def run_day(trades: DataFrame, day: str, width: int = 900) -> dict[str, DataFrame]:
-    """One day's tables for all symbols; all earlier days in ``trades`` give the carried state."""
-    tables = backfill(trades, "0001-01-01", day, width)
-    return {k: v.where(F.col("landing_date") == F.to_date(F.lit(day))) for k, v in tables.items()}
+    Of ``stored`` (macd, rsi6 and pattern_one as this function or ``backfill`` gave them) only
+    the partitions of that day are read, and their last bar of each symbol counts. A symbol
+    without one starts cold, and so does an indicator whose stored value is null.
+    """
+    date = F.to_date(F.lit(day))
+    bars = klines_batch(trades.where(F.col("landing_date") == date), width).select(*BAR_COLUMNS).persist()
+    days = bars.select("symbol", "landing_date").distinct()
+    last = {t: stored[t].where(F.col("landing_date") == F.date_sub(date, 1)) for t in ("macd", "rsi6", "pattern_one")}
+    previous = prev_day_state(last["macd"], days, ["ema12", "ema26", "signal"])
+    for table, columns in (("rsi6", ["rsi_ag", "rsi_al", "close_price"]), ("pattern_one", ["ema7", "ema20"])):
+        previous = previous.join(prev_day_state(last[table], days, columns), ["symbol", "landing_date"])
+    return _tables(bars, indicators(bars, "daily_rounded", previous).persist(), by_day=True)

@@ -23,8 +23,12 @@ def session(name: str = "barline", options: dict[str, str] | None = None) -> Spa
 
 
 def scratch(spark: SparkSession) -> str:
-    """A new folder below ``spark.checkpoint.dir``; a temporary one only where that is unset."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="spark-")
+    """A new folder below ``spark.checkpoint.dir``; where that is unset and all runs on one machine, a temporary one."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if spark.sparkContext.master != "local" and not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        base = "file://" + tempfile.mkdtemp(prefix="spark-")
     return f"{base.rstrip('/')}/bars-{uuid.uuid4().hex}"
 
 
@@ -52,8 +56,12 @@ def upsert_partitions(df: DataFrame, table: str, keys: tuple[str, ...] = PARTITI
     if not table_exists(spark, table):
         df.write.partitionBy(*keys).format("parquet").saveAsTable(table)
         return
+    mode = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    df.select(*spark.table(table).columns).write.insertInto(table, overwrite=True)
+    try:
+        df.select(*spark.table(table).columns).write.insertInto(table, overwrite=True)
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", mode)
 
 
 def partition_scan(df: DataFrame, symbol: str, landing_date: str) -> DataFrame:

@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barline.functions.columns import bar_keys, candle_shape, round_half_up, sink_cast
+from barline.functions.columns import bar_keys, candle_shape, lineage_columns, round_half_up, sink_cast
 from barline.operators import bars as B
 from barline.operators import patterns as P
 from barline.operators import serving as S
-from barline.operators.recurrence import OUTPUTS, indicators
+from barline.operators.recurrence import OUTPUTS, ema, indicators
 from barline.plans import jobs, storage
 from barline.sources import trades as T
 from barline.streaming import streams
@@ -79,10 +79,65 @@ def prices_stream(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def multi_sink(spark: SparkSession, sf: str) -> DataFrame:
-    """Closed 15-minute bars of a stream, written by the serving sink and read back."""
-    bars, path = streams.klines_stream(T.json_trades(_messages(spark, sf, True))), storage.scratch(spark)
-    streams.multi_sink(bars, f"{path}/checkpoint", [lambda rows, n: streams.serving_write(rows, n, f"{path}/out")], availableNow=True).awaitTermination()
-    return _start_us(spark.read.schema(bars.schema).parquet(f"{path}/out/batch=*")).select("symbol", "window_start", "close_price", "volume")
+    """One stateful stream feeding bars, indicators and patterns to sinks of their own, read back and joined.
+
+    Bars go to the serving sink, indicators to messages that are decoded again, patterns to a sharded sink.
+    """
+    path = storage.scratch(spark)
+    bars = lambda rows, n: streams.serving_write(rows, n, f"{path}/bars")
+    indicators = lambda rows, n: streams.keyed_json(rows).write.mode("overwrite").parquet(f"{path}/indicators/batch={n}")
+    patterns = lambda rows, n: streams.shard_json(rows, n, f"{path}/patterns")
+    streams.crypto_stream(_messages(spark, sf, True), f"{path}/checkpoint", [bars], [indicators], [patterns], "60 minutes", availableNow=True).awaitTermination()
+    at = "symbol string, landing_date date, window_start timestamp"
+    served = spark.read.schema(f"{at}, close_price double, volume double, created_at date").parquet(f"{path}/bars/batch=*").where("created_at is not null").drop("created_at")
+    told = streams.indicators_stream_reader(spark.read.schema("key string, value string").parquet(f"{path}/indicators/batch=*"))
+    marked = streams.indicators_stream_reader(spark.read.schema("key string, value string").json(f"{path}/patterns/batch=*")).select("symbol", "window_start", F.col("pattern").alias("sent_pattern"))
+    rows = served.drop("landing_date").join(told.select("symbol", "window_start", "ema7", "rsi6", "pattern"), ["symbol", "window_start"]).join(marked, ["symbol", "window_start"], "left")
+    return rows.withColumn("window_start", F.unix_micros("window_start"))
+
+
+def avg_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """The average of each symbol as a stream has it at its end; each batch in update mode."""
+    path = storage.scratch(spark)
+    rows = streams.avg_by_symbol(T.json_trades(_messages(spark, sf, True)))
+    write = lambda df, n: df.write.mode("overwrite").parquet(f"{path}/out/batch={n}")
+    rows.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    out = spark.read.schema("symbol string, avg_price double, batch long").option("basePath", f"{path}/out").parquet(f"{path}/out")
+    return out.groupBy("symbol").agg(F.max_by("avg_price", "batch").alias("avg_price"))
+
+
+def stream_to_table(spark: SparkSession, sf: str) -> DataFrame:
+    """Price messages as a stream, appended to a folder partitioned by ticker, and read back."""
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    events = spark.readStream.schema(spark.read.parquet(f"{sf}/events.parquet").schema).parquet(f"{sf}/events.parque[t]")
+    rows = events.select(F.col("event_type").alias("ticker"), F.col("event_id").alias("reading_id"), F.col("value").cast("decimal(6,2)").alias("reading"))
+    path = storage.scratch(spark)
+    streams.stream_to_table(rows, f"{path}/out", f"{path}/checkpoint", ["ticker"], availableNow=True).awaitTermination()
+    return spark.read.schema(rows.schema).option("basePath", f"{path}/out").parquet(f"{path}/out").select("ticker", "reading_id", F.col("reading").cast("double").alias("reading"))
+
+
+def run_day(spark: SparkSession, sf: str) -> DataFrame:
+    """A day's MACD from the tables of the days before, which are written and partitioned."""
+    trades, stored, path = _trades(spark, sf), {}, storage.scratch(spark)
+    tables = jobs.backfill(trades, "1970-01-01", "2024-01-04")
+    for name in ("macd", "rsi6", "pattern_one"):
+        tables[name].repartition("symbol", "landing_date").write.partitionBy("symbol", "landing_date").parquet(f"{path}/{name}")
+        stored[name] = spark.read.schema(tables[name].schema).parquet(f"{path}/{name}")
+    tables.free()
+    return jobs.run_day(trades, stored, "2024-01-05")["macd"].select("symbol", "group_id", "close_price", "macd", "signal", "histogram")
+
+
+def lineage(spark: SparkSession, sf: str) -> DataFrame:
+    """Trades stamped with a day and a symbol; that the stamps of now are there shows in ``stamped``."""
+    rows = lineage_columns(_trades(spark, sf), "all", "2024-02-03")
+    return rows.select("agg_trade_id", "symbol", "landing_date", (F.col("transform_date").isNotNull() & (F.to_date("transform_timestamp") == F.col("transform_date"))).alias("stamped"))
+
+
+def partition_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """One partition of trades written by symbol and day."""
+    path, rows = storage.scratch(spark), _trades(spark, sf)
+    rows.repartition("symbol", "landing_date").write.partitionBy("symbol", "landing_date").parquet(path)
+    return storage.partition_scan(spark.read.schema(rows.schema).parquet(path), "view", "2024-01-03").select("agg_trade_id", "price", "timestamp")
 
 
 def csv_trades_scan(spark: SparkSession, sf: str) -> DataFrame:
@@ -111,12 +166,13 @@ def prev_day_state(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def table_round_trip(spark: SparkSession, sf: str) -> DataFrame:
-    """Bars written as a partitioned table, one partition written again, and read back by partition."""
+    """Bars written as a partitioned table, one partition written again with other values, and all of the table read back."""
     table = f"bars_{storage.scratch(spark).rsplit('-', 1)[1]}"
     rows = _bars(spark, sf)
     storage.upsert_partitions(rows, table)
-    storage.upsert_partitions(rows.where("symbol = 'click'"), table)
-    return storage.partition_scan(spark.table(table), "click", "2024-01-02").select("symbol", "group_id", "close_price", "volume")
+    changed = rows.where("symbol = 'click' and landing_date = date'2024-01-02'").withColumn("volume", F.col("volume") + 1000)
+    storage.upsert_partitions(changed, table)
+    return spark.table(table).select("symbol", "landing_date", "group_id", "close_price", "volume")
 
 
 QUERIES = {
@@ -133,8 +189,8 @@ QUERIES = {
     "pattern_one_daily": _daily("pattern_one"),
     "pattern_two_daily": _daily("pattern_two"),
     "pattern_three_daily": _daily("pattern_three"),
-    "run_day": lambda s, d: jobs.run_day(_trades(s, d).where("landing_date >= '2024-01-04'"), "2024-01-05")["macd"].select("symbol", "group_id", "close_price", "macd", "signal", "histogram"),
-    "run_day_history": lambda s, d: jobs.run_day(_trades(s, d), "2024-01-05")["macd"].select("symbol", "group_id", "close_price", "macd", "signal", "histogram"),
+    "run_day": run_day,
+    "run_day_history": lambda s, d: jobs.backfill(_trades(s, d), "1970-01-01", "2024-01-05")["macd"].where("landing_date = date'2024-01-05'").select("symbol", "group_id", "close_price", "macd", "signal", "histogram"),
     "lag_prev": lambda s, d: P.lags(_bars(s, d)).select("symbol", "group_id", "o1", "c1", "h1", "l1", "o2", "c2"),
     "pattern_one": lambda s, d: _marked(s, d).where("pattern_one is not null").select("symbol", "group_id", F.col("pattern_one").alias("pattern")),
     "pattern_two": lambda s, d: _marked(s, d).where("pattern_two is not null").select("symbol", "group_id", F.col("pattern_two").alias("pattern")),
@@ -150,13 +206,17 @@ QUERIES = {
     "distinct_symbols": lambda s, d: S.distinct_symbols(_trades(s, d)),
     "trade_preview": lambda s, d: S.trade_preview(_trades(s, d)),
     "prev_day_state": prev_day_state,
-    "sink_cast": lambda s, d: sink_cast(_full(s, d)).select("symbol", "group_id", "rsi6", "macd"),
+    "sink_cast": lambda s, d: sink_cast(_full(s, d)).select("symbol", "group_id", *(F.col(c).cast("double").alias(c) for c in ("close_price", "rsi6", "macd", "ema26"))),
+    "ema": lambda s, d: ema(_bars(s, d), 12).select("symbol", "group_id", "ema12"),
+    "lineage_columns": lineage,
+    "avg_by_symbol_stream": avg_stream,
+    "stream_to_table": stream_to_table,
     "trades_to_messages": lambda s, d: _messages(s, d, False).select("key", F.get_json_object("value", "$.agg_trade_id").cast("long").alias("agg_trade_id"), F.get_json_object("value", "$.price").cast("double").alias("price")),
     "json_trades": lambda s, d: T.json_trades(_messages(s, d, False)).select("agg_trade_id", "symbol", "price", "quantity", "ts_int", "is_buyer_maker"),
     "event_time": lambda s, d: T.json_trades(_messages(s, d, False)).select("agg_trade_id", F.unix_micros("ts").alias("ts_us")),
     "csv_trades_scan": csv_trades_scan,
     "landing_scan": landing_scan,
-    "partition_scan": lambda s, d: storage.partition_scan(_trades(s, d), "view", "2024-01-03").select("agg_trade_id", "price", "timestamp"),
+    "partition_scan": partition_scan,
     "keyed_json_sink": keyed_json,
     "prices_stream": prices_stream,
     "multi_sink": multi_sink,
@@ -259,7 +319,6 @@ f AS (SELECT c.*, {", ".join(f"{_half_up(f'{a}_v', p)} AS {a}" for a, p in _ROUN
   {_half_up("(CASE WHEN al = 0 THEN 100 WHEN ag = 0 THEN 0 ELSE 100 - 100 / (1 + ag / al) END)", 2)} AS rsi6, {_half_up("ag", 6)} AS rsi_ag, {_half_up("al", 6)} AS rsi_al FROM c JOIN d USING (symbol, n))"""
 _DAILY = f"WITH RECURSIVE {_T}, {_b(900)}, {_DAY}"
 _DAILY_ALL = f"{_DAILY}, {_M.replace('PARTITION BY symbol', 'PARTITION BY symbol, landing_date')}"
-_ONE_DAY = _DAILY.replace("FROM events)", "FROM events WHERE ts::DATE BETWEEN DATE '2024-01-04' AND DATE '2024-01-05')")
 _BAR = ", ".join(jobs.BAR_COLUMNS)
 _BARS = f"WITH {_T}, {_b(HOUR)}"
 _FULL = f"WITH RECURSIVE {_T}, {_b(HOUR)}, {_I}"
@@ -290,11 +349,11 @@ SQL = {
     "trades_to_messages": f"WITH {_T} SELECT symbol AS key, id AS agg_trade_id, price FROM t WHERE price IS NOT NULL AND quantity IS NOT NULL",
     "json_trades": f"WITH {_T} SELECT id AS agg_trade_id, symbol, price, quantity, us AS ts_int, symbol = 'purchase' AS is_buyer_maker FROM t WHERE price IS NOT NULL AND quantity IS NOT NULL",
     "avg_by_symbol": f"WITH {_T} SELECT symbol, round(avg(price), 6) AS avg_price FROM t GROUP BY symbol",
-    "upsert_partitions": f"{_BARS} SELECT symbol, group_id, close_price, volume FROM b WHERE symbol = 'click' AND landing_date = DATE '2024-01-02'",
+    "upsert_partitions": f"{_BARS} SELECT symbol, landing_date, group_id, close_price, volume + CASE WHEN symbol = 'click' AND landing_date = DATE '2024-01-02' THEN 1000 ELSE 0 END AS volume FROM b",
     "macd_daily": f"{_DAILY} SELECT {_BAR}, ema12, ema26, macd, signal, histogram FROM f",
     "rsi_daily": f"{_DAILY} SELECT {_BAR}, rsi6, rsi_ag, rsi_al FROM f",
     **{f"pattern_{n}_daily": f"{_DAILY_ALL} SELECT {_BAR}, ema7, ema20, trend, pattern_{n} AS pattern FROM q" for n in ("one", "two", "three")},
-    "run_day": f"{_ONE_DAY} SELECT symbol, group_id, close_price, macd, signal, histogram FROM f WHERE landing_date = DATE '2024-01-05'",
+    "run_day": f"{_DAILY} SELECT symbol, group_id, close_price, macd, signal, histogram FROM f WHERE landing_date = DATE '2024-01-05'",
     "run_day_history": f"{_DAILY} SELECT symbol, group_id, close_price, macd, signal, histogram FROM f WHERE landing_date = DATE '2024-01-05'",
     "trend": f"{_ALL} SELECT symbol, group_id, trend FROM q",
     "pattern_priority": f"{_ALL} SELECT symbol, group_id, pattern_one, pattern_two, pattern_three, pattern FROM q",
@@ -305,7 +364,12 @@ SQL = {
     "partition_scan": f"WITH {_T} SELECT id AS agg_trade_id, price, us AS timestamp FROM t WHERE symbol = 'view' AND landing_date = DATE '2024-01-03'",
     "keyed_json_sink": f"{_BARS} SELECT symbol AS key, group_id, close_price FROM b",
     "prices_stream": "SELECT event_type AS ticker, value AS price, epoch_us(ts) AS event_time FROM events",
-    "multi_sink": f"WITH {_T}, {_closed(900)} SELECT symbol, window_start, close_price, volume FROM (SELECT {_window(900)} FROM b)",
+    "multi_sink": f"WITH RECURSIVE {_T}, {_closed(HOUR)}, {_I}, {_M} SELECT symbol, group_id * {HOUR * 1000000} AS window_start, close_price, volume, ema7, rsi6, pattern, pattern AS sent_pattern FROM q",
+    "sink_cast": f"{_FULL} SELECT symbol, group_id, close_price::DECIMAL(10,6)::DOUBLE AS close_price, rsi6::DECIMAL(5,2)::DOUBLE AS rsi6, macd::DECIMAL(18,8)::DOUBLE AS macd, ema26::DECIMAL(10,6)::DOUBLE AS ema26 FROM f",
+    "ema": f"{_FULL} SELECT symbol, group_id, ema12 FROM f",
+    "lineage_columns": f"WITH {_T} SELECT id AS agg_trade_id, 'all' AS symbol, DATE '2024-02-03' AS landing_date, true AS stamped FROM t",
+    "avg_by_symbol_stream": f"WITH {_T} SELECT symbol, round(avg(price), 6) AS avg_price FROM t WHERE price IS NOT NULL AND quantity IS NOT NULL GROUP BY symbol",
+    "stream_to_table": "SELECT event_type AS ticker, event_id AS reading_id, value::DECIMAL(6,2)::DOUBLE AS reading FROM events",
     "klines_stream": f"WITH {_T}, {_closed(900)} SELECT {_window(900)} FROM b",
     "indicator_stream": f"WITH RECURSIVE {_T}, {_closed(HOUR)}, {_I}, {_M} SELECT {_window(HOUR)}, {', '.join(OUTPUTS)}, trend, pattern FROM q",
 }

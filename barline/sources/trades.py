@@ -55,7 +55,10 @@ def trades_to_messages(raw: DataFrame) -> DataFrame:
 
 
 def json_trades(messages: DataFrame, strict: bool = False) -> DataFrame:
-    """Messages, streamed or not, to trades with event time ``ts``. Malformed ones are skipped; ``strict`` fails on them."""
+    """Messages, streamed or not, to trades with event time ``ts``. Malformed ones are skipped; ``strict`` fails on them.
+
+    A sharded stream, which has no option to ignore errors, is read ``strict``.
+    """
     if strict:
         rows = messages.select(F.from_json(F.col("value").cast("string"), MESSAGE_SCHEMA, {"mode": "FAILFAST"}).alias("m")).select("m.*")
     else:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -73,7 +73,21 @@ def indicator_stream(bars: DataFrame) -> DataFrame:
     return df.select(*_BAR.names, *OUTPUTS, "trend", "pattern")
 
 
+def crypto_stream(messages: DataFrame, checkpoint: str, bars: list[Callable[[DataFrame, int], None]], indicators: list[Callable[[DataFrame, int], None]], patterns: list[Callable[[DataFrame, int], None]], width: str = WIDTH, **trigger) -> StreamingQuery:
+    """The whole job: messages to bars and indicators, fed to three kinds of sinks by one stateful query.
+
+    Indicator rows hold all columns of the bars, so the bars' sinks get these; the
+    patterns' sinks get the rows that have one.
+    """
+    from barline.sources.trades import json_trades
+
+    rows = indicator_stream(klines_stream(json_trades(messages), width))
+    of_bars = [lambda df, n, s=s: s(df.select(*_BAR.names), n) for s in bars]
+    return multi_sink(rows, checkpoint, [*of_bars, *indicators, *(split_by_predicate(F.col("pattern").isNotNull(), s) for s in patterns)], **trigger)
+
+
 def avg_by_symbol(rows: DataFrame) -> DataFrame:
+    """Average price of each symbol; over a stream, of all rows so far (update or complete mode)."""
     return rows.groupBy("symbol").agg(F.round(F.avg("price"), 6).alias("avg_price"))
 
 
@@ -82,10 +96,45 @@ def keyed_json(rows: DataFrame, key: str = "symbol") -> DataFrame:
     return rows.select(F.col(key).alias("key"), F.to_json(F.struct(*rows.columns)).alias("value"))
 
 
-def serving_write(rows: DataFrame, batch: int, path: str) -> None:
-    """One batch of a stream as files of its own: a batch that is run again replaces itself."""
-    made = rows.withColumn("created_at", F.current_date())
-    made.sortWithinPartitions("symbol", "window_start").write.mode("overwrite").partitionBy("symbol", "landing_date").parquet(f"{path}/batch={batch}")
+def shard_json(rows: DataFrame, batch: int, path: str, most: int = 100, key: str = "symbol") -> None:
+    """One batch of a stream as keyed JSON messages in files of ``most`` messages at most, the requests of a sharded sink.
+
+    A batch that is run again replaces itself.
+    """
+    keyed_json(rows, key).write.mode("overwrite").option("maxRecordsPerFile", most).json(f"{path}/batch={batch}")
+
+
+def serving_write(rows: DataFrame, batch: int, path: str, most: int = 5000, tries: int = 3) -> None:
+    """One batch of a stream as files of ``most`` rows at most, of its own: a batch that is run again replaces itself.
+
+    A write that fails is tried again, ``tries`` times in all.
+    """
+    made = rows.withColumn("created_at", F.current_date()).sortWithinPartitions("symbol", "window_start")
+    for n in range(tries):
+        try:
+            made.write.mode("overwrite").option("maxRecordsPerFile", most).partitionBy("symbol", "landing_date").parquet(f"{path}/batch={batch}")
+            return
+        except Exception:
+            if n + 1 == tries:
+                raise
+
+
+def split_by_predicate(predicate: Column, sink: Callable[[DataFrame, int], None], otherwise: Callable[[DataFrame, int], None] | None = None) -> Callable[[DataFrame, int], None]:
+    """A sink that hands rows for which ``predicate`` holds to ``sink``, and the others to ``otherwise``, if given."""
+
+    def write(rows: DataFrame, batch: int) -> None:
+        sink(rows.where(predicate), batch)
+        if otherwise:
+            otherwise(rows.where(~F.coalesce(predicate, F.lit(False))), batch)
+
+    return write
+
+
+def indicators_stream_reader(messages: DataFrame) -> DataFrame:
+    """The emitted indicators, read back from their messages (value), streamed or not; malformed ones are skipped."""
+    fields = T.StructType([*_BAR.fields, *(T.StructField(c, T.DoubleType()) for c in OUTPUTS), T.StructField("trend", T.StringType()), T.StructField("pattern", T.StringType())])
+    parsed = F.from_json(F.col("value").cast("string"), fields)
+    return messages.select(parsed.alias("m")).select("m.*").where("symbol is not null and window_start is not null")
 
 
 def multi_sink(rows: DataFrame, checkpoint: str, sinks: list[Callable[[DataFrame, int], None]], **trigger) -> StreamingQuery:

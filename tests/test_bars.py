@@ -7,7 +7,7 @@ from barline import queries as Q
 from barline.functions.columns import round_half_up, sink_cast
 from barline.operators import patterns as P
 from barline.operators.bars import klines_batch
-from barline.operators.recurrence import empty_state, half_up, indicators, step
+from barline.operators.recurrence import ema, empty_state, half_up, indicators, step
 from barline.plans import jobs, storage
 from barline.sources import trades as T
 from barline.streaming import streams
@@ -32,7 +32,7 @@ def test_query_equals_sql(spark, con, name):
     for df in (a, b):
         if "landing_date" in df:
             df["landing_date"] = pd.to_datetime(df["landing_date"]).dt.strftime("%Y-%m-%d")
-    key = [c for c in ("symbol", "key", "ticker", "group_id", "window_start", "event_time", "agg_trade_id", "landing_date", "price") if c in cols]
+    key = [c for c in ("symbol", "key", "ticker", "reading_id", "group_id", "window_start", "event_time", "agg_trade_id", "landing_date", "price") if c in cols]
     a, b = (df[cols].sort_values(key).reset_index(drop=True) for df in (a, b))
     pd.testing.assert_frame_equal(a, b, check_dtype=False, check_exact=True)
 
@@ -124,25 +124,101 @@ def test_files_and_tables(spark, tmp_path):
     assert Q.table_round_trip(spark, SF).count() > 0
 
 
-def test_run_day_carries_the_day_before(spark):
+@pytest.mark.parametrize("day", ["2024-01-02", "2024-01-03", "2024-01-06"])
+def test_run_day_goes_on_from_stored_tables(spark, day):
     trades = T.trades_view(spark.read.parquet(f"{SF}/events.parquet"))
-    cold = jobs.run_day(trades.where("landing_date = '2024-01-03'"), "2024-01-03")["rsi6"]
-    warm = jobs.run_day(trades, "2024-01-03")["rsi6"]
-    assert warm.where("rsi6 is null").count() < cold.where("rsi6 is null").count()
-    assert warm.count() == cold.count()
-
-
-def test_run_day_carries_every_earlier_day(spark):
-    sf = SF.replace("0.001", "0.01")
-    c = duckdb.connect()
-    c.execute("set timezone='UTC'")
-    c.execute(f"create view events as select * from '{sf}/events.parquet'")
-    want = c.execute(Q.SQL["macd_daily"]).fetchdf()
-    want = want[pd.to_datetime(want.landing_date) == "2024-01-05"]
-    got = jobs.run_day(T.trades_view(spark.read.parquet(f"{sf}/events.parquet")), "2024-01-05")["macd"].toPandas()
-    cols = ["symbol", "group_id", "ema12", "ema26", "macd", "signal", "histogram"]
-    a, b = (x[cols].sort_values(cols[:2]).reset_index(drop=True) for x in (got, want))
-    pd.testing.assert_frame_equal(a, b, check_dtype=False, check_exact=True)
+    before = pd.Timestamp(day) - pd.Timedelta(days=1)
+    stored = jobs.backfill(trades, "1970-01-01", str(before.date()))
+    got, want = jobs.run_day(trades, stored, day), jobs.backfill(trades, "1970-01-01", day)
+    for name in want:
+        a, b = (x.where(F.col("landing_date") == F.to_date(F.lit(day))) for x in (got[name], want[name]))
+        assert a.count() == b.count() > 0 and a.exceptAll(b).count() == 0, name
+    assert jobs.run_day(trades, {k: v.where("false") for k, v in stored.items()}, day)["macd"].where("ema26 is null").count() > 0
+    stored.free()
+
+
+def test_ema_goes_on_from_a_value(spark):
+    df = bars(spark, [(1, 1, 1, x) for x in range(1, 9)])
+    got = [r["ema3"] for r in ema(df, 3).orderBy("group_id").collect()]
+    assert got[:4] == [None, None, 2.0, 3.0]
+    went_on = ema(df, 3, spark.createDataFrame([("s", 5.0)], "symbol string, prev_ema double")).orderBy("group_id").collect()
+    assert went_on[0]["ema3"] == 3.0 and "prev_ema" not in went_on[0].asDict()
+    cold = ema(df, 3, spark.createDataFrame([("other", 5.0)], "symbol string, prev_ema double")).orderBy("group_id").collect()
+    assert [r["ema3"] for r in cold] == got
+    with pytest.raises(ValueError, match="period"):
+        ema(df, 0)
+
+
+def test_catalog(spark):
+    storage.create_database(spark, "shelf")
+    storage.upsert_partitions(bars(spark, [(1, 1, 1, 1)]), "shelf.bars")
+    assert storage.list_tables(spark, "shelf") == ["bars"] and storage.table_exists(spark, "shelf.bars")
+    assert storage.session(options={"spark.sql.shuffle.partitions": "4"}) is not None
+    scan = storage.partition_scan(spark.table("shelf.bars"), "s", "2024-01-01")
+    plan = scan._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(symbol" in plan and scan.count() == 1
+
+
+def trade(minute, second, n, price=1.0):
+    ms = 1_704_067_200_000 + (minute * 60 + second) * 1000
+    return '{"agg_trade_id":%d,"price":%s,"quantity":1.0,"first_trade_id":1,"last_trade_id":1,"ts_int":%d,"is_buyer_maker":true,"is_best_match":true,"symbol":"A"}' % (n, price, ms * 1000)
+
+
+def test_late_rows_and_restart(spark, tmp_path):
+    """A row of a closed window is dropped; a query that is started again goes on where it stopped."""
+    source = tmp_path / "in"
+    source.mkdir()
+    batches = [[(0, 1), (14, 59), (14, 57)], [(15, 10)], [(14, 58)], [(31, 0)], [(46, 0)]]
+    n = 0
+    for k, rows in enumerate(batches):
+        lines = []
+        for minute, second in rows:
+            n += 1
+            lines.append(trade(minute, second, n, price=n))
+        (source / f"{k}.txt").write_text("\n".join(lines) + "\n{bad\n")
+        stream = spark.readStream.text(str(source)).withColumnRenamed("value", "value")
+        out = streams.klines_stream(T.json_trades(stream))
+        streams.stream_to_table(out, str(tmp_path / "out"), str(tmp_path / "at"), [], availableNow=True).awaitTermination()
+    rows = spark.read.parquet(str(tmp_path / "out")).orderBy("window_start").collect()
+    assert [(r["open_price"], r["close_price"], r["volume"]) for r in rows] == [(1.0, 2.0, 3.0), (4.0, 4.0, 1.0), (6.0, 6.0, 1.0)]
+
+
+def test_sinks(spark, tmp_path):
+    rows = spark.createDataFrame([("A", i, None if i % 2 else "hammer") for i in range(250)], "symbol string, n long, pattern string")
+    got: dict[str, int] = {}
+    take = lambda name: lambda df, n: got.update({name: df.count()})
+    streams.split_by_predicate(F.col("pattern").isNotNull(), take("yes"), take("no"))(rows, 0)
+    assert got == {"yes": 125, "no": 125}
+    for _ in range(2):  # a batch that is run again replaces itself
+        streams.shard_json(rows.coalesce(1), 7, str(tmp_path / "shard"))
+    files = list((tmp_path / "shard/batch=7").glob("part-*"))
+    assert len(files) == 3 and sum(len(f.read_text().splitlines()) for f in files) == 250
+
+    class Failing:
+        def __init__(self):
+            self.times = 0
+
+        def withColumn(self, *_):  # noqa: N802
+            return self
+
+        def sortWithinPartitions(self, *_):  # noqa: N802
+            return self
+
+        @property
+        def write(self):
+            self.times += 1
+            raise OSError("away")
+
+    sink = Failing()
+    with pytest.raises(OSError, match="away"):
+        streams.serving_write(sink, 0, "nowhere")
+    assert sink.times == 3
+
+
+def test_strict_messages_fail(spark):
+    bad = spark.createDataFrame([("A", "{bad")], "key string, value string")
+    with pytest.raises(Exception, match="(?i)malformed"):
+        T.json_trades(bad, strict=True).collect()
 
 
 def test_entry(spark):
