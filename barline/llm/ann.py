@@ -12,9 +12,9 @@ thousands of copies of one vector are spread.
 Nearness is the cosine of the original vectors in double precision. Defined results:
 vectors that are null, empty, zero or hold nulls or non-finite parts, or whose length
 is not the sample's commonest, take no part; ties go to the smaller id; a query with
-fewer than k candidates in its lists gets as many as there are, and if its lists hold
-fewer than k although the table has more, RATIO is doubled for it until they do; an
-empty table gives no row; rows that repeat an id of the query are no candidates.
+fewer than k found although the table has more visits at least four times as many lists
+in each further round, and all of them in the last; an empty table gives no row; rows that
+repeat an id of the query are no candidates; rows with a null id take no part.
 """
 
 from __future__ import annotations
@@ -89,8 +89,8 @@ class CentroidGraph:
             links[a - 1].add(a)
         self.links = [np.array(sorted(s), np.int64) for s in links]
 
-    def within(self, q: np.ndarray, ratio: float) -> np.ndarray:
-        """Centroids met whose distance is at most ``ratio`` times the least, nearest first."""
+    def within(self, q: np.ndarray, ratio: float, least: int = 0) -> np.ndarray:
+        """Centroids met whose distance is at most ``ratio`` times the least, nearest first; the ``least`` nearest of all if these are more."""
         import heapq
 
         distance = np.full(len(self.c), np.inf)
@@ -106,6 +106,8 @@ class CentroidGraph:
                 heapq.heappush(heap, (d, b))
                 best = min(best, d)
         hit = np.flatnonzero(distance <= best * ratio + 1e-12)
+        if len(hit) < least:
+            return np.argsort(-(self.c @ q), kind="stable")[:least]
         return hit[np.argsort(distance[hit], kind="stable")]
 
 
@@ -118,7 +120,7 @@ def nearest(vectors: DataFrame, is_query, k: int = 5, ratio: float = RATIO, boun
     spark = vectors.sparkSession
     common.prepare(spark)
     schema = "query_id long, rank int, vec_id long, score double"
-    rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("v")).where(usable(F.col("v")))
+    rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("v")).where(usable(F.col("v")) & F.col("vec_id").isNotNull())
     sample = [np.array(r["v"]) for r in rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).collect()]
     if not sample:
         return spark.createDataFrame([], schema)
@@ -139,10 +141,10 @@ def nearest(vectors: DataFrame, is_query, k: int = 5, ratio: float = RATIO, boun
     queries = rows.where(is_query(F.col("vec_id")))
     long_lists = {r["list"]: -(-r["n"] // PART) for r in postings.groupBy("list").agg(F.count("*").alias("n")).collect()}  # at most MOST_LISTS rows
 
-    def search(ask: DataFrame, ratio: float) -> DataFrame:
+    def search(ask: DataFrame, least: int) -> DataFrame:
         def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
-                hits = [graph.within(q, ratio) for q in unit(_rows(b, "v", dim))] if b.num_rows else []
+                hits = [graph.within(q, ratio, least) for q in unit(_rows(b, "v", dim))] if b.num_rows else []
                 at = np.repeat(np.arange(len(hits)), [len(h) for h in hits])
                 to = np.concatenate(hits) if hits else np.zeros(0, np.int64)
                 yield pa.RecordBatch.from_arrays([b.column("vec_id").take(pa.array(at)), pa.array(to, pa.int32()), b.column("v").take(pa.array(at))], ["vec_id", "list", "v"])
@@ -184,15 +186,20 @@ def nearest(vectors: DataFrame, is_query, k: int = 5, ratio: float = RATIO, boun
         # a visited list part gives k rows at most and the number of lists is bounded
         return found.groupBy("query_id").agg(best.alias("b")).select("query_id", F.posexplode("b").alias("rank", "b")).select("query_id", (F.col("rank") + 1).cast("int").alias("rank"), F.col("b.vec_id").alias("vec_id"), (-F.col("b.s")).alias("score"))
 
-    out = common.stored(search(queries, ratio))
-    wanted = min(k, n - 1)
-    while True:
-        short = queries.join(out.where(F.col("rank") == wanted).select(F.col("query_id").alias("vec_id")), "vec_id", "left_anti")
-        if wanted < 1 or ratio > 4 or short.isEmpty():
-            return out
-        ratio *= 2
-        again = search(short, ratio)
-        out = common.stored(out.join(short.select(F.col("vec_id").alias("query_id")), "query_id", "left_anti").unionByName(again))
+    out, least = common.stored(search(queries, 1)), 1
+    # a query's own row is no candidate, nor are rows that repeat its id
+    ids = rows.groupBy("vec_id").agg(F.count("*").alias("n"))
+    wanted = queries.select("vec_id").distinct().join(ids, "vec_id").select("vec_id", F.least(F.lit(k).cast("long"), F.lit(n) - F.col("n")).alias("wanted"))
+    wanted = common.stored(wanted)
+    while least < len(graph.c):
+        have = out.groupBy(F.col("query_id").alias("vec_id")).agg(F.count("*").alias("have"))
+        short = common.stored(wanted.join(have, "vec_id", "left").where(F.coalesce("have", F.lit(0)) < F.col("wanted")).select("vec_id"))
+        if short.isEmpty():
+            break
+        least = min(4 * least, len(graph.c))
+        again = search(queries.join(short, "vec_id"), least)
+        out = common.stored(out.join(short.withColumnRenamed("vec_id", "query_id"), "query_id", "left_anti").unionByName(again))
+    return out
 
 
 def query(spark, sf_dir: str) -> DataFrame:

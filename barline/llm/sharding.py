@@ -3,9 +3,10 @@
 At each level every child draws ``-ln(u) / weight`` with ``u`` from the md5 of the
 document's id and the child's name; the least draw wins. A child's draw depends on
 its own name and weight alone: when a weight grows, documents move only into that
-child, and when it shrinks, only out of it, so other subtrees keep theirs. A shard
-added to the tree as a region of its own therefore takes documents only into itself;
-one added within a region may also move documents within that region.
+child, and when it shrinks, only out of it, so other subtrees keep theirs. ``grown``
+adds a shard as a region of its own, which therefore takes documents only into itself,
+however many shards there are; one added within a region may also move documents within
+that region.
 
 ``slot`` numbers a shard's documents without gaps, in the order of the md5 of their
 ids, counted in two levels (shard, md5 bucket).
@@ -37,6 +38,12 @@ def even_tree(shards: int) -> Tree:
     return [racks[lo : lo + REGION_RACKS] for lo in range(0, len(racks), REGION_RACKS)]
 
 
+def grown(tree: Tree, weight: float = 1.0) -> Tree:
+    """The tree with one more shard, of the next number, as a region of its own."""
+    last = max((s for region in tree for rack in region for s, _ in rack), default=-1)
+    return [*tree, [[(last + 1, weight)]]]
+
+
 def _draw(key: Column, *name: Column | str, weight: Column) -> Column:
     digest = F.md5(F.concat_ws("/", key, *(F.lit(n) if isinstance(n, str) else n.cast("string") for n in name)))
     u = (F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") + 0.5) / float(1 << 52)
@@ -78,13 +85,13 @@ def with_shard(df: DataFrame, tree: Tree, key: Column, out: str) -> DataFrame:
     return df.withColumn(out, _table(names, region, rack, leaf)).drop("_region", "_rack", "_leaf")
 
 
-def sharded(docs: DataFrame, tree: Tree, grown: Tree | None = None) -> DataFrame:
-    """doc_id, size, text_crc32, law, shard, slot, grown_shard (null without ``grown``)."""
+def sharded(docs: DataFrame, tree: Tree, larger: Tree | None = None) -> DataFrame:
+    """doc_id, size, text_crc32, law, shard, slot, grown_shard (null without ``larger``)."""
     text = F.coalesce(F.col("text"), F.lit("")).cast("binary")
     key = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
     d = docs.select("doc_id", (F.octet_length(text) + OVERHEAD).cast("long").alias("size"), F.crc32(text).alias("text_crc32"), key.alias("_key"), F.md5(key).alias("_h"))
     d = with_shard(d, tree, F.col("_key"), "shard")
-    d = with_shard(d, grown, F.col("_key"), "grown_shard") if grown else d.withColumn("grown_shard", F.lit(None).cast("int"))
+    d = with_shard(d, larger, F.col("_key"), "grown_shard") if larger else d.withColumn("grown_shard", F.lit(None).cast("int"))
     d = common.stored(d.withColumn("_bucket", F.substring("_h", 1, 2)).drop("_key"))
     before = Window.partitionBy("shard").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = d.groupBy("shard", "_bucket").agg(F.count("*").alias("n")).select("shard", "_bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
@@ -94,4 +101,4 @@ def sharded(docs: DataFrame, tree: Tree, grown: Tree | None = None) -> DataFrame
 
 
 def query(spark, sf_dir: str) -> DataFrame:
-    return sharded(common.table(spark, sf_dir, "documents"), even_tree(40), even_tree(41))
+    return sharded(common.table(spark, sf_dir, "documents"), even_tree(40), grown(even_tree(40)))

@@ -80,6 +80,16 @@ def test_sharding(docs, empty):
         assert sorted(g.slot) == list(range(len(g)))
 
 
+@pytest.mark.parametrize("shards", [1, 7, 39, 40, 41])
+def test_an_added_shard_takes_rows_only_into_itself(spark, shards):
+    ids = spark.range(3000).select(F.col("id").alias("doc_id"), F.lit("tä").alias("text"))
+    tree = sharding.even_tree(shards)
+    rows = sharding.sharded(ids, tree, sharding.grown(tree)).toPandas()
+    moved = rows[rows.shard != rows.grown_shard]
+    assert (moved.grown_shard == shards).all() and abs(len(moved) - 3000 / (shards + 1)) < 5 * (3000 / (shards + 1)) ** 0.5
+    assert (rows["size"] == 19).all() and (rows.text_crc32 == zlib.crc32("tä".encode())).all()
+
+
 def test_sharding_moves_within_changed_subtrees(spark):
     ids = spark.range(3000).select(F.col("id").alias("doc_id"), F.lit("t").alias("text"))
     tree, heavier = sharding.even_tree(40), sharding.even_tree(40)
@@ -139,7 +149,7 @@ def vectors(spark):
     rng = np.random.default_rng(3)
     x = rng.normal(size=(400, 16))
     x[50:60], x[60:90], x[90] = x[0], x[1] + rng.normal(size=(30, 16)) * 0.1, x[2] * 4
-    rows = [(i, v.tolist()) for i, v in enumerate(x)] + [(400, None), (401, [0.0] * 16), (402, [float("nan")] * 16), (403, [None] * 16), (404, [])]
+    rows = [(i, v.tolist()) for i, v in enumerate(x)] + [(400, None), (401, [0.0] * 16), (402, [float("nan")] * 16), (403, [None] * 16), (404, []), (None, x[0].tolist())]
     return x, spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(4)
 
 
@@ -151,7 +161,7 @@ def test_embedding_dedup(vectors, monkeypatch):
     u /= np.linalg.norm(u, axis=1, keepdims=True)
     near = (u @ u.T) >= 0.9
     got = {r.vec_id: r for r in embedding_dedup.linked(df).collect()}
-    assert len(got) == 405 and all(got[i].n_links == near[i].sum() - 1 for i in range(400))
+    assert len(got) == 406 and got[None].n_links == 0 and got[None].kept and all(got[i].n_links == near[i].sum() - 1 for i in range(400))
     label = np.arange(400)
     for _ in range(20):
         label = np.array([label[near[i]].min() for i in range(400)])
@@ -160,6 +170,40 @@ def test_embedding_dedup(vectors, monkeypatch):
     assert embedding_dedup.linked(df.where("vec_id < 0")).count() == 0
 
 
+@pytest.mark.parametrize("dim", [8, 768, 2500])
+def test_bounds_of_codes_hold(dim):
+    rng = np.random.default_rng(5)
+    base = rng.normal(size=(40, dim))
+    x = np.concatenate([base, base + rng.normal(size=base.shape) * 0.48, base * 3])
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    code, scale, error = embedding_dedup.quantised(x)
+    assert (embedding_dedup.products(code, code) == code.astype(np.int64) @ code.astype(np.int64).T).all()
+    t = {"code": code, "scale": scale, "error": error}
+    sure, unsure = embedding_dedup.decided(t, t, 0.9)
+    reaches = x @ x.T >= 0.9
+    assert reaches[sure].all() and not reaches[~sure & ~unsure].any() and unsure.mean() < 0.2
+
+
+def test_nearest_over_many_lists(spark, monkeypatch):
+    """Clusters, copies and more than 20 lists, with the shipped ratio."""
+    monkeypatch.setattr(ann, "ROWS_PER_LIST", 64)
+    rng = np.random.default_rng(9)
+    centres = rng.normal(size=(60, 24))
+    x = np.concatenate([centres[rng.integers(0, 60, 2400)] + rng.normal(size=(2400, 24)) * 0.5, rng.normal(size=(400, 24))]).astype(np.float32).astype(float)
+    x[100:160] = x[7]
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>").repartition(4)
+    rows = ann.nearest(df, lambda v: v % 20 == 0).toPandas()
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    hits = 0
+    for q, g in rows.groupby("query_id"):
+        s = u @ u[q]
+        s[q] = -2
+        hits += len(set(np.lexsort((np.arange(len(x)), -np.round(s, 12)))[:5]) & set(g.vec_id))
+    assert len(rows) == 140 * 5 and hits >= 0.95 * 140 * 5
+    # lists too few to hold k candidates are joined by more, to the last
+    assert ann.nearest(df, lambda v: v % 700 == 0, k=2799, ratio=1.0).groupBy("query_id").count().where("count <> 2799").count() == 0
+
+
 def test_nearest(vectors):
     x, df = vectors
     rows = ann.nearest(df, lambda v: v % 10 == 0).toPandas()
