@@ -9,6 +9,7 @@ from barline.functions.columns import bar_keys, candle_shape, lineage_columns, r
 from barline.operators import bars as B
 from barline.operators import patterns as P
 from barline.operators import serving as S
+from barline.operators.blocks import indicators_by_blocks
 from barline.operators.recurrence import OUTPUTS, ema, indicators
 from barline.plans import jobs, storage
 from barline.sources import trades as T
@@ -207,6 +208,7 @@ QUERIES = {
     "trade_preview": lambda s, d: S.trade_preview(_trades(s, d)),
     "prev_day_state": prev_day_state,
     "sink_cast": lambda s, d: sink_cast(_full(s, d)).select("symbol", "group_id", *(F.col(c).cast("double").alias(c) for c in ("close_price", "rsi6", "macd", "ema26"))),
+    "indicators_by_blocks": lambda s, d: indicators_by_blocks(_bars(s, d), 128).select("symbol", "group_id", *(F.round(c, 6).alias(c) for c in OUTPUTS)),
     "ema": lambda s, d: ema(_bars(s, d), 12).select("symbol", "group_id", "ema12"),
     "lineage_columns": lineage,
     "avg_by_symbol_stream": avg_stream,
@@ -366,6 +368,7 @@ SQL = {
     "prices_stream": "SELECT event_type AS ticker, value AS price, epoch_us(ts) AS event_time FROM events",
     "multi_sink": f"WITH RECURSIVE {_T}, {_closed(HOUR)}, {_I}, {_M} SELECT symbol, group_id * {HOUR * 1000000} AS window_start, close_price, volume, ema7, rsi6, pattern, pattern AS sent_pattern FROM q",
     "sink_cast": f"{_FULL} SELECT symbol, group_id, close_price::DECIMAL(10,6)::DOUBLE AS close_price, rsi6::DECIMAL(5,2)::DOUBLE AS rsi6, macd::DECIMAL(18,8)::DOUBLE AS macd, ema26::DECIMAL(10,6)::DOUBLE AS ema26 FROM f",
+    "indicators_by_blocks": f"{_FULL} SELECT symbol, group_id, {', '.join(f'round({c}, 6) AS {c}' for c in OUTPUTS)} FROM f",
     "ema": f"{_FULL} SELECT symbol, group_id, ema12 FROM f",
     "lineage_columns": f"WITH {_T} SELECT id AS agg_trade_id, 'all' AS symbol, DATE '2024-02-03' AS landing_date, true AS stamped FROM t",
     "avg_by_symbol_stream": f"WITH {_T} SELECT symbol, round(avg(price), 6) AS avg_price FROM t WHERE price IS NOT NULL AND quantity IS NOT NULL GROUP BY symbol",

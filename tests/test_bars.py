@@ -7,6 +7,7 @@ from barline import queries as Q
 from barline.functions.columns import round_half_up, sink_cast
 from barline.operators import patterns as P
 from barline.operators.bars import klines_batch
+from barline.operators.blocks import indicators_by_blocks
 from barline.operators.recurrence import ema, empty_state, half_up, indicators, step
 from barline.plans import jobs, storage
 from barline.sources import trades as T
@@ -149,6 +150,19 @@ def test_ema_goes_on_from_a_value(spark):
         ema(df, 0)
 
 
+def test_blocks_equal_one_pass(spark):
+    rows = klines_batch(T.trades_view(spark.read.parquet(f"{SF.replace('0.001', '0.01')}/events.parquet")), 3600)
+    rows = rows.withColumn("close_price", F.when(F.col("group_id") % 17 != 0, F.col("close_price")))
+    key = ["symbol", "group_id"]
+    want = indicators(rows).orderBy(*key).toPandas()
+    for size in (64, 500, 10_000):
+        got = indicators_by_blocks(rows, size).orderBy(*key).toPandas()
+        pd.testing.assert_frame_equal(got, want, rtol=1e-9, atol=1e-9)
+    assert indicators_by_blocks(rows.where("false")).count() == 0
+    with pytest.raises(ValueError, match="block"):
+        indicators_by_blocks(rows, 10)
+
+
 def test_catalog(spark):
     storage.create_database(spark, "shelf")
     storage.upsert_partitions(bars(spark, [(1, 1, 1, 1)]), "shelf.bars")
