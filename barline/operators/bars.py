@@ -8,13 +8,14 @@ from pyspark.sql import functions as F
 from barline.functions.columns import bar_keys
 
 
-def klines_batch(trades: DataFrame, width: int = 900, price_places: int = 4, volume_places: int = 1) -> DataFrame:
+def klines_batch(trades: DataFrame, width: int = 900, price_places: int = 4, volume_places: int = 1, order_by: tuple[str, ...] = ("timestamp", "agg_trade_id")) -> DataFrame:
     """One bar per symbol, landing date and time slot.
 
-    Open and close follow (timestamp, agg_trade_id) and skip null prices, whatever order
-    the rows come in. One shuffle, on the bar's key; aggregates combine before it.
+    Open and close follow ``order_by`` and skip null prices, whatever order the rows come in.
+    One shuffle, on the bar's key; aggregates combine before it. Two columns of order make a
+    sort aggregate; for feeds whose ids rise with time, ("agg_trade_id",) makes a hash aggregate.
     """
-    at = F.struct("timestamp", "agg_trade_id")
+    at = F.struct(*order_by) if len(order_by) > 1 else F.col(order_by[0])
     priced = F.when(F.col("price").isNotNull(), at)
     keyed = bar_keys(trades, width)
     return keyed.groupBy("group_id", "group_date", "landing_date", "symbol").agg(

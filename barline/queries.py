@@ -178,6 +178,7 @@ def table_round_trip(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {
     "klines_batch": lambda s, d: _bars(s, d, 900),
+    "klines_by_id": lambda s, d: B.klines_batch(_trades(s, d), 900, order_by=("agg_trade_id",)),
     "klines_orders": lambda s, d: B.klines_batch(T.orders_view(s.read.parquet(f"{d}/orders.parquet")), 86400),
     "bar_keys": lambda s, d: bar_keys(_trades(s, d)).select("agg_trade_id", "timestamp_second", "timestamp_date", "group_id", "group_date"),
     "round_half_up": lambda s, d: _trades(s, d).select("agg_trade_id", round_half_up(F.col("price") - 50, 1).alias("rounded")),
@@ -329,6 +330,7 @@ _ORDERS = "t AS (SELECT o_orderkey AS id, o_totalprice AS price, 1.0::DOUBLE AS
 
 SQL = {
     "klines_batch": f"WITH {_T}, {_b(900)} SELECT * FROM b",
+    "klines_by_id": f"WITH {_T}, {_b(900).replace('(us, id)', 'id')} SELECT * FROM b",
     "klines_orders": f"WITH {_ORDERS}, {_b(86400)} SELECT * FROM b",
     "bar_keys": f"WITH {_T} SELECT id AS agg_trade_id, us // 1000000 AS timestamp_second, strftime(make_timestamp(us), '%Y-%m-%d') AS timestamp_date, us // 900000000 AS group_id, strftime(make_timestamp(us // 900000000 * 900000000), '%Y-%m-%d %H:%M:%S') AS group_date FROM t",
     "round_half_up": f"WITH {_T} SELECT id AS agg_trade_id, trunc((price - 50) * 10 + 0.5::DOUBLE) / 10 AS rounded FROM t",

@@ -150,6 +150,13 @@ def test_ema_goes_on_from_a_value(spark):
         ema(df, 0)
 
 
+def test_one_column_of_order_makes_a_hash_aggregate(spark):
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    trades = T.trades_view(spark.read.parquet(f"{SF}/events.parquet"))
+    assert "SortAggregate" not in plan(klines_batch(trades, order_by=("agg_trade_id",)))
+    assert klines_batch(trades, order_by=("agg_trade_id",)).exceptAll(klines_batch(trades)).count() == 0
+
+
 def test_blocks_equal_one_pass(spark):
     rows = klines_batch(T.trades_view(spark.read.parquet(f"{SF.replace('0.001', '0.01')}/events.parquet")), 3600)
     rows = rows.withColumn("close_price", F.when(F.col("group_id") % 17 != 0, F.col("close_price")))
