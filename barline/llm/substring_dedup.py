@@ -10,7 +10,8 @@ Runs without a symbol of their own are verified too, so no repeat is missed.
 A run that recurs within one batch of rows is sent once; its later places are known at
 once, so a passage that a third of all texts share is spread and counted once a batch.
 
-Defined results: a null text has no words; null ids come before all others; rows that
+Defined results: a null text has no words; null ids come before all others (the least
+64-bit number counts as one); rows that
 share id and text are one document twice and get the same result; an empty table gives
 no row. Columns other than the two named ones are not read.
 """
@@ -68,7 +69,7 @@ def candidates(h: np.ndarray, first: np.ndarray, recurring: np.ndarray, width: i
 
 
 #: A run of words: two hashes of it, the document, its version and the place.
-RUN = np.dtype([("a", "<u8"), ("c", "<u4"), ("d", "<i8"), ("w", "<i4"), ("start", "<u4")])
+RUN = np.dtype([("a", "<u8"), ("c", "<u4"), ("d", "<i8"), ("w", "<i8"), ("start", "<u4")])
 
 
 def repeats(x: np.ndarray) -> np.ndarray:
@@ -118,7 +119,7 @@ def stretches(x: np.ndarray) -> list[tuple[int, int, bytes]]:
 def deduplicated(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_words, n_removed, kept (the kept words, joined by one space): one row per row of ``docs``."""
     common.prepare(docs.sparkSession)
-    version = F.xxhash64(F.col(text_col)).bitwiseAND(0xFFFF).cast("int")  # parts rows of one id
+    version = F.xxhash64(F.col(text_col))  # parts rows of one id
     docs = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_NULL_ID)).alias("d"), version.alias("w"), F.col(text_col).alias("text"))
 
     def names(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -130,7 +131,7 @@ def deduplicated(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id", te
             offsets = pa.array(np.cumsum([0, *map(len, out)]), pa.int32())
             yield pa.RecordBatch.from_arrays([b.column("d"), b.column("w"), pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(out) if out else np.zeros(0, np.int64)))], ["d", "w", "names"])
 
-    named = docs.mapInArrow(names, "d long, w int, names array<long>").select("d", "w", F.explode("names").alias("name"))
+    named = docs.mapInArrow(names, "d long, w long, names array<long>").select("d", "w", F.explode("names").alias("name"))
     often = named.groupBy("name").agg(F.count("*").alias("m")).where("m > 1").select("name")
     recurring = common.stored(named.join(often, "name").groupBy("d", "w").agg(F.collect_set("name").alias("names")))
 
@@ -168,11 +169,11 @@ def deduplicated(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id", te
     def gather(t: pa.Table) -> pa.Table:
         rows = stretches(np.concatenate([np.zeros(0, RUN), *map(unpacked, t.column("data").to_pylist())]))
         cols = zip(*rows, strict=True) if rows else ([], [], [])
-        return pa.table([pa.array(c, k) for c, k in zip(cols, (pa.int64(), pa.int32(), pa.binary()), strict=True)], ["d", "w", "x"])
+        return pa.table([pa.array(c, k) for c, k in zip(cols, (pa.int64(), pa.int64(), pa.binary()), strict=True)], ["d", "w", "x"])
 
     found = docs.join(recurring, ["d", "w"], "left").select("d", "w", "text", "names").mapInArrow(places, "bucket int, data binary, known boolean")
     later = found.groupBy("bucket").applyInArrow(verify, "text_bucket int, data binary")
-    marked = later.groupBy("text_bucket").applyInArrow(gather, "d long, w int, x binary")
+    marked = later.groupBy("text_bucket").applyInArrow(gather, "d long, w long, x binary")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
