@@ -220,6 +220,29 @@ def test_nearest(vectors):
     assert ann.nearest(df.where("vec_id in (1, 2)"), lambda v: v >= 0).count() == 2
 
 
+def test_kernel_of_gapped_subsequences():
+    """Against all triples of places, one by one."""
+
+    def naive(w):
+        out, square = {}, 0.0
+        for i in range(len(w)):
+            for j in range(i + 1, len(w)):
+                for k in range(j + 1, min(len(w), i + toxicity.SPAN)):
+                    if all(c.isalpha() for c in (w[i], w[j], w[k])):
+                        weight = toxicity.DECAY ** (k - i + 1)
+                        out[w[i], w[j], w[k]] = out.get((w[i], w[j], w[k]), 0) + weight
+                        square += weight**2
+        return {k: v / square**0.5 for k, v in out.items()}
+
+    words = ["idiot", "i.d.i.o.t", "idioot", "banana", "window", "ab", "x-y"]
+    rows = toxicity.dense(words)
+    plain = [naive(w) for w in words]
+    want = np.array([[sum(v * b.get(k, 0) for k, v in a.items()) for b in plain] for a in plain])
+    assert np.allclose(rows @ rows.T, want)
+    # gaps and inserted letters keep most of a word's likeness
+    assert min(want[0, 1], want[0, 2]) > 5 * want[0, 4]
+
+
 def test_toxicity(spark, docs, empty):
     read = lambda t: spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet")
     model = toxicity.fit(read("documents"), read("labels"))
