@@ -28,7 +28,7 @@ _PLAIN = re.compile(f" ?[!-~{_LETTERS}]+")
 #: The vocabularies' patterns, for such pieces.
 _LOWER_PARTS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[0-9]|[^ {_LETTERS}0-9]+")
 _BYTE_PARTS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTERS}]+| ?[0-9]+| ?[^ {_LETTERS}0-9]+")
-KEPT_PARTS = 400_000
+KEPT_PARTS = 250_000
 
 #: Places of the table of known pieces, and pieces and ids kept at most.
 SLOT_BITS = 21

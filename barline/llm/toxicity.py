@@ -62,7 +62,7 @@ STRETCH = 32
 _LETTERS = 34
 #: Stands before the first letter of a word.
 _START = "\x01"
-_CACHE = 400_000
+_CACHE = 200_000
 
 _code = np.zeros(0x250, np.int64)
 _code[ord("a") : ord("z") + 1] = np.arange(1, 27)
@@ -202,10 +202,13 @@ def _pooled(docs: DataFrame, model: Model, keep: list[str], features: list[str]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, tuple[float, float, str]] = {}
+        plain = (CUT[0], CUT[0], "")
         for b in batches:
             cut = [units(t) if t else set() for t in b.column(text).to_pylist()]
             new = list(set().union(*cut).difference(known))
-            known.update(zip(new, zip(*np.clip(model.both(new), *CUT).tolist(), ["".join(filter(str.isalpha, w)) for w in new], strict=True), strict=True))
+            for w, s, t in zip(new, *np.clip(model.both(new), *CUT).tolist(), strict=True):
+                # most words tell nothing, and share one entry
+                known[w] = plain if s <= CUT[0] and t <= CUT[0] else (s, t, "".join(filter(str.isalpha, w)) if t > CUT[0] else "")
             x = []
             for u in cut:
                 alone, joint = CUT[0], {}
@@ -350,7 +353,7 @@ def _unit_svm(clean: DataFrame, witnesses: list[tuple[str, int]], stem_set: set[
         y = np.array([1.0] * len(witnesses) + [-1.0] * len(negative))
         # each kind weighs the same in all; a witness by how many hold it
         weight = np.concatenate([0.5 + covers / covers.mean() / 2, np.full(len(negative), 1.0)])
-        x = np.concatenate([dense(examples[k : k + 256]) @ marks.T for k in range(0, len(examples), 256)]) @ whiten
+        x = np.concatenate([dense(examples[k : k + 64]) @ marks.T for k in range(0, len(examples), 64)]) @ whiten
         w, bias = linear_svm(x, y, weight)
         return (whiten @ w) @ marks, bias
 
