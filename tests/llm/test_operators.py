@@ -129,6 +129,42 @@ def test_ngram_join(docs, empty, percent, width):
     assert [(r.n_shingles, r.component_id) for r in got] == brute_groups(percent, width)
 
 
+def test_counts_are_added_in_any_number_of_rounds(spark):
+    rng = np.random.default_rng(2)
+    total, rows = np.zeros(1 << ngram_join.CELL_BITS, np.int64), []
+    for _ in range(30):
+        counts = np.bincount(rng.integers(0, 3 * ngram_join.CHUNK, 5000) ** 2 % len(total), minlength=len(total)) * 70_000
+        total += counts
+        rows += ngram_join.packed_counts(counts)
+    df = spark.createDataFrame([(k, bytearray(v)) for k, v in rows], "chunk int, counts binary")
+    want = np.minimum(8 * np.log2(np.maximum(total, 1)), 255).astype(np.uint8)
+    assert (ngram_join.level_table(df, fan=4) == want).all() and (ngram_join.level_table(df) == want).all()
+
+
+@pytest.mark.parametrize("key_rows", [4, 1 << 17])
+def test_ngram_join_of_hot_keys(spark, key_rows):
+    """Near copies of one text, of which some only link through others, in parts and windows."""
+    rng = np.random.default_rng(4)
+    texts, words = [], [f"w{i}" for i in range(60)]
+    for i in range(120):
+        w = list(words)
+        for at in rng.integers(0, 60, rng.integers(0, 7)):
+            w[at] = f"x{i}_{at}"
+        texts.append(" ".join(w))
+        if i % 40 == 39:  # drifts on
+            words = w
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    sets = [{tuple(t.split()[i : i + 3]) for i in range(len(t.split()) - 2)} for t in texts]
+    label = list(range(len(sets)))
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if 100 * len(a & b) >= 70 * len(a | b):
+                x, y = label[i], label[j]
+                label = [min(x, y) if v in (x, y) else v for v in label]
+    got = ngram_join.joined(df, 3, 70, key_rows=key_rows).orderBy("doc_id").collect()
+    assert [r.component_id for r in got] == label and 1 < len(set(label)) < 119
+
+
 def test_substring_dedup(docs, empty):
     assert substring_dedup.deduplicated(empty).count() == 0
     seen, got = set(), {r.doc_id: r for r in substring_dedup.deduplicated(docs).collect()}
