@@ -28,12 +28,12 @@ _PLAIN = re.compile(f" ?[!-~{_LETTERS}]+")
 #: The vocabularies' patterns, for such pieces.
 _LOWER_PARTS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[0-9]|[^ {_LETTERS}0-9]+")
 _BYTE_PARTS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTERS}]+| ?[0-9]+| ?[^ {_LETTERS}0-9]+")
-KEPT_PARTS = 250_000
+KEPT_PARTS = 100_000
 
 #: Places of the table of known pieces, and pieces and ids kept at most.
-SLOT_BITS = 21
-KEPT_PIECES = 1 << 20
-KEPT_IDS = 1 << 22
+SLOT_BITS = 20
+KEPT_PIECES = 1 << 19
+KEPT_IDS = 1 << 21
 #: Bytes of text that are cut at once.
 CHUNK_BYTES = 1 << 22
 

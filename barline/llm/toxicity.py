@@ -62,7 +62,7 @@ STRETCH = 32
 _LETTERS = 34
 #: Stands before the first letter of a word.
 _START = "\x01"
-_CACHE = 200_000
+_CACHE = 120_000
 
 _code = np.zeros(0x250, np.int64)
 _code[ord("a") : ord("z") + 1] = np.arange(1, 27)
