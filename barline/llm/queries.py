@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from barline.llm import ann, embedding_dedup, mixing, ngram_join, packing, pipeline, rans, secrets, sharding, substring_dedup, toxicity
+from barline.llm import ann, embedding_dedup, mixing, ngram_join, packing, pipeline, rans, secrets, sharding, substring_dedup, token_counts, toxicity
 
 QUERIES = {
     "op1_token_output": rans.query,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_mixing": mixing.query,
     "op9_ngram_join": ngram_join.query,
     "op10_secrets": secrets.query,
+    "op13_token_counts": token_counts.query,
     "pipeline": pipeline.run,
 }
 
