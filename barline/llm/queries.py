@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from barline.llm import ann, embedding_dedup, hard_negatives, mixing, ngram_join, packing, pipeline, rans, secrets, sharding, substring_dedup, token_counts, toxicity
+from barline.llm import ann, divergence, embedding_dedup, hard_negatives, mixing, ngram_join, packing, pipeline, rans, secrets, sharding, substring_dedup, token_counts, toxicity
 
 QUERIES = {
     "op1_token_output": rans.query,
@@ -15,9 +15,10 @@ QUERIES = {
     "op8_mixing": mixing.query,
     "op9_ngram_join": ngram_join.query,
     "op10_secrets": secrets.query,
+    "op11_divergence": divergence.query,
     "op12_hard_negatives": hard_negatives.query,
     "op13_token_counts": token_counts.query,
     "pipeline": pipeline.run,
 }
 
-SQL = {"op6_embedding_dedup": embedding_dedup.SQL, "op8_mixing": mixing.SQL, "op12_hard_negatives": hard_negatives.SQL}
+SQL = {"op6_embedding_dedup": embedding_dedup.SQL, "op8_mixing": mixing.SQL, "op11_divergence": divergence.SQL, "op12_hard_negatives": hard_negatives.SQL}
