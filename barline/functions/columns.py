@@ -12,11 +12,24 @@ def round_half_up(x: Column, places: int) -> Column:
     return (x * unit + 0.5).cast("long") / unit
 
 
+def _second(micros: Column) -> Column:
+    return F.floor(micros / 1_000_000).cast("long")
+
+
+def slot(micros: Column, width: int = 900) -> Column:
+    """Number of the slot of ``width`` seconds that a time in microseconds falls in."""
+    return F.floor(_second(micros) / width).cast("long")
+
+
+def slot_date(group_id: Column, width: int = 900) -> Column:
+    """A slot's start as text."""
+    return F.from_unixtime(group_id * width, "yyyy-MM-dd HH:mm:ss")
+
+
 def bar_keys(df: DataFrame, width: int = 900) -> DataFrame:
     """timestamp_second, timestamp_date, group_id and group_date from ``timestamp`` in microseconds."""
-    second = F.floor(F.col("timestamp") / 1_000_000).cast("long")
-    group = F.floor(second / width).cast("long")
-    return df.withColumns({"timestamp_date": F.from_unixtime(second, "yyyy-MM-dd"), "timestamp_second": second, "group_id": group, "group_date": F.from_unixtime(group * width, "yyyy-MM-dd HH:mm:ss")})
+    second, group = _second(F.col("timestamp")), slot(F.col("timestamp"), width)
+    return df.withColumns({"timestamp_date": F.from_unixtime(second, "yyyy-MM-dd"), "timestamp_second": second, "group_id": group, "group_date": slot_date(group, width)})
 
 
 def lineage_columns(df: DataFrame, symbol: str | None = None, landing_date: str | None = None) -> DataFrame:

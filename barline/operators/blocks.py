@@ -1,122 +1,157 @@
-"""Indicators of few symbols with long histories: a scan over blocks of bars.
-
-Past the first bars of a symbol every indicator is linear in the state before it, so a
-block of bars maps the state before it to the one after it by a matrix and an offset. All
-blocks give theirs at once; one small pass per symbol, over one row a block, gives each
-block its first state; then all blocks are run at once. A symbol's history is spread over
-as many tasks as it has blocks. Results differ from those of one ordered pass by rounding
-in the last digits.
+"""Recurrences over a symbol's bars in blocks that run at once, exact to the last bit.
+
+A block is a span of slots, or of days. Each starts from a guess: the state that the last
+bars of the block before it (its halo) lead to from nothing. As these recurrences forget,
+that is mostly the true state, bit for bit. Each block tells the state that it started from
+and the one that it ended with. Where a block did not start with what the block before it
+ended with, it runs again from there, together with those after it that failed too. When all
+ends meet, every block has run from the true state, so rows equal those of one ordered pass.
+After ROUNDS rounds, what is left of a symbol from its first failed block on runs as one.
+
+A task streams through its blocks in Arrow batches. Between rounds only the blocks that run
+again move. States are one row a block; a window over these is the only work by symbol alone.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barline.operators.recurrence import EMAS, OUTPUTS, RSI, SIGNAL, empty_state, step
-
-#: Bars of a block; the first one holds more than any warm-up.
-BLOCK_BARS = 1024
-LEAST_BARS = 64
-_VALUES = [*(f"ema{n}" for n in EMAS), "signal", "ag", "al"]
-_FAST, _SLOW = EMAS.index(12), EMAS.index(26)
-
-
-def _weights(q: float, n: int) -> np.ndarray:
-    """q ** (n - 1), ..., q, 1."""
-    return q ** np.arange(n - 1, -1, -1.0)
-
-
-def block_map(close: np.ndarray, before: float) -> tuple[np.ndarray, np.ndarray]:
-    """Matrix and offset by which closes, the one ``before`` them being given, change the values of _VALUES."""
-    n = len(close)
-    a, b = np.zeros((len(_VALUES), len(_VALUES))), np.zeros(len(_VALUES))
-    own = {}  # each average along the block, from nothing
-    for i, period in enumerate(EMAS):
-        k = 2 / (period + 1)
-        a[i, i], b[i] = (1 - k) ** n, k * (_weights(1 - k, n) @ close)
-        if i in (_FAST, _SLOW):
-            e, own[i] = 0.0, np.empty(n)
-            for t, x in enumerate(close.tolist()):
-                e = (x - e) * k + e
-                own[i][t] = e
-    k, s = 2 / (SIGNAL + 1), len(EMAS)
-    w = k * _weights(1 - k, n)
-    a[s, s], b[s] = (1 - k) ** n, w @ (own[_FAST] - own[_SLOW])
-    for i, sign in ((_FAST, 1), (_SLOW, -1)):
-        a[s, i] = sign * (w @ (1 - 2 / (EMAS[i] + 1)) ** np.arange(1.0, n + 1))
-    change = np.diff(close, prepend=before)
-    q = (RSI - 1) / RSI
-    for i, part in ((s + 1, np.maximum(change, 0)), (s + 2, np.maximum(-change, 0))):
-        a[i, i], b[i] = q**n, _weights(q, n) @ part / RSI
-    return a, b
-
-
-def _state(values: np.ndarray, close: float) -> dict[str, float | None]:
-    s = empty_state()
-    s |= {f"{v}_value" if v in [f"ema{n}" for n in EMAS] or v == "signal" else v: float(x) for v, x in zip(_VALUES, values, strict=True)}
-    return s | {"close": close}
-
-
-def _values(s: dict[str, float | None]) -> list[float]:
-    return [s[v if v in ("ag", "al") else f"{v}_value"] for v in _VALUES]
-
-
-def indicators_by_blocks(bars: DataFrame, size: int = BLOCK_BARS) -> DataFrame:
-    """``bars`` with OUTPUTS, as ``indicators`` gives them with exact carry, but for rounding in the last digits.
-
-    Shuffles: once on (symbol, day) to number the bars, twice on (symbol, block).
+from barline.plans import storage
+
+#: Slots of a block, and of the halo before it.
+SPAN, HALO = 4096, 768
+#: Days of a block, and of the halo before it.
+SPAN_DAYS, HALO_DAYS = 32, 6
+ROUNDS = 3
+
+_UNIT = ["_unit", "_block", "_halo", "_first", "_day"]
+_STATES = T.StructType([T.StructField("_block", T.LongType()), T.StructField("_start", T.ArrayType(T.DoubleType())), T.StructField("_end", T.ArrayType(T.DoubleType()))])
+
+
+def day_number() -> Column:
+    """A landing date's number; rows without one are a day of their own."""
+    return F.coalesce(F.unix_date("landing_date"), F.lit(-1_000_000))
+
+
+def _codes(x: pa.ChunkedArray | pa.Array) -> np.ndarray:
+    """Numbers that are equal where neighbouring values are."""
+    return x.dictionary_encode().indices.fill_null(-1).to_numpy(zero_copy_only=False)
+
+
+def _runner(carrier: Callable, names: list[str], outputs: list[str], value: str) -> Callable:
+    """Units (runs of blocks), sorted, to their bars with outputs, and a row of states for each block."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unit = symbol = block = start = carried = kinds = None
+        states: list[tuple] = []
+
+        def told() -> None:
+            if block is not None:
+                states.append((symbol, block, start, carried.state()))
+
+        def state_rows() -> pa.RecordBatch:
+            n = len(states)
+            cols = [pa.array([s[0] for s in states], kinds[c]) if c == "symbol" else pa.nulls(n, kinds[c]) for c in names]
+            cols += [pa.nulls(n, pa.float64()) for _ in outputs]
+            cols += [pa.array([s[1] for s in states], pa.int64()), *(pa.array([s[k] for s in states], pa.list_(pa.float64())) for k in (2, 3))]
+            states.clear()
+            return pa.RecordBatch.from_arrays(cols, [*names, *outputs, "_block", "_start", "_end"])
+
+        for b in batches:
+            if not b.num_rows:
+                continue
+            kinds = {c: b.column(c).type for c in names}
+            at, units, blocks, halo, day = _codes(b.column("symbol")), *(b.column(c).to_numpy(zero_copy_only=False) for c in ("_unit", "_block", "_halo", "_day"))
+            x = b.column(value).cast(pa.float64()).to_numpy(zero_copy_only=False)
+            new = np.ones(len(x), bool)
+            new[1:] = (np.diff(at) != 0) | (np.diff(units) != 0) | (np.diff(blocks) != 0) | (halo[1:] != halo[:-1])
+            edges = [*np.flatnonzero(new).tolist(), len(x)]
+            out = {c: np.full(len(x), np.nan) for c in outputs}
+            for lo, hi in zip(edges[:-1], edges[1:], strict=True):
+                here = (b.column("symbol")[lo].as_py(), int(units[lo]))
+                if here != unit:
+                    told()
+                    unit, symbol, block = here, here[0], None
+                    carried = carrier(b.column("_first")[lo].as_py())
+                if not halo[lo] and block != blocks[lo]:
+                    told()
+                    block, start = int(blocks[lo]), carried.state()
+                for c, v in carried.run(x[lo:hi], day[lo:hi]).items():
+                    out[c][lo:hi] = v
+            own = b.filter(pa.array(~halo))
+            n, none = own.num_rows, pa.nulls(own.num_rows, pa.list_(pa.float64()))
+            cols = [own.column(c) for c in names] + [pa.array(out[c][~halo], from_pandas=True) for c in outputs]
+            yield pa.RecordBatch.from_arrays([*cols, pa.array(blocks[~halo], pa.int64()), none, none], [*names, *outputs, "_block", "_start", "_end"]) if n else state_rows()
+            if states:
+                yield state_rows()
+        told()
+        if states:
+            yield state_rows()
+
+    return run
+
+
+def scan(bars: DataFrame, carrier: Callable, outputs: list[str], value: str = "close_price", by_day: bool = False, first: DataFrame | None = None, span: int | None = None, halo: int | None = None, folder: str | None = None) -> DataFrame:
+    """``bars`` with ``outputs`` of what ``carrier`` carries through each symbol's ``value``.
+
+    ``carrier(first)`` makes the state from a list of numbers, or from nothing; its ``run(values,
+    days)`` moves on, and ``state()`` tells it as such a list. ``first`` (symbol, first) gives the
+    state to start a symbol from; with a landing_date, that of each symbol and day, and then no day
+    follows from another. Tables between rounds are written below ``folder``, and the result reads them.
     """
-    if size < LEAST_BARS:
-        raise ValueError(f"a block has {LEAST_BARS} bars at least")
-    day = Window.partitionBy("symbol", "landing_date").orderBy("group_id").rowsBetween(Window.unboundedPreceding, -1)
-    earlier = Window.partitionBy("symbol").orderBy("landing_date").rowsBetween(Window.unboundedPreceding, -1)
-    days = bars.groupBy("symbol", "landing_date").agg(F.count("close_price").alias("n"))
-    days = days.select("symbol", "landing_date", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("base"))
-    placed = bars.join(days, ["symbol", "landing_date"]).withColumn("at", F.col("base") + F.count("close_price").over(day))
-    placed = placed.withColumn("block", F.floor(F.col("at") / size)).select(*bars.columns, "block")
-    priced = placed.where("close_price is not null")
-    last = priced.groupBy("symbol", "block").agg(F.max_by("close_price", "group_id").alias("last"))
-    last = last.select("symbol", (F.col("block") + 1).alias("block"), F.col("last").alias("before"))
-    many = len(_VALUES)
-
-    def summary(t: pd.DataFrame) -> pd.DataFrame:
-        t = t.sort_values("group_id")
-        close, block, before = t["close_price"].to_numpy(float), int(t["block"].iloc[0]), t["before"].iloc[0]
-        if block:
-            a, b = block_map(close, float(before))
+    spark, names = bars.sparkSession, bars.columns
+    size, tail = span or (SPAN_DAYS if by_day else SPAN), halo if halo is not None else (HALO_DAYS if by_day else HALO)
+    order = ["_day", "group_id"] if by_day else ["group_id"]
+    run = _runner(carrier, names, outputs, value)
+    schema = T.StructType([*(T.StructField(f.name, f.dataType) for f in bars.schema.fields), *(T.StructField(c, T.DoubleType()) for c in outputs), *_STATES.fields])
+
+    def ran(rows: DataFrame) -> DataFrame:
+        rows = rows.select(*names, *_UNIT).repartition("symbol", "_unit").sortWithinPartitions("symbol", "_unit", *order)
+        return rows.mapInArrow(run, schema)
+
+    keyed = bars.withColumn("_day", day_number() if by_day else F.lit(0))
+    never = F.lit(None).cast("array<double>")
+    if first is not None and "landing_date" in first.columns:
+        told = first.select("symbol", "landing_date", F.col("first").alias("_first"))
+        days = keyed.join(told, ["symbol", "landing_date"], "left").withColumns({"_unit": F.col("_day").cast("long"), "_block": F.col("_day").cast("long"), "_halo": F.lit(False)})
+        return ran(days).where("_start is null").select(*names, *outputs)
+
+    folder = folder or storage.scratch(spark)
+    place = F.col("_day") if by_day else F.coalesce("group_id", F.lit(0))
+    block = F.floor(place / size).cast("long")
+    own, next_ = F.struct(block.alias("b"), F.lit(False).alias("h")), F.struct((block + 1).alias("b"), F.lit(True).alias("h"))
+    placed = keyed.withColumn("_at", F.explode(F.when(F.pmod(place, F.lit(size)) >= size - tail, F.array(own, next_)).otherwise(F.array(own))))
+    placed = placed.withColumns({"_unit": F.col("_at.b"), "_block": F.col("_at.b"), "_halo": F.col("_at.h")})
+    if first is None:
+        placed = placed.withColumn("_first", never)
+    else:
+        placed = placed.join(first.select("symbol", F.col("first").alias("_first")), "symbol", "left")
+    current = storage.stored(ran(placed), f"{folder}/0")
+    one = Window.partitionBy("symbol").orderBy("_block")  # one row a block
+    for n in range(1, ROUNDS + 1):
+        states = current.where("_start is not null").select("symbol", "_block", F.col("_start"), F.lag("_end").over(one).alias("before"), F.row_number().over(one).alias("i"))
+        wrong = storage.stored(states.where("before is not null and not (before <=> _start)"), f"{folder}/wrong-{n}")
+        if wrong.isEmpty():
+            break
+        if n < ROUNDS:  # runs of failed blocks
+            island = wrong.withColumn("run", F.col("i") - F.row_number().over(one))
+            again = island.withColumn("_unit", F.min("_block").over(Window.partitionBy("symbol", "run")))
+            given = again.where("_block = _unit").select("symbol", "_unit", F.col("before").alias("_first"))
+            again = again.select(F.col("symbol").alias("s"), F.col("_block").alias("k"), "_unit")
         else:
-            s = empty_state()
-            for x in close.tolist():
-                step(s, x)
-            a, b = np.zeros((many, many)), np.array(_values(s), float)
-        return pd.DataFrame({"symbol": [t["symbol"].iloc[0]], "block": [block], "before": [before], "a": [a.ravel().tolist()], "b": [b.tolist()]})
-
-    maps = priced.join(last, ["symbol", "block"], "left").select("symbol", "block", "group_id", "close_price", "before")
-    maps = maps.groupBy("symbol", "block").applyInPandas(summary, "symbol string, block long, before double, a array<double>, b array<double>")
-
-    def scan(t: pd.DataFrame) -> pd.DataFrame:
-        t = t.sort_values("block")
-        x, out = np.zeros(many), []
-        for a, b in zip(t["a"], t["b"], strict=True):
-            out.append(x.tolist())
-            x = np.array(a).reshape(many, many) @ x + np.array(b)
-        return pd.DataFrame({"symbol": t["symbol"], "block": t["block"], "before": t["before"], "first": out})
-
-    carried = maps.groupBy("symbol").applyInPandas(scan, "symbol string, block long, before double, first array<double>")  # one row a block
-    schema = T.StructType([*bars.schema.fields, *(T.StructField(c, T.DoubleType()) for c in OUTPUTS)])
-    names = bars.columns
-
-    def run(t: pd.DataFrame) -> pd.DataFrame:
-        t = t.sort_values("group_id")
-        first = t["first"].iloc[0]
-        # a block of bars without a close has no first state, and needs none
-        s = _state(first, float(t["before"].iloc[0])) if t["block"].iloc[0] and first is not None else empty_state()
-        rows = [dict.fromkeys(OUTPUTS) if pd.isna(c) else step(s, float(c)) for c in t["close_price"]]
-        return pd.concat([t[names].reset_index(drop=True), pd.DataFrame(rows, columns=OUTPUTS, dtype=float)], axis=1)
-
-    whole = placed.join(carried, ["symbol", "block"], "left").select(*names, "block", "before", "first")
-    return whole.groupBy("symbol", "block").applyInPandas(run, schema)
+            given = wrong.groupBy("symbol").agg(F.min("_block").alias("_unit"), F.min_by("before", "_block").alias("_first"))
+            again = states.select("symbol", "_block").join(given.select(F.col("symbol").alias("s"), "_unit"), F.col("symbol").eqNullSafe(F.col("s")) & (F.col("_block") >= F.col("_unit")))
+            again = again.select("s", F.col("_block").alias("k"), "_unit")
+        again = storage.stored(again, f"{folder}/again-{n}")
+        here = F.col("symbol").eqNullSafe(F.col("s")) & (F.col("_block") == F.col("k"))
+        rows = current.where("_start is null").join(again, here).withColumns({"_halo": F.lit(False), "_day": day_number() if by_day else F.lit(0)})
+        rows = rows.join(given.select(F.col("symbol").alias("g"), F.col("_unit").alias("u"), "_first"), F.col("symbol").eqNullSafe(F.col("g")) & (F.col("_unit") == F.col("u")))
+        done = storage.stored(ran(rows), f"{folder}/{n}")
+        current = current.join(again.select("s", "k"), here, "left_anti").unionByName(done)
+    return current.where("_start is null").select(*names, *outputs)

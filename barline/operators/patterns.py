@@ -6,16 +6,36 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barline.functions.columns import candle_shape, trend
+from barline.operators.blocks import SPAN
 
 UP, DOWN = "uptrend", "downtrend"
 _LAGS = {"open_price": "o", "close_price": "c", "high_price": "h", "low_price": "l"}
+_TWICE = list(_LAGS.items())[:2]
 
 
-def lags(bars: DataFrame, by_day: bool = False) -> DataFrame:
-    """Adds o1, c1, h1, l1 of the bar before and o2, c2 of the one before that, within the symbol (and day)."""
-    w = Window.partitionBy("symbol", *(["landing_date"] if by_day else [])).orderBy("group_id")
-    cols = {f"{s}1": F.lag(c, 1).over(w) for c, s in _LAGS.items()}
-    return bars.withColumns(cols | {f"{s}2": F.lag(c, 2).over(w) for c, s in list(_LAGS.items())[:2]})
+def lags(bars: DataFrame, by_day: bool = False, span: int = SPAN) -> DataFrame:
+    """Adds o1, c1, h1, l1 of the bar before and o2, c2 of the one before that, within the symbol (and day).
+
+    Windows are over blocks of ``span`` slots, so a symbol's history is many tasks. The last two
+    bars of each block are handed on to the next block that has bars; only they, two rows a block,
+    are ever sorted by symbol alone. ``bars`` is read twice: store what is dear to compute.
+    """
+    if by_day:
+        w = Window.partitionBy("symbol", "landing_date").orderBy("group_id")
+        cols = {f"{s}1": F.lag(c, 1).over(w) for c, s in _LAGS.items()}
+        return bars.withColumns(cols | {f"{s}2": F.lag(c, 2).over(w) for c, s in _TWICE})
+    keyed = bars.withColumn("_block", F.floor(F.col("group_id") / span))
+    w = Window.partitionBy("symbol", "_block").orderBy("group_id")
+    last_two = keyed.select("symbol", "_block", "group_id", F.struct(*_LAGS).alias("bar"), F.lead("group_id", 2).over(w).isNull().alias("last")).where("last")
+    all_of = Window.partitionBy("symbol").orderBy("group_id")
+    before = last_two.withColumns({"p1": F.lag("bar", 1).over(all_of), "p2": F.lag("bar", 2).over(all_of)})
+    before = before.groupBy("symbol", "_block").agg(F.min_by(F.struct("p1", "p2"), "group_id").alias("_before")).withColumnsRenamed({"symbol": "_s", "_block": "_b"})
+
+    here = keyed.withColumns({"_n": F.row_number().over(w)} | {f"{s}1": F.lag(c, 1).over(w) for c, s in _LAGS.items()} | {f"{s}2": F.lag(c, 2).over(w) for c, s in _TWICE})
+    both = here.join(before, F.col("symbol").eqNullSafe(F.col("_s")) & (F.col("_block") == F.col("_b")), "left")
+    first = {f"{s}1": F.when(F.col("_n") == 1, F.col(f"_before.p1.{c}")).otherwise(F.col(f"{s}1")) for c, s in _LAGS.items()}
+    second = {f"{s}2": F.when(F.col("_n") == 1, F.col(f"_before.p2.{c}")).when(F.col("_n") == 2, F.col(f"_before.p1.{c}")).otherwise(F.col(f"{s}2")) for c, s in _TWICE}
+    return both.withColumns(first | second).select(*bars.columns, *first, *second)
 
 
 def pattern_one() -> Column:

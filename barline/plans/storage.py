@@ -32,6 +32,17 @@ def scratch(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/bars-{uuid.uuid4().hex}"
 
 
+def stored(df: DataFrame, path: str) -> DataFrame:
+    """Writes ``df`` as Parquet and reads it back: lineage ends here."""
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def table_exists(spark: SparkSession, table: str) -> bool:
     return spark.catalog.tableExists(table)
 

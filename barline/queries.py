@@ -9,7 +9,6 @@ from barline.functions.columns import bar_keys, candle_shape, lineage_columns, r
 from barline.operators import bars as B
 from barline.operators import patterns as P
 from barline.operators import serving as S
-from barline.operators.blocks import indicators_by_blocks
 from barline.operators.recurrence import OUTPUTS, ema, indicators
 from barline.plans import jobs, storage
 from barline.sources import trades as T
@@ -52,7 +51,6 @@ def _messages(spark: SparkSession, sf: str, stream: bool) -> DataFrame:
 
 
 def _streamed(spark: SparkSession, rows: DataFrame) -> DataFrame:
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     path = storage.scratch(spark)
     streams.stream_to_table(rows, f"{path}/out", f"{path}/checkpoint", [], availableNow=True).awaitTermination()
     return spark.read.schema(rows.schema).parquet(f"{path}/out")
@@ -89,8 +87,8 @@ def multi_sink(spark: SparkSession, sf: str) -> DataFrame:
     indicators = lambda rows, n: streams.keyed_json(rows).write.mode("overwrite").parquet(f"{path}/indicators/batch={n}")
     patterns = lambda rows, n: streams.shard_json(rows, n, f"{path}/patterns")
     streams.crypto_stream(_messages(spark, sf, True), f"{path}/checkpoint", [bars], [indicators], [patterns], "60 minutes", availableNow=True).awaitTermination()
-    at = "symbol string, landing_date date, window_start timestamp"
-    served = spark.read.schema(f"{at}, close_price double, volume double, created_at date").parquet(f"{path}/bars/batch=*").where("created_at is not null").drop("created_at")
+    fields = "symbol string, landing_date date, window_start timestamp, close_price double, volume double, created_at date"
+    served = streams.serving_read(spark, f"{path}/bars", fields).where("created_at is not null").drop("created_at")
     told = streams.indicators_stream_reader(spark.read.schema("key string, value string").parquet(f"{path}/indicators/batch=*"))
     marked = streams.indicators_stream_reader(spark.read.schema("key string, value string").json(f"{path}/patterns/batch=*")).select("symbol", "window_start", F.col("pattern").alias("sent_pattern"))
     rows = served.drop("landing_date").join(told.select("symbol", "window_start", "ema7", "rsi6", "pattern"), ["symbol", "window_start"]).join(marked, ["symbol", "window_start"], "left")
@@ -193,7 +191,7 @@ QUERIES = {
     "pattern_three_daily": _daily("pattern_three"),
     "run_day": run_day,
     "run_day_history": lambda s, d: jobs.backfill(_trades(s, d), "1970-01-01", "2024-01-05")["macd"].where("landing_date = date'2024-01-05'").select("symbol", "group_id", "close_price", "macd", "signal", "histogram"),
-    "lag_prev": lambda s, d: P.lags(_bars(s, d)).select("symbol", "group_id", "o1", "c1", "h1", "l1", "o2", "c2"),
+    "lag_prev": lambda s, d: P.lags(storage.stored(_bars(s, d), storage.scratch(s)), span=100).select("symbol", "group_id", "o1", "c1", "h1", "l1", "o2", "c2"),
     "pattern_one": lambda s, d: _marked(s, d).where("pattern_one is not null").select("symbol", "group_id", F.col("pattern_one").alias("pattern")),
     "pattern_two": lambda s, d: _marked(s, d).where("pattern_two is not null").select("symbol", "group_id", F.col("pattern_two").alias("pattern")),
     "pattern_three": lambda s, d: _marked(s, d).where("pattern_three is not null").select("symbol", "group_id", F.col("pattern_three").alias("pattern")),
@@ -209,7 +207,7 @@ QUERIES = {
     "trade_preview": lambda s, d: S.trade_preview(_trades(s, d)),
     "prev_day_state": prev_day_state,
     "sink_cast": lambda s, d: sink_cast(_full(s, d)).select("symbol", "group_id", *(F.col(c).cast("double").alias(c) for c in ("close_price", "rsi6", "macd", "ema26"))),
-    "indicators_by_blocks": lambda s, d: indicators_by_blocks(_bars(s, d), 128).select("symbol", "group_id", *(F.round(c, 6).alias(c) for c in OUTPUTS)),
+    "indicators_by_blocks": lambda s, d: indicators(_bars(s, d), span=128, halo=64).select("symbol", "group_id", *(F.round(c, 6).alias(c) for c in OUTPUTS)),
     "ema": lambda s, d: ema(_bars(s, d), 12).select("symbol", "group_id", "ema12"),
     "lineage_columns": lineage,
     "avg_by_symbol_stream": avg_stream,

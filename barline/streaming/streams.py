@@ -2,22 +2,43 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.streaming.query import StreamingQuery
 
-from barline.operators.recurrence import OUTPUTS, STATE, empty_state, step
+from barline.operators.recurrence import OUTPUTS, STATE, advance, empty_state
 
 WATERMARK = "5 seconds"
 WIDTH = "15 minutes"
 BARS = ["open_price", "high_price", "low_price", "close_price", "volume"]
 
 
+_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+@contextmanager
+def state_backend(spark: SparkSession) -> Iterator[None]:
+    """Queries started within keep their state in RocksDB, which keyed state needs; the session's setting comes back."""
+    before = spark.conf.get(_PROVIDER, None)
+    spark.conf.set(_PROVIDER, _ROCKSDB)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_PROVIDER)
+        else:
+            spark.conf.set(_PROVIDER, before)
+
+
 def klines_stream(trades: DataFrame, width: str = WIDTH, watermark: str = WATERMARK) -> DataFrame:
     """Tumbling OHLCV bars per symbol of trades with event time ``ts``; rows of closed windows are dropped."""
     at = F.struct("ts_int", "agg_trade_id")
@@ -38,25 +59,49 @@ _OUT = T.StructType([*_BAR.fields, *(T.StructField(c, T.DoubleType()) for c in (
 _STATE = T.StructType([T.StructField(c, T.DoubleType()) for c in (*STATE, *_PREVIOUS)])
 
 
+#: Bars that are turned into rows at once.
+SLICE = 4096
+
+
 class _Indicators(StatefulProcessor):
-    """Per symbol: the recurrences' state and the last two bars."""
+    """Per symbol: the recurrences' state and the last two bars.
+
+    A batch's bars of a symbol are held as plain columns, some 60 bytes a bar, to put them in
+    order; rows are made and handed on SLICE bars at a time.
+    """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.state = handle.getValueState("state", _STATE)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
-        bars = pd.concat(list(rows)).sort_values("window_start")
+        parts = [(b["window_start"].to_numpy(), b["window_end"].to_numpy(), b[BARS].to_numpy(float)) for b in rows]
+        start, end, values = (np.concatenate(p) for p in zip(*parts, strict=True))
+        order = np.argsort(start, kind="stable")
         names = [*STATE, *_PREVIOUS]
         s = dict(zip(names, self.state.get(), strict=True)) if self.state.exists() else empty_state() | dict.fromkeys(_PREVIOUS)
-        out = []
-        for b in bars.to_dict("records"):
-            before = {k: s[k] for k in _PREVIOUS}
-            got = dict.fromkeys(OUTPUTS) if pd.isna(b["close_price"]) else step(s, float(b["close_price"]))
-            out.append(got | before)
-            s |= {"o2": s["o1"], "c2": s["c1"], "o1": b["open_price"], "c1": b["close_price"], "h1": b["high_price"], "l1": b["low_price"]}
+        for lo in range(0, len(order), SLICE):
+            at = order[lo : lo + SLICE]
+            yield self._moved(s, key[0], start[at], end[at], values[at])
         self.state.update(tuple(s[k] for k in names))
-        new = pd.DataFrame(out, columns=[*OUTPUTS, *_PREVIOUS], dtype=float)
-        yield pd.concat([bars.reset_index(drop=True)[[f.name for f in _BAR.fields]], new], axis=1)
+
+    def _moved(self, s: dict, symbol: str, start: np.ndarray, end: np.ndarray, values: np.ndarray) -> pd.DataFrame:
+        """The bars with all that is computed of them; moves ``s`` behind them."""
+        out = pd.DataFrame({"window_start": start, "window_end": end, "symbol": symbol, "landing_date": pd.Series(start).dt.date})
+        bars = dict(zip(BARS, values.T, strict=True))
+        close = bars["close_price"]
+        known = ~np.isnan(close)
+        got = {c: np.full(len(close), np.nan) for c in OUTPUTS}
+        for c, x in advance(s, close[known]).items():
+            got[c][known] = x
+        number = lambda x: np.nan if x is None else x
+        for name, c in (("o", "open_price"), ("c", "close_price"), ("h", "high_price"), ("l", "low_price")):
+            past = np.concatenate([[number(s.get(f"{name}2")), number(s[f"{name}1"])], bars[c]])
+            got[f"{name}1"] = past[1:-1]
+            s[f"{name}1"] = None if np.isnan(past[-1]) else float(past[-1])
+            if name in "oc":
+                got[f"{name}2"] = past[:-2]
+                s[f"{name}2"] = None if np.isnan(past[-2]) else float(past[-2])
+        return out.assign(**bars, **{c: got[c] for c in (*OUTPUTS, *_PREVIOUS)})
 
     def close(self) -> None:
         pass
@@ -105,20 +150,34 @@ def shard_json(rows: DataFrame, batch: int, path: str, most: int = 100, key: str
 
 
 def serving_write(rows: DataFrame, batch: int, path: str, most: int = 5000, tries: int = 3) -> None:
-    """One batch of a stream as files of ``most`` rows at most, of its own: a batch that is run again replaces itself.
+    """One batch of a stream as files of ``most`` rows at most, seen by ``serving_read`` as a whole or not at all.
 
-    A write that fails is tried again, ``tries`` times in all.
+    Each try writes to a folder of its own and then adds a record of it, in one file; a try
+    without a record is not read. A batch that is run again adds a second try with the same
+    rows, of which the reader takes one. A write that fails is tried again, ``tries`` times in all.
     """
     made = rows.withColumn("created_at", F.current_date()).sortWithinPartitions("symbol", "window_start")
     for n in range(tries):
+        attempt = uuid.uuid4().hex
         try:
-            made.write.mode("overwrite").option("maxRecordsPerFile", most).partitionBy("symbol", "landing_date").parquet(f"{path}/batch={batch}")
+            made.write.mode("error").option("maxRecordsPerFile", most).partitionBy("symbol", "landing_date").parquet(f"{path}/rows/batch={batch}/attempt={attempt}")
+            commit = rows.sparkSession.range(1).select(F.lit(batch).cast("long").alias("batch"), F.lit(attempt).alias("attempt"))
+            commit.coalesce(1).write.mode("append").json(f"{path}/commits")
             return
         except Exception:
             if n + 1 == tries:
                 raise
 
 
+def serving_read(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
+    """The rows of committed batches, each batch once; folders of other tries are pruned."""
+    commits = spark.read.schema("batch long, attempt string").json(f"{path}/commits").groupBy("batch").agg(F.min("attempt").alias("attempt"))
+    fields = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    whole = T.StructType([*fields.fields, T.StructField("batch", T.LongType()), T.StructField("attempt", T.StringType())])
+    rows = spark.read.schema(whole).option("basePath", f"{path}/rows").parquet(f"{path}/rows")
+    return rows.join(commits, ["batch", "attempt"], "left_semi").select(*fields.names)
+
+
 def split_by_predicate(predicate: Column, sink: Callable[[DataFrame, int], None], otherwise: Callable[[DataFrame, int], None] | None = None) -> Callable[[DataFrame, int], None]:
     """A sink that hands rows for which ``predicate`` holds to ``sink``, and the others to ``otherwise``, if given."""
 
@@ -138,7 +197,11 @@ def indicators_stream_reader(messages: DataFrame) -> DataFrame:
 
 
 def multi_sink(rows: DataFrame, checkpoint: str, sinks: list[Callable[[DataFrame, int], None]], **trigger) -> StreamingQuery:
-    """One stateful query feeding several sinks; each batch is computed once."""
+    """One stateful query feeding several sinks; each batch is computed once.
+
+    A sink gets a batch and its number; after a failure the batch comes again, to all sinks, so
+    a sink has to replace or tell apart what it wrote of it before, as those here do.
+    """
 
     def write(batch: DataFrame, n: int) -> None:
         batch = batch.persist()
@@ -148,10 +211,14 @@ def multi_sink(rows: DataFrame, checkpoint: str, sinks: list[Callable[[DataFrame
         finally:
             batch.unpersist()
 
-    return rows.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(**(trigger or {"processingTime": "2 seconds"})).start()
+    writer = rows.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(**(trigger or {"processingTime": "2 seconds"}))
+    with state_backend(rows.sparkSession):
+        return writer.start()
 
 
 def stream_to_table(rows: DataFrame, path: str, checkpoint: str, keys: list[str], **trigger) -> StreamingQuery:
     """Appends a stream to a partitioned Parquet folder, exactly once."""
     writer = rows.writeStream.partitionBy(*keys) if keys else rows.writeStream
-    return writer.format("parquet").option("path", path).option("checkpointLocation", checkpoint).trigger(**(trigger or {"processingTime": "1 minute"})).start()
+    writer = writer.format("parquet").option("path", path).option("checkpointLocation", checkpoint).trigger(**(trigger or {"processingTime": "1 minute"}))
+    with state_backend(rows.sparkSession):
+        return writer.start()

@@ -12,7 +12,6 @@ def spark(tmp_path_factory):
     conf = {
         "spark.sql.shuffle.partitions": "4", "spark.sql.session.timeZone": "UTC", "spark.ui.enabled": "false", "spark.driver.memory": "6g",
         "spark.checkpoint.dir": f"file://{tmp_path_factory.mktemp('shared')}", "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
-        "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     }
     s = SparkSession.builder.master("local[4]").config(map=conf).getOrCreate()
     s.sparkContext.setLogLevel("ERROR")

@@ -1,4 +1,5 @@
 import duckdb
+import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
@@ -7,8 +8,8 @@ from barline import queries as Q
 from barline.functions.columns import round_half_up, sink_cast
 from barline.operators import patterns as P
 from barline.operators.bars import klines_batch
-from barline.operators.blocks import indicators_by_blocks
-from barline.operators.recurrence import ema, empty_state, half_up, indicators, step
+from barline.operators import blocks
+from barline.operators.recurrence import CARRIED, OUTPUTS, PLACES, advance, ema, empty_state, half_up, indicators, next_day, step
 from barline.plans import jobs, storage
 from barline.sources import trades as T
 from barline.streaming import streams
@@ -157,17 +158,83 @@ def test_one_column_of_order_makes_a_hash_aggregate(spark):
     assert klines_batch(trades, order_by=("agg_trade_id",)).exceptAll(klines_batch(trades)).count() == 0
 
 
-def test_blocks_equal_one_pass(spark):
-    rows = klines_batch(T.trades_view(spark.read.parquet(f"{SF.replace('0.001', '0.01')}/events.parquet")), 3600)
-    rows = rows.withColumn("close_price", F.when(F.col("group_id") % 17 != 0, F.col("close_price")))
-    key = ["symbol", "group_id"]
-    want = indicators(rows).orderBy(*key).toPandas()
-    for size in (64, 500, 10_000):
-        got = indicators_by_blocks(rows, size).orderBy(*key).toPandas()
-        pd.testing.assert_frame_equal(got, want, rtol=1e-9, atol=1e-9)
-    assert indicators_by_blocks(rows.where("false")).count() == 0
-    with pytest.raises(ValueError, match="block"):
-        indicators_by_blocks(rows, 10)
+@pytest.mark.parametrize("pieces", [1, 3, 17])
+def test_columns_equal_steps(pieces):
+    """Column by column and bar by bar: the same bits, wherever a history is cut."""
+    rng = np.random.default_rng(pieces)
+    close = np.concatenate([rng.normal(100, 20, 300).round(2), np.full(40, 7.5), rng.random(40) * 1e-9])
+    a, b = empty_state(), empty_state()
+    want = [step(a, float(x)) for x in close]
+    got = [advance(b, x) for x in np.array_split(close, pieces)]
+    for c in OUTPUTS:
+        np.testing.assert_array_equal(np.concatenate([g[c] for g in got]), np.array([w[c] for w in want], float))
+    assert a == b
+
+
+def one_pass(rows: pd.DataFrame, carry: str) -> pd.DataFrame:
+    """Every symbol's bars in order, one by one."""
+    out = []
+    for _, t in rows.groupby("symbol", dropna=False):
+        s, day, last, close = empty_state(), None, None, None
+        for d, c in zip(t.landing_date, t.close_price, strict=True):
+            if carry == "daily_rounded" and d != day:
+                s, day = next_day(last if day is not None and (d - day).days == 1 else None, close), d
+            got = dict.fromkeys(OUTPUTS) if pd.isna(c) else step(s, float(c))
+            if not pd.isna(c):
+                got = {k: half_up(v, PLACES[k]) for k, v in got.items()} if carry == "daily_rounded" else got
+                last, close = {k: got[k] for k in CARRIED}, float(c)
+            out.append(got)
+    return pd.concat([rows.reset_index(drop=True), pd.DataFrame(out, columns=OUTPUTS, dtype=float)], axis=1)
+
+
+@pytest.fixture(scope="module")
+def many_bars(spark):
+    """Symbols with gaps of bars, days, prices and whole blocks, one of them with no more than a few bars, one null."""
+    rng = np.random.default_rng(8)
+    rows = []
+    for symbol, every in (("a", 1), ("b", 3), ("gaps", 2), ("few", 200), (None, 5)):
+        for slot in range(0, 1600, every):
+            if symbol != "gaps" or not (300 < slot < 700 or 900 < slot < 960):
+                rows.append((symbol, 20_000 * 24 + slot, None if slot % 17 == 0 else round(float(rng.normal(100, 9)), 2)))
+    df = spark.createDataFrame(rows, "symbol string, group_id long, close_price double").withColumn("landing_date", F.date_from_unix_date(F.floor(F.col("group_id") / 24).cast("int")))
+    return df, df.toPandas().sort_values(["symbol", "group_id"], na_position="last")
+
+
+@pytest.mark.parametrize(("carry", "span", "halo"), [("exact", 4096, 768), ("exact", 64, 0), ("exact", 100, 64), ("exact", 500, 480), ("daily_rounded", 1, 0), ("daily_rounded", 3, 2)])
+@pytest.mark.parametrize("rounds", [1, 3])
+def test_blocks_equal_one_pass(spark, many_bars, tmp_path, monkeypatch, carry, span, halo, rounds):
+    monkeypatch.setattr(blocks, "ROUNDS", rounds)  # the last round takes all that is left as one run
+    df, rows = many_bars
+    want = one_pass(rows, carry)
+    got = indicators(df.repartition(3), carry, span=span, halo=halo, folder=f"file://{tmp_path}/t")
+    got = got.toPandas().sort_values(["symbol", "group_id"], na_position="last").reset_index(drop=True)
+    pd.testing.assert_frame_equal(got, want, check_dtype=False, check_exact=True)
+    again = [p for p in (tmp_path / "t").iterdir() if p.name.startswith("again")]
+    assert bool(again) == ((span, halo) != (4096, 768))
+    if (span, halo) == (4096, 768):
+        assert indicators(df.where("false"), carry).count() == 0
+
+
+@pytest.mark.parametrize("span", [1, 7, 64, 4096])
+def test_lags_reach_over_blocks(spark, many_bars, span):
+    df, rows = many_bars
+    df = df.withColumns({"open_price": F.col("close_price") + 1, "high_price": F.col("group_id") * 1.0, "low_price": -F.col("close_price")})
+    got = P.lags(df, span=span)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    got = got.toPandas().sort_values(["symbol", "group_id"], na_position="last").reset_index(drop=True)
+    by = rows.assign(open_price=rows.close_price + 1, high_price=rows.group_id * 1.0, low_price=-rows.close_price).groupby("symbol", dropna=False)
+    for c, s in (("open_price", "o"), ("close_price", "c"), ("high_price", "h"), ("low_price", "l")):
+        for k in (1, 2)[: 1 + (s in "oc")]:
+            np.testing.assert_array_equal(got[f"{s}{k}"].to_numpy(float), by[c].shift(k).to_numpy(float))
+    assert len(got) == len(rows) and "CartesianProduct" not in plan
+
+
+def test_blocks_that_guess_right_do_not_run_again(spark, tmp_path):
+    rows = spark.range(6000).select(F.lit("a").alias("symbol"), F.col("id").alias("group_id"), (F.rand(3) * 100).alias("close_price"), F.lit(None).cast("date").alias("landing_date"))
+    got = indicators(rows, span=1000, halo=768, folder=f"file://{tmp_path}/t").orderBy("group_id").toPandas()
+    assert not [p for p in (tmp_path / "t").iterdir() if p.name.startswith("again")]
+    want = advance(empty_state(), got.close_price.to_numpy())
+    assert all((np.nan_to_num(got[c], nan=-1) == np.nan_to_num(want[c], nan=-1)).all() for c in OUTPUTS)
 
 
 def test_catalog(spark):
@@ -215,25 +282,73 @@ def test_sinks(spark, tmp_path):
     files = list((tmp_path / "shard/batch=7").glob("part-*"))
     assert len(files) == 3 and sum(len(f.read_text().splitlines()) for f in files) == 250
 
-    class Failing:
-        def __init__(self):
-            self.times = 0
 
-        def withColumn(self, *_):  # noqa: N802
-            return self
 
-        def sortWithinPartitions(self, *_):  # noqa: N802
-            return self
+def bar_rows(spark, n=40):
+    rows = spark.range(n).select(F.lit("A").alias("symbol"), F.to_date(F.lit("2024-01-01")).alias("landing_date"), F.timestamp_seconds(F.col("id") * 900).alias("window_start"), F.col("id").cast("double").alias("close_price"))
+    return rows, "symbol string, landing_date date, window_start timestamp, close_price double, created_at date"
 
-        @property
-        def write(self):
-            self.times += 1
-            raise OSError("away")
 
-    sink = Failing()
+def test_readers_see_whole_batches(spark, tmp_path, monkeypatch):
+    """A write that dies before its record is not read, and one that is run again is read once."""
+    rows, fields = bar_rows(spark)
+    path = f"file://{tmp_path}/sink"
+    streams.serving_write(rows.where("close_price < 10"), 0, path, most=4)
+    assert streams.serving_read(spark, path, fields).count() == 10
+    monkeypatch.setattr(streams.F, "lit", lambda x: (_ for _ in ()).throw(OSError("away")))  # dies between rows and record
     with pytest.raises(OSError, match="away"):
-        streams.serving_write(sink, 0, "nowhere")
-    assert sink.times == 3
+        streams.serving_write(rows.where("close_price >= 10"), 1, path)
+    monkeypatch.undo()
+    assert len(list((tmp_path / "sink/rows/batch=1").iterdir())) == 3  # it was tried three times
+    assert streams.serving_read(spark, path, fields).count() == 10
+    for _ in range(2):
+        streams.serving_write(rows.where("close_price >= 10"), 1, path)
+    got = streams.serving_read(spark, path, fields)
+    assert [r.close_price for r in got.orderBy("close_price").collect()] == [float(x) for x in range(40)] and got.where("created_at is null").isEmpty()
+
+
+def test_session_settings_come_back(spark):
+    with streams.state_backend(spark):
+        assert "RocksDB" in spark.conf.get(streams._PROVIDER)
+    assert "RocksDB" not in (spark.conf.get(streams._PROVIDER, None) or "")
+
+
+def test_job_goes_on_after_a_failure_between_two_sinks(spark, tmp_path):
+    """The whole job, stopped where one sink had a batch and the next had not: no row is lost or doubled, and state goes on."""
+    source = tmp_path / "in"
+    source.mkdir()
+    fields = "symbol string, landing_date date, window_start timestamp, close_price double, volume double, created_at date"
+
+    def run(at, fail=False):
+        def told(rows, n):
+            if fail and not rows.isEmpty():
+                raise OSError("away")
+            streams.keyed_json(rows).write.mode("overwrite").parquet(f"{at}/told/batch={n}")
+
+        bars = lambda rows, n: streams.serving_write(rows, n, f"{at}/bars")
+        marked = lambda rows, n: streams.shard_json(rows, n, f"{at}/marked")
+        messages = spark.readStream.text(str(source))
+        streams.crypto_stream(messages, f"{at}/checkpoint", [bars], [told], [marked], availableNow=True).awaitTermination()
+
+    def seen(at):
+        told = streams.indicators_stream_reader(spark.read.schema("key string, value string").parquet(f"{at}/told/batch=*")).orderBy("window_start").toPandas()
+        return streams.serving_read(spark, f"{at}/bars", fields).orderBy("window_start").toPandas(), told
+
+    broken, whole = f"file://{tmp_path}/broken", f"file://{tmp_path}/whole"
+    (source / "0.txt").write_text("\n".join(trade(15 * k, 1, k, price=100 + k % 7) for k in range(30)))
+    run(broken)
+    (source / "1.txt").write_text("\n".join(trade(15 * k, 1, k, price=100 + k % 5) for k in range(30, 60)))
+    with pytest.raises(Exception, match="away"):
+        run(broken, fail=True)
+    assert len(seen(broken)[0]) > len(seen(broken)[1])  # the first sink had the batch
+    run(broken)
+    (source / "2.txt").write_text("\n".join(trade(15 * k, 1, k, price=100 + k % 3) for k in range(60, 80)))
+    run(broken)
+    run(whole)
+    for a, b in zip(seen(broken), seen(whole), strict=True):
+        pd.testing.assert_frame_equal(a, b)
+        assert len(a) == 78 and a.window_start.is_unique
+    assert seen(whole)[1].signal.notna().sum() == 78 - 33
 
 
 def test_strict_messages_fail(spark):
