@@ -60,10 +60,13 @@ def list_tables(spark: SparkSession, database: str | None = None) -> list[str]:
 
 
 def upsert_partitions(df: DataFrame, table: str, keys: tuple[str, ...] = PARTITION_KEYS) -> None:
-    """Creates ``table`` or replaces just the partitions present in ``df``; no rows change nothing."""
+    """Creates ``table`` or replaces just the partitions present in ``df``; no rows change nothing.
+
+    Rows are rebalanced by the keys: small partitions share a task, and one of more than
+    spark.sql.adaptive.advisoryPartitionSizeInBytes is written by several, in as many files.
+    """
     spark = df.sparkSession
-    df = df.select(*(c for c in df.columns if c not in keys), *keys)
-    df = df.repartition(*keys).sortWithinPartitions(*keys)
+    df = df.select(*(c for c in df.columns if c not in keys), *keys).hint("rebalance", *keys)
     if not table_exists(spark, table):
         df.write.partitionBy(*keys).format("parquet").saveAsTable(table)
         return

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,8 +19,21 @@ from barline.streaming import streams
 HOUR = 3600
 
 
+def _in_utc(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    """Plans are made, and streams run, in UTC; the session's zone comes back."""
+
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        zone = spark.conf.get("spark.sql.session.timeZone")
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        try:
+            return query(spark, sf)
+        finally:
+            spark.conf.set("spark.sql.session.timeZone", zone)
+
+    return run
+
+
 def _trades(spark: SparkSession, sf: str) -> DataFrame:
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
     return T.trades_view(spark.read.parquet(f"{sf}/events.parquet"))
 
 
@@ -46,7 +61,6 @@ def _messages(spark: SparkSession, sf: str, stream: bool) -> DataFrame:
     events = spark.read.parquet(f"{sf}/events.parquet")
     if stream:
         events = spark.readStream.schema(events.schema).parquet(path)
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
     return T.trades_to_messages(T.trades_view(events))
 
 
@@ -71,12 +85,61 @@ def _start_us(rows: DataFrame) -> DataFrame:
 
 def prices_stream(spark: SparkSession, sf: str) -> DataFrame:
     """Events as price messages, decoded by a stream."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
     events = spark.readStream.schema(spark.read.parquet(f"{sf}/events.parquet").schema).parquet(f"{sf}/events.parque[t]")
     value = F.to_json(F.struct(F.col("event_type").alias("ticker"), F.col("value").alias("price"), F.col("ts").cast("timestamp").alias("event_time")), {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"})
     return _streamed(spark, T.prices(events.select(value.alias("value")))).select("ticker", "price", F.unix_micros("event_time").alias("event_time"))
 
 
+def _priced(spark: SparkSession, sf: str) -> DataFrame:
+    """A stream of price messages, times in ISO 8601."""
+    events = spark.readStream.schema(spark.read.parquet(f"{sf}/events.parquet").schema).parquet(f"{sf}/events.parque[t]")
+    rows = events.select(F.col("event_type").alias("symbol"), "value", F.col("ts").cast("timestamp").alias("ts"))
+    return T.iso_messages(rows, {"ticker": "symbol", "price": "value", "event_time": "ts"})
+
+
+def prices_from(spark: SparkSession, sf: str) -> DataFrame:
+    """Price messages from a time on."""
+    rows = _streamed(spark, T.prices(_priced(spark, sf), "2024-01-10 12:00:00"))
+    return rows.select("ticker", "price", F.unix_micros("event_time").alias("event_time"))
+
+
+def _shard(position: str, start: str | None = None):
+    def query(spark: SparkSession, sf: str) -> DataFrame:
+        """Trades as messages of a sharded stream, decoded by a stream."""
+        events = spark.readStream.schema(spark.read.parquet(f"{sf}/events.parquet").schema).parquet(f"{sf}/events.parque[t]")
+        trades = T.trades_view(events).withColumn("ts", F.timestamp_micros("timestamp"))
+        names = [f.split()[0] for f in T.SHARD_SCHEMA.split(", ")]
+        sent = T.iso_messages(trades, {n: "ts" if n == "event_time" else n for n in names})
+        rows = _streamed(spark, T.shard_trades(sent, position, start))
+        return rows.select("agg_trade_id", "symbol", "price", "is_buyer_maker", F.unix_micros("ts").alias("ts_us"))
+
+    return query
+
+
+def late_drop(spark: SparkSession, sf: str) -> DataFrame:
+    """Bars of a stream that is stopped and started again, and gets all trades a second time, with other prices, when their windows are closed."""
+    path, sent = storage.scratch(spark), _messages(spark, sf, False)
+    late = F.regexp_replace("value", r'"price":[0-9.]+', '"price":1000000')
+    for messages in (sent, sent.select("key", late.alias("value"))):
+        messages.write.mode("append").parquet(f"{path}/in")
+        stream = spark.readStream.schema(sent.schema).parquet(f"{path}/in")
+        streams.stream_to_table(streams.klines_stream(T.json_trades(stream)), f"{path}/out", f"{path}/checkpoint", [], availableNow=True).awaitTermination()
+    return _start_us(spark.read.parquet(f"{path}/out"))
+
+
+def catalog(spark: SparkSession, sf: str) -> DataFrame:
+    """Bars kept as a table of a database of their own, counted, with what the catalog says of both."""
+    name = f"shelf_{storage.scratch(spark).rsplit('-', 1)[1]}"
+    before = storage.database_exists(spark, name) or storage.table_exists(spark, f"{name}.bars")
+    storage.create_database(spark, name)
+    storage.upsert_partitions(_bars(spark, sf), f"{name}.bars")
+    found, listed = storage.database_exists(spark, name) and storage.table_exists(spark, f"{name}.bars"), storage.list_tables(spark, name) == ["bars"]
+    rows = spark.table(f"{name}.bars").groupBy("symbol").agg(F.count("*").alias("n_bars"), F.countDistinct("landing_date").alias("n_days"))
+    rows = storage.stored(rows, f"{storage.scratch(spark)}/counts")
+    spark.sql(f"DROP DATABASE `{name}` CASCADE")
+    return rows.withColumns({"before": F.lit(before), "found": F.lit(found), "listed": F.lit(listed)})
+
+
 def multi_sink(spark: SparkSession, sf: str) -> DataFrame:
     """One stateful stream feeding bars, indicators and patterns to sinks of their own, read back and joined.
 
@@ -107,7 +170,6 @@ def avg_stream(spark: SparkSession, sf: str) -> DataFrame:
 
 def stream_to_table(spark: SparkSession, sf: str) -> DataFrame:
     """Price messages as a stream, appended to a folder partitioned by ticker, and read back."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
     events = spark.readStream.schema(spark.read.parquet(f"{sf}/events.parquet").schema).parquet(f"{sf}/events.parque[t]")
     rows = events.select(F.col("event_type").alias("ticker"), F.col("event_id").alias("reading_id"), F.col("value").cast("decimal(6,2)").alias("reading"))
     path = storage.scratch(spark)
@@ -171,7 +233,9 @@ def table_round_trip(spark: SparkSession, sf: str) -> DataFrame:
     storage.upsert_partitions(rows, table)
     changed = rows.where("symbol = 'click' and landing_date = date'2024-01-02'").withColumn("volume", F.col("volume") + 1000)
     storage.upsert_partitions(changed, table)
-    return spark.table(table).select("symbol", "landing_date", "group_id", "close_price", "volume")
+    rows = storage.stored(spark.table(table).select("symbol", "landing_date", "group_id", "close_price", "volume"), f"{storage.scratch(spark)}/bars")
+    spark.sql(f"DROP TABLE {table}")
+    return rows
 
 
 QUERIES = {
@@ -223,10 +287,17 @@ QUERIES = {
     "multi_sink": multi_sink,
     "avg_by_symbol": lambda s, d: streams.avg_by_symbol(_trades(s, d)),
     "upsert_partitions": table_round_trip,
+    "prices_from": prices_from,
+    "shard_stream_source": _shard("earliest"),
+    "shard_stream_at_timestamp": _shard("at_timestamp", "2024-01-12 00:00:00"),
+    "late_drop": late_drop,
+    "catalog": catalog,
     "klines_stream": klines_stream,
     "indicator_stream": indicator_stream,
 }
 
+QUERIES = {name: _in_utc(query) for name, query in QUERIES.items()}
+
 _T = """t AS (SELECT event_id AS id, value AS price, json_extract_string(props, '$.k')::DOUBLE AS quantity, epoch_us(ts) AS us, event_type AS symbol, ts::DATE AS landing_date FROM events)"""
 
 
@@ -375,4 +446,11 @@ SQL = {
     "stream_to_table": "SELECT event_type AS ticker, event_id AS reading_id, value::DECIMAL(6,2)::DOUBLE AS reading FROM events",
     "klines_stream": f"WITH {_T}, {_closed(900)} SELECT {_window(900)} FROM b",
     "indicator_stream": f"WITH RECURSIVE {_T}, {_closed(HOUR)}, {_I}, {_M} SELECT {_window(HOUR)}, {', '.join(OUTPUTS)}, trend, pattern FROM q",
+    "prices_from": "SELECT event_type AS ticker, value AS price, epoch_us(ts) AS event_time FROM events WHERE ts >= TIMESTAMP '2024-01-10 12:00:00'",
+    **{
+        n: f"WITH {_T} SELECT id AS agg_trade_id, symbol, price, symbol = 'purchase' AS is_buyer_maker, us // 1000 * 1000 AS ts_us FROM t WHERE {w}"
+        for n, w in (("shard_stream_source", "true"), ("shard_stream_at_timestamp", "us // 1000 >= epoch_ms(TIMESTAMP '2024-01-12')"))
+    },
+    "late_drop": f"WITH {_T}, {_closed(900)} SELECT {_window(900)} FROM b",
+    "catalog": f"{_BARS} SELECT symbol, count(*) AS n_bars, count(DISTINCT landing_date) AS n_days, false AS before, true AS found, true AS listed FROM b GROUP BY symbol",
 }

@@ -21,6 +21,10 @@ def landing_write(df: DataFrame, path: str) -> None:
 
 def landing_scan(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
+#: The same with the event's time in ISO 8601, as sharded streams carry it.
+SHARD_SCHEMA = MESSAGE_SCHEMA.replace("ts_int long", "event_time timestamp")
+ISO_8601 = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][.SSS][XXX]"
+POSITIONS = ("earliest", "at_timestamp")
 
 
 def trades_view(events: DataFrame) -> DataFrame:
@@ -72,6 +76,29 @@ def event_time(micros):
     return F.timestamp_millis(F.floor(micros / 1000).cast("long"))
 
 
+def iso_messages(trades: DataFrame, fields: dict[str, str]) -> DataFrame:
+    """Rows as (key, value) messages: ``fields`` names the columns of a JSON value, times are written in ISO 8601."""
+    names = [F.col(c).alias(n) for n, c in fields.items()]
+    return trades.select(F.col("symbol").alias("key"), F.to_json(F.struct(*names), {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timeZone": "UTC"}).alias("value"))
+
+
+def shard_trades(messages: DataFrame, position: str = "earliest", start: str | None = None) -> DataFrame:
+    """Trades of a sharded stream, from its oldest message on or, ``at_timestamp``, from an event time on.
+
+    Such a stream has no option to ignore errors: a message that is no JSON, or whose time is not
+    in ISO 8601, fails the query. Times without a zone are in UTC; event times ``ts`` are whole
+    milliseconds. Messages without a symbol or time are left out.
+    """
+    if position not in POSITIONS:
+        raise ValueError(f"a position is one of {', '.join(POSITIONS)}")
+    if (position == "at_timestamp") != (start is not None):
+        raise ValueError("a start is told for at_timestamp, and only for it")
+    options = {"mode": "FAILFAST", "timestampFormat": ISO_8601, "timeZone": "UTC"}
+    rows = messages.select(F.from_json(F.col("value").cast("string"), SHARD_SCHEMA, options).alias("m")).select("m.*")
+    rows = rows.where("event_time is not null and symbol is not null").withColumn("ts", F.date_trunc("millisecond", "event_time")).drop("event_time")
+    return rows.where(F.col("ts") >= F.lit(start).cast("timestamp")) if start else rows
+
+
 def prices(messages: DataFrame, start: str | None = None) -> DataFrame:
     """ticker, price, event_time with a watermark of 5 seconds; from ``start`` on if given."""
     rows = messages.select(F.from_json(F.col("value").cast("string"), "ticker string, price double, event_time timestamp").alias("m")).select("m.*").where("event_time is not null")

@@ -351,6 +351,36 @@ def test_job_goes_on_after_a_failure_between_two_sinks(spark, tmp_path):
     assert seen(whole)[1].signal.notna().sum() == 78 - 33
 
 
+def test_hot_partitions_are_written_by_several_tasks(spark):
+    rows = spark.range(200_000).select(F.rand(1).alias("x"), F.when(F.col("id") % 100 == 0, "cold").otherwise("hot").alias("symbol"), F.to_date(F.lit("2024-01-01")).alias("landing_date")).repartition(8)
+    storage.create_database(spark, "rebalanced")
+    size, least = ("spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.adaptive.coalescePartitions.minPartitionSize")
+    try:
+        spark.conf.set(size, "200k")
+        spark.conf.set(least, "1k")
+        storage.upsert_partitions(rows, "rebalanced.t")
+    finally:
+        spark.conf.unset(size)
+        spark.conf.unset(least)
+    files = spark.table("rebalanced.t").select("symbol", F.input_file_name().alias("f")).distinct().groupBy("symbol").count().collect()
+    assert {r.symbol: r["count"] for r in files}["hot"] > 2 and spark.table("rebalanced.t").count() == 200_000
+
+
+def test_sharded_messages(spark):
+    value = '{"agg_trade_id":1,"price":2.5,"symbol":"A","event_time":"%s"}'
+    sent = lambda *times: spark.createDataFrame([("A", value % t) for t in times], "key string, value string")
+    got = T.shard_trades(sent("2024-01-01T00:00:00Z", "2024-01-01T02:00:00.123456+02:00", "2024-01-01T00:00:01"))
+    assert [r.us - 1_704_067_200_000_000 for r in got.select(F.unix_micros("ts").alias("us")).orderBy("us").collect()] == [0, 123_000, 1_000_000]
+    assert T.shard_trades(sent("2024-01-01T00:00:00Z", "2024-01-01T00:00:01Z"), "at_timestamp", "2024-01-01 00:00:01").count() == 1
+    assert T.shard_trades(spark.createDataFrame([("A", '{"price":1.0}')], "key string, value string")).count() == 0
+    for bad in ("01/02/2024", "2024-01-01 00:00:00", "soon"):
+        with pytest.raises(Exception, match="(?i)malformed"):
+            T.shard_trades(sent(bad)).collect()
+    for position, start in (("middle", None), ("at_timestamp", None), ("earliest", "2024-01-01")):
+        with pytest.raises(ValueError, match="position|start"):
+            T.shard_trades(sent("2024-01-01T00:00:00Z"), position, start)
+
+
 def test_strict_messages_fail(spark):
     bad = spark.createDataFrame([("A", "{bad")], "key string, value string")
     with pytest.raises(Exception, match="(?i)malformed"):
