@@ -194,3 +194,28 @@ r AS (
 SELECT v.vec_id, (SELECT count(*) FROM l WHERE l.u = v.vec_id)::BIGINT AS n_links, m.c::BIGINT AS component_id, m.c = v.vec_id AS kept
 FROM v JOIN (SELECT id, min(c) AS c FROM r GROUP BY id) m ON m.id = v.vec_id
 """
+
+
+def planted(vectors: DataFrame) -> DataFrame:
+    """``vectors`` and, for each, one of five further ones: twice as long, or moved a little, more and too far, or opposite.
+
+    Moves are of the size that puts cosines of 64 components around the threshold, on both sides.
+    """
+    v, i, kind = F.col("embedding").cast("array<double>"), F.col("vec_id"), F.col("vec_id") % 5
+    moved = lambda by: F.transform(v, lambda x, k: x + ((k.cast("long") * 7 + i) % 11 - 5) * F.lit(by))
+    other = F.when(kind == 0, F.transform(v, lambda x: x * 2)).when(kind == 1, moved(0.01)).when(kind == 2, moved(0.018)).when(kind == 3, moved(0.03)).otherwise(F.transform(v, lambda x: -x))
+    rows = vectors.select("vec_id", v.alias("embedding"), other.alias("other"))
+    return rows.drop("other").unionByName(rows.select((i + 1_000_000_000).alias("vec_id"), F.col("other").alias("embedding")))
+
+
+def planted_query(spark, sf_dir: str) -> DataFrame:
+    return linked(planted(common.table(spark, sf_dir, "embeddings")))
+
+
+_MOVED = "list_transform(embedding::DOUBLE[], lambda x, k: x + (((k - 1) * 7 + vec_id) % 11 - 5) * {0}::DOUBLE)"
+PLANTED_SQL = SQL.replace(
+    "SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings",
+    f"""SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+  UNION ALL SELECT vec_id + 1000000000, CASE vec_id % 5 WHEN 0 THEN list_transform(embedding::DOUBLE[], lambda x: x * 2) WHEN 1 THEN {_MOVED.format(0.01)}
+    WHEN 2 THEN {_MOVED.format(0.018)} WHEN 3 THEN {_MOVED.format(0.03)} ELSE list_transform(embedding::DOUBLE[], lambda x: -x) END FROM embeddings""",
+)

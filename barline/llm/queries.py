@@ -11,6 +11,7 @@ QUERIES = {
     "op4_sharding": sharding.query,
     "op5_packing": packing.query,
     "op6_embedding_dedup": embedding_dedup.query,
+    "op6_planted_copies": embedding_dedup.planted_query,
     "op7_substring_dedup": substring_dedup.query,
     "op8_mixing": mixing.query,
     "op9_ngram_join": ngram_join.query,
@@ -21,4 +22,10 @@ QUERIES = {
     "pipeline": pipeline.run,
 }
 
-SQL = {"op6_embedding_dedup": embedding_dedup.SQL, "op8_mixing": mixing.SQL, "op11_divergence": divergence.SQL, "op12_hard_negatives": hard_negatives.SQL}
+SQL = {
+    "op6_embedding_dedup": embedding_dedup.SQL,
+    "op6_planted_copies": embedding_dedup.PLANTED_SQL,
+    "op8_mixing": mixing.SQL,
+    "op11_divergence": divergence.SQL,
+    "op12_hard_negatives": hard_negatives.SQL,
+}
