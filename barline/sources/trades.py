@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Fixed by the feed.
 TRADE_SCHEMA = "agg_trade_id long, price double, quantity double, first_trade_id long, last_trade_id long, timestamp long, is_buyer_maker boolean, is_best_match boolean"
@@ -58,16 +59,21 @@ def trades_to_messages(raw: DataFrame) -> DataFrame:
     return parsed.where(whole).select(F.col("symbol").alias("key"), F.to_json(F.struct(*names)).alias("value"))
 
 
+def decoded(messages: DataFrame, schema: str | T.StructType, options: dict[str, str] | None = None) -> DataFrame:
+    """The fields of the messages' JSON ``value``; a generator, so that filters on them do not parse it again."""
+    return messages.select(F.inline(F.array(F.from_json(F.col("value").cast("string"), schema, options or {}))))
+
+
 def json_trades(messages: DataFrame, strict: bool = False) -> DataFrame:
-    """Messages, streamed or not, to trades with event time ``ts``. Malformed ones are skipped; ``strict`` fails on them.
+    """Messages, streamed or not, to trades with event time ``ts``; ``strict`` fails on malformed ones.
 
-    A sharded stream, which has no option to ignore errors, is read ``strict``.
+    Else a message that is no JSON, or has no time or symbol, is skipped, and another field that
+    does not parse is null. A sharded stream, which has no option to ignore errors, is read ``strict``.
     """
     if strict:
-        rows = messages.select(F.from_json(F.col("value").cast("string"), MESSAGE_SCHEMA, {"mode": "FAILFAST"}).alias("m")).select("m.*")
+        rows = decoded(messages, MESSAGE_SCHEMA, {"mode": "FAILFAST"})
     else:
-        parsed = F.from_json(F.col("value").cast("string"), MESSAGE_SCHEMA + ", _corrupt_record string", {"columnNameOfCorruptRecord": "_corrupt_record"})
-        rows = messages.select(parsed.alias("m")).select("m.*").where("_corrupt_record is null and ts_int is not null and symbol is not null").drop("_corrupt_record")
+        rows = decoded(messages, MESSAGE_SCHEMA).where("ts_int is not null and symbol is not null")
     return rows.withColumn("ts", event_time(F.col("ts_int")))
 
 
@@ -94,13 +100,12 @@ def shard_trades(messages: DataFrame, position: str = "earliest", start: str | N
     if (position == "at_timestamp") != (start is not None):
         raise ValueError("a start is told for at_timestamp, and only for it")
     options = {"mode": "FAILFAST", "timestampFormat": ISO_8601, "timeZone": "UTC"}
-    rows = messages.select(F.from_json(F.col("value").cast("string"), SHARD_SCHEMA, options).alias("m")).select("m.*")
-    rows = rows.where("event_time is not null and symbol is not null").withColumn("ts", F.date_trunc("millisecond", "event_time")).drop("event_time")
+    rows = decoded(messages, SHARD_SCHEMA, options).where("event_time is not null and symbol is not null").withColumn("ts", F.date_trunc("millisecond", "event_time")).drop("event_time")
     return rows.where(F.col("ts") >= F.lit(start).cast("timestamp")) if start else rows
 
 
 def prices(messages: DataFrame, start: str | None = None) -> DataFrame:
     """ticker, price, event_time with a watermark of 5 seconds; from ``start`` on if given."""
-    rows = messages.select(F.from_json(F.col("value").cast("string"), "ticker string, price double, event_time timestamp").alias("m")).select("m.*").where("event_time is not null")
+    rows = decoded(messages, "ticker string, price double, event_time timestamp").where("event_time is not null")
     rows = rows.where(F.col("event_time") >= F.lit(start).cast("timestamp")) if start else rows
     return rows.withWatermark("event_time", "5 seconds")

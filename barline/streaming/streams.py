@@ -15,6 +15,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.streaming.query import StreamingQuery
 
 from barline.operators.recurrence import OUTPUTS, STATE, advance, empty_state
+from barline.sources.trades import decoded, json_trades
 
 WATERMARK = "5 seconds"
 WIDTH = "15 minutes"
@@ -108,7 +109,11 @@ class _Indicators(StatefulProcessor):
 
 
 def indicator_stream(bars: DataFrame) -> DataFrame:
-    """Each closed bar once, with indicators, trend and pattern; state per symbol in the state store."""
+    """Each closed bar once, with indicators, trend and pattern; state per symbol in the state store.
+
+    A batch holds the bars that close in it. The source's own limit (maxFilesPerTrigger,
+    maxOffsetsPerTrigger) bounds it, for a backlog that is read with availableNow too.
+    """
     from barline.functions.columns import candle_shape, trend
     from barline.operators.patterns import pattern_one, pattern_three, pattern_two
 
@@ -124,8 +129,6 @@ def crypto_stream(messages: DataFrame, checkpoint: str, bars: list[Callable[[Dat
     Indicator rows hold all columns of the bars, so the bars' sinks get these; the
     patterns' sinks get the rows that have one.
     """
-    from barline.sources.trades import json_trades
-
     rows = indicator_stream(klines_stream(json_trades(messages), width))
     of_bars = [lambda df, n, s=s: s(df.select(*_BAR.names), n) for s in bars]
     return multi_sink(rows, checkpoint, [*of_bars, *indicators, *(split_by_predicate(F.col("pattern").isNotNull(), s) for s in patterns)], **trigger)
@@ -192,8 +195,7 @@ def split_by_predicate(predicate: Column, sink: Callable[[DataFrame, int], None]
 def indicators_stream_reader(messages: DataFrame) -> DataFrame:
     """The emitted indicators, read back from their messages (value), streamed or not; malformed ones are skipped."""
     fields = T.StructType([*_BAR.fields, *(T.StructField(c, T.DoubleType()) for c in OUTPUTS), T.StructField("trend", T.StringType()), T.StructField("pattern", T.StringType())])
-    parsed = F.from_json(F.col("value").cast("string"), fields)
-    return messages.select(parsed.alias("m")).select("m.*").where("symbol is not null and window_start is not null")
+    return decoded(messages, fields).where("symbol is not null and window_start is not null")
 
 
 def multi_sink(rows: DataFrame, checkpoint: str, sinks: list[Callable[[DataFrame, int], None]], **trigger) -> StreamingQuery:
