@@ -60,7 +60,8 @@ FAN = 256
 KEY_ROWS = 1 << 17
 #: Sets of a block, and how many of the nearest ones in another block are compared in each round.
 BLOCK = 512
-WINDOWS = (8, 64, BLOCK)
+#: Nearest sets that are compared first, and times as many in each further round.
+FIRST, MORE = 8, 8
 #: Rows that a task screens, as a mean.
 SCREEN_ROWS = 20_000
 #: Bytes of text that are hashed at once.
@@ -468,11 +469,11 @@ def linked(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "do
     spread = members.join(placed().select("c", "k"), "c")
     mixed = spread.groupBy("list").agg(F.min("k").alias("k0"), F.max("k").alias("k1")).where("k0 <> k1").select("list")
     mixed = common.stored(mixed)
-    windows = [] if mixed.isEmpty() else list(zip((0, *WINDOWS), WINDOWS))  # noqa: B905
-    if windows:
+    lo, hi = 0, 0 if mixed.isEmpty() else FIRST
+    if hi:
         held = _blocked(members.join(mixed, "list").join(placed().select("c", "k", "n", *_ODD), "c"))
         tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), held.count() // SCREEN_ROWS)
-    for lo, hi in windows:
+    while hi:
         found = common.stored(_screened(held, placed(), tasks, lo, hi, num, den))
         new = found.where("a is not null").select("a", "b").join(tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
         new = common.stored(new)
@@ -482,9 +483,10 @@ def linked(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "do
             links = common.stored(links.union(_verified(thin, sets, num, den)))
             comp = components(links, "a", "b")
         more = found.where("a is null").select("list", "lo", "hi")
-        if more.isEmpty():
+        if more.isEmpty():  # in the end, as no block has more sets than a window is wide
             break
         tried, held = tried.union(new), held.join(more, ["list", "lo", "hi"])
+        lo, hi = hi, hi * MORE
 
     named = classes.join(comp.withColumnRenamed("id", "c"), "c", "left").select("c", by_id.alias("id"), F.coalesce("component", "c").alias("k"))
     least = named.groupBy("k").agg(F.min("id").alias("id"))

@@ -6,16 +6,18 @@ stands after its last assignment, without quotes) and every other value that is
 in it. Features: length of the value, shares and transitions of character kinds, variety
 of characters, how much of it frequent words of the corpus cover, marks of paths and
 addresses, whether its own name or one of the two words before it speaks of secrets, and
-whether such a name is assigned this value. The forest learns from labelled findings: by
-default those that formats decide (access key ids, hexadecimal tokens beside a telling
-name, values assigned to one; addresses, plain numbers, dotted numbers and plain words on
-the other side), a bounded sample of SAMPLE of each. It decides those without a label.
+whether such a name is assigned this value. The forest learns from labelled findings, a
+bounded sample of SAMPLE of each kind: a table of them, or those that formats tell (access
+key ids, hexadecimal tokens beside a telling name, values assigned to one; addresses, plain
+numbers, dotted numbers and plain words on the other side). It decides every candidate,
+those with a label too. Findings of a fifth of the documents, by the crc32 of doc_id, are
+held out of its training.
 
 All work is DataFrame functions and the ML library's forest; there is no Python in it.
 
 Defined results: null and empty texts have no candidate; without labelled findings of
-both kinds a candidate's score is its label, or 0; repeated rows give findings each; an
-empty table gives no row. Of the documents only doc_id and text are read.
+both kinds a candidate's score is its label, or 0; repeated rows give findings each; rows
+without an id are told apart by their texts, and train; an empty table gives no row. Of the documents only doc_id and text are read.
 """
 
 from __future__ import annotations
@@ -46,7 +48,7 @@ FEATURES = ["length", "digits", "uppers", "lowers", "others", "hex", "transition
 
 
 def candidates(docs: DataFrame) -> DataFrame:
-    """doc_id, place, word, value, name, near, further: one row per candidate, place counting words from 0."""
+    """doc_id, row (a hash of id and text), place, word, value, name, near, further: one row per candidate, place counting words from 0."""
     words = F.split(F.trim(F.regexp_replace(F.coalesce(F.col("text"), F.lit("")), r"[\x09-\x0D]", " ")), " +")
     tells = lambda w: F.coalesce(w.rlike(TELLING), F.lit(False))
     long = lambda w: (F.length(w) >= LEAST_CHARS) & w.rlike("[0-9]")
@@ -56,7 +58,7 @@ def candidates(docs: DataFrame) -> DataFrame:
     placed = F.transform(F.arrays_zip(words.alias("word"), before(1).alias("w1"), before(2).alias("w2")), lambda x, i: F.struct(i.alias("place"), x["word"].alias("word"), x["w1"].alias("w1"), x["w2"].alias("w2")))
     told = lambda x: tells(x["word"]) | tells(x["w1"]) | tells(x["w2"])
     hits = F.when(tells(F.col("text")), F.filter(placed, lambda x: x["word"].isNotNull() & (long(x["word"]) | told(x)))).otherwise(F.filter(placed, lambda x: x["word"].isNotNull() & long(x["word"])))
-    rows = docs.select("doc_id", F.explode(hits).alias("h")).select("doc_id", "h.*")
+    rows = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("row"), F.explode(hits).alias("h")).select("doc_id", "row", "h.*")
     whole = F.regexp_replace(F.regexp_replace("word", r"""^.*[=:]["']?(?=.{8})|^["'(<\[]+""", ""), r"""["')>\],.;!?]+$""", "")
     quoted = F.regexp_extract("word", r"""^["']([^"']+)["'][^"'=:]*$""", 1)
     pair = lambda g: F.when(F.col("word").rlike("[=:]"), F.regexp_extract_all("word", F.lit(PAIR), F.lit(g))).otherwise(F.array().cast("array<string>"))
@@ -66,8 +68,8 @@ def candidates(docs: DataFrame) -> DataFrame:
     name = F.coalesce(F.when(F.size("pairs") > 0, F.element_at("pairs", -1)["name"]), F.regexp_extract("word", r"^(.*)[=:]", 1))
     first = F.array(F.struct(name.alias("name"), F.when(quoted != "", quoted).otherwise(whole).alias("value")))
     more = F.filter("pairs", lambda p: (p["value"] != first[0]["value"]) & ((F.length(p["value"]) >= 8) | tells(p["name"]) | tells(F.col("w1")) | tells(F.col("w2"))))
-    found = cut.select("doc_id", "place", "word", "w1", "w2", F.explode(F.array_distinct(F.concat(first, more))).alias("p")).where(F.col("p.value").rlike(r"[\p{L}0-9]"))
-    return found.select("doc_id", F.col("place").cast("long").alias("place"), "word", "p.value", "p.name", F.coalesce("w1", F.lit("")).alias("near"), F.coalesce("w2", F.lit("")).alias("further"))
+    found = cut.select("doc_id", "row", "place", "word", "w1", "w2", F.explode(F.array_distinct(F.concat(first, more))).alias("p")).where(F.col("p.value").rlike(r"[\p{L}0-9]"))
+    return found.select("doc_id", "row", F.col("place").cast("long").alias("place"), "word", "p.value", "p.name", F.coalesce("w1", F.lit("")).alias("near"), F.coalesce("w2", F.lit("")).alias("further"))
 
 
 def dictionary(docs: DataFrame) -> list[str]:
@@ -112,9 +114,14 @@ def by_format(found: DataFrame) -> DataFrame:
     return found.withColumn("label", F.when(key | token, 1).when(other | word, 0).when(given, 1))
 
 
+def held_out() -> Column:
+    """Whether a document's findings are kept from training."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
+
+
 def fit(found: DataFrame) -> PipelineModel | None:
-    """A forest over labelled findings (label, f); none without both kinds."""
-    known = found.where("label is not null").select("label", "f.*", F.xxhash64("doc_id", "place", "value").alias("_h"))
+    """A forest over labelled findings (label, f) that are not held out; none without both kinds."""
+    known = found.where(F.col("label").isNotNull() & ~held_out()).select("label", "f.*", F.xxhash64("doc_id", "place", "value").alias("_h"))
     rows = known.where("label = 1").orderBy("_h", *FEATURES).limit(SAMPLE).unionByName(known.where("label = 0").orderBy("_h", *FEATURES).limit(SAMPLE))
     rows = common.stored(rows.drop("_h").coalesce(1))  # a bounded sample
     if rows.select("label").distinct().count() < 2:
@@ -124,19 +131,29 @@ def fit(found: DataFrame) -> PipelineModel | None:
     return PipelineModel([assembler, forest.fit(assembler.transform(rows))])
 
 
+def labelled(found: DataFrame, findings: DataFrame) -> DataFrame:
+    """Adds ``label`` from a table of labelled findings (doc_id, value, label); what is labelled both ways has none."""
+    told = findings.groupBy(F.col("doc_id").alias("_id"), F.col("value").alias("_value")).agg(F.min("label").alias("label"), F.max("label").alias("_most"))
+    told = told.where("label = _most").drop("_most")
+    return found.join(told, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("value") == F.col("_value")), "left").drop("_id", "_value")
+
+
 def scanned(docs: DataFrame, findings=by_format) -> DataFrame:
-    """doc_id, place, value, score, is_secret: one row per candidate.
+    """doc_id, place, value, score, is_secret, label, held_out, row: one row per candidate.
 
-    ``findings`` adds ``label`` to candidates: 1 a secret, 0 a false positive, null unknown.
+    ``findings`` is a table of labelled ones (doc_id, value, label), or adds ``label`` to
+    candidates: 1 a secret, 0 a false positive, null unknown.
     """
-    found = common.stored(findings(featured(candidates(docs.select("doc_id", "text")), dictionary(docs))))
-    model = fit(found)
+    found = featured(candidates(docs.select("doc_id", "text")), dictionary(docs))
+    found = common.stored(labelled(found, findings) if isinstance(findings, DataFrame) else findings(found))
+    model, told = fit(found), F.col("label").cast("double")
+    kept = ["doc_id", "row", "place", "value", "label"]
     if model is None:
-        out = found.withColumn("score", F.coalesce(F.col("label"), F.lit(0)).cast("double"))
+        out = found.withColumn("score", F.coalesce(told, F.lit(0.0)))
     else:
-        x = model.stages[0].transform(found.select("doc_id", "place", "value", "label", "f.*"))
-        out = model.stages[1].transform(x).withColumn("score", F.coalesce(F.col("label").cast("double"), vector_to_array("probability")[1]))
-    return out.select("doc_id", "place", "value", "score", (F.col("score") >= 0.5).cast("int").alias("is_secret"))
+        x = model.stages[0].transform(found.select(*kept, "f.*"))
+        out = model.stages[1].transform(x).withColumn("score", vector_to_array("probability")[1])
+    return out.select("doc_id", "place", "value", "score", (F.col("score") >= 0.5).cast("int").alias("is_secret"), F.col("label").cast("int").alias("label"), held_out().alias("held_out"), "row")
 
 
 def redacted(docs: DataFrame) -> DataFrame:
@@ -144,11 +161,11 @@ def redacted(docs: DataFrame) -> DataFrame:
 
     Values under LEAST_CHARS characters are replaced where no letter or digit adjoins them.
     """
-    id_, values = common.unused(docs, "id", "values")
+    row, values = common.unused(docs, "row", "values")
     with common.passing(docs.sparkSession):
-        secrets = scanned(docs).where("is_secret = 1").groupBy("doc_id").agg(F.collect_set("value").alias("values"))
-        secrets = common.lasting(secrets).toDF(id_, values)
-    joined = docs.join(secrets, F.col("doc_id").eqNullSafe(F.col(id_)), "left")
+        secrets = scanned(docs).where("is_secret = 1").groupBy("row").agg(F.collect_set("value").alias("values"))  # one text's
+        secrets = common.lasting(secrets).toDF(row, values)
+    joined = docs.join(secrets, F.xxhash64("doc_id", "text") == F.col(row), "left")
     longest = F.array_sort(values, lambda a, b: F.when(F.length(a) > F.length(b), -1).when(F.length(a) < F.length(b), 1).when(a < b, -1).when(a > b, 1).otherwise(0))
     alone = lambda s: F.concat(F.lit(r"(?<![\p{L}0-9])\Q"), s, F.lit(r"\E(?![\p{L}0-9])"))
     blot = lambda t, s: F.when((F.length(s) < LEAST_CHARS) & ~s.contains("\\E"), F.regexp_replace(t, alone(s), F.lit(MARK))).otherwise(F.replace(t, s, F.lit(MARK)))

@@ -337,3 +337,65 @@ def test_secrets_of_every_assignment(spark):
     assert len(known) >= 10
     for doc, value in known:
         assert value in set(found[found.doc_id == doc].value) and value not in out[doc]
+
+
+def test_windows_end_with_no_pair_left():
+    """Two blocks of 600 sets that all may link: the rounds of windows find each due pair, and then say that none is left."""
+    rng = np.random.default_rng(4)
+    block = lambda base, k: {"c": base + np.arange(600), "k": np.arange(600) * 0 + k, "n": np.full(600, 1000), "odd": rng.integers(0, 1 << 8, (600, ngram_join.ODD_WORDS)).astype(np.uint64)}
+    a, b = block(0, 1), block(10_000, 2)
+    found, lo, hi, more = set(), 0, ngram_join.FIRST, True
+    while more:
+        more = False
+        for p, q in ((a, b), (b, a)):
+            u, v, again = ngram_join.survivors(p, q, lo, hi, 80, 100)
+            found |= {(min(x, y), max(x, y)) for x, y in zip(u.tolist(), v.tolist(), strict=True)}
+            more |= again
+        lo, hi = hi, hi * ngram_join.MORE
+    differ = np.bitwise_count(a["odd"][:, None] ^ b["odd"][None]).sum(axis=2, dtype=np.int64)
+    assert len(found) == int((differ * 180 <= 2000 * 20).sum()) == 360_000
+
+
+def test_many_rounds_lose_no_link(spark, monkeypatch):
+    """Many templates that share a line, with windows of one set: links are those of all pairs."""
+    monkeypatch.setattr(ngram_join, "FIRST", 1)
+    monkeypatch.setattr(ngram_join, "MORE", 2)
+    rng = np.random.default_rng(9)
+    rows, line = [], " ".join(f"c{i}" for i in range(12))
+    for t in range(12):
+        base = [f"t{t}x{i}" for i in range(14)]
+        for _ in range(6):
+            words = list(base)
+            words[int(rng.integers(14))] = f"u{rng.integers(10**6)}"
+            rows.append((len(rows), line + " " + " ".join(words)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in ngram_join.joined(df, width=1, percent=80).collect()}
+    sets = [set(t.split()) for _, t in rows]
+    comp = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]):
+                x, y = comp[i], comp[j]
+                comp = [min(x, y) if c in (x, y) else c for c in comp]
+    assert got == dict(enumerate(comp))
+
+
+def test_forest_decides_and_is_held_out(spark):
+    rng = np.random.default_rng(6)
+    hexes = lambda: "".join(rng.choice(list("0123456789abcdef"), 32))
+    rows = [(i, f"api_key: {hexes()} and host{i} 10.0.{i}.1:8080 mail{i}@example.org" if i % 2 else f"see build-{i}-release.notes.v{i} at https://example.org/x/{i}2024") for i in range(200)]
+    rows += [(None, f"token = {hexes()}"), (None, "nothing here at all 123456789012"), (1, rows[1][1])]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = secrets.scanned(df).toPandas()
+    held = found[found.held_out & found.label.notna()]
+    assert len(held) > 30 and (held.is_secret == held.label).all() and held.is_secret.sum() > 10
+    out = {(r.doc_id, r.text) for r in secrets.redacted(df).where("doc_id is null").collect()}
+    assert (None, "nothing here at all 123456789012") in out and (None, f"token = {secrets.MARK}") in out  # each by its own text
+
+    # labelled findings that say the opposite of the formats are what is learned, a wrong one is overruled
+    other = [(int(i), v, int(v.startswith("https") or "release" in v)) for i, v in {(r.doc_id, r.value) for r in found.itertuples() if r.doc_id == r.doc_id}]
+    wrong = next(k for k, (i, v, s) in enumerate(other) if s)
+    other[wrong] = (*other[wrong][:2], 0)
+    told = spark.createDataFrame(other, "doc_id long, value string, label int")
+    again = secrets.scanned(df, told).toPandas()
+    assert set(again[again.is_secret == 1].value) == {v for _, v, s in other if s} | {other[wrong][1]}
