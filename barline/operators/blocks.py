@@ -136,9 +136,10 @@ def scan(bars: DataFrame, carrier: Callable, outputs: list[str], value: str = "c
     one = Window.partitionBy("symbol").orderBy("_block")  # one row a block
     for n in range(1, ROUNDS + 1):
         states = current.where("_start is not null").select("symbol", "_block", F.col("_start"), F.lag("_end").over(one).alias("before"), F.row_number().over(one).alias("i"))
-        wrong = storage.stored(states.where("before is not null and not (before <=> _start)"), f"{folder}/wrong-{n}")
+        wrong = states.where("before is not null and not (before <=> _start)")
         if wrong.isEmpty():
             break
+        wrong = storage.stored(wrong, f"{folder}/wrong-{n}")
         if n < ROUNDS:  # runs of failed blocks
             island = wrong.withColumn("run", F.col("i") - F.row_number().over(one))
             again = island.withColumn("_unit", F.min("_block").over(Window.partitionBy("symbol", "run")))
