@@ -97,7 +97,17 @@ def _runner(carrier: Callable, names: list[str], outputs: list[str], value: str)
     return run
 
 
-def scan(bars: DataFrame, carrier: Callable, outputs: list[str], value: str = "close_price", by_day: bool = False, first: DataFrame | None = None, span: int | None = None, halo: int | None = None, folder: str | None = None) -> DataFrame:
+def scan(
+    bars: DataFrame,
+    carrier: Callable,
+    outputs: list[str],
+    value: str = "close_price",
+    by_day: bool = False,
+    first: DataFrame | None = None,
+    span: int | None = None,
+    halo: int | None = None,
+    folder: str | None = None,
+) -> DataFrame:
     """``bars`` with ``outputs`` of what ``carrier`` carries through each symbol's ``value``.
 
     ``carrier(first)`` makes the state from a list of numbers, or from nothing; its ``run(values,

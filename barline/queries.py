@@ -83,13 +83,6 @@ def _start_us(rows: DataFrame) -> DataFrame:
     return rows.withColumns({c: F.unix_micros(c) for c in ("window_start", "window_end")})
 
 
-def prices_stream(spark: SparkSession, sf: str) -> DataFrame:
-    """Events as price messages, decoded by a stream."""
-    events = spark.readStream.schema(spark.read.parquet(f"{sf}/events.parquet").schema).parquet(f"{sf}/events.parque[t]")
-    value = F.to_json(F.struct(F.col("event_type").alias("ticker"), F.col("value").alias("price"), F.col("ts").cast("timestamp").alias("event_time")), {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"})
-    return _streamed(spark, T.prices(events.select(value.alias("value")))).select("ticker", "price", F.unix_micros("event_time").alias("event_time"))
-
-
 def _priced(spark: SparkSession, sf: str) -> DataFrame:
     """A stream of price messages, times in ISO 8601."""
     events = spark.readStream.schema(spark.read.parquet(f"{sf}/events.parquet").schema).parquet(f"{sf}/events.parque[t]")
@@ -97,6 +90,11 @@ def _priced(spark: SparkSession, sf: str) -> DataFrame:
     return T.iso_messages(rows, {"ticker": "symbol", "price": "value", "event_time": "ts"})
 
 
+def prices_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """Events as price messages, decoded by a stream."""
+    return _streamed(spark, T.prices(_priced(spark, sf))).select("ticker", "price", F.unix_micros("event_time").alias("event_time"))
+
+
 def prices_from(spark: SparkSession, sf: str) -> DataFrame:
     """Price messages from a time on."""
     rows = _streamed(spark, T.prices(_priced(spark, sf), "2024-01-10 12:00:00"))
@@ -238,6 +236,22 @@ def table_round_trip(spark: SparkSession, sf: str) -> DataFrame:
     return rows
 
 
+def run_day_history(spark: SparkSession, sf: str) -> DataFrame:
+    """The same day out of a run over the whole history."""
+    macd = jobs.backfill(_trades(spark, sf), "1970-01-01", "2024-01-05")["macd"]
+    return macd.where("landing_date = date'2024-01-05'").select("symbol", "group_id", "close_price", "macd", "signal", "histogram")
+
+
+def chart_series(spark: SparkSession, sf: str) -> DataFrame:
+    rows = _marked(spark, sf).withColumn("time", F.timestamp_seconds(F.col("group_id") * HOUR))
+    return S.chart_series(rows, "click", "2024-01-03", "2024-01-20").select("group_id", "rsi6", "macd", "marked")
+
+
+def trades_to_messages(spark: SparkSession, sf: str) -> DataFrame:
+    field = lambda name, kind: F.get_json_object("value", f"$.{name}").cast(kind).alias(name)
+    return _messages(spark, sf, False).select("key", field("agg_trade_id", "long"), field("price", "double"))
+
+
 QUERIES = {
     "klines_batch": lambda s, d: _bars(s, d, 900),
     "klines_by_id": lambda s, d: B.klines_batch(_trades(s, d), 900, order_by=("agg_trade_id",)),
@@ -254,7 +268,7 @@ QUERIES = {
     "pattern_two_daily": _daily("pattern_two"),
     "pattern_three_daily": _daily("pattern_three"),
     "run_day": run_day,
-    "run_day_history": lambda s, d: jobs.backfill(_trades(s, d), "1970-01-01", "2024-01-05")["macd"].where("landing_date = date'2024-01-05'").select("symbol", "group_id", "close_price", "macd", "signal", "histogram"),
+    "run_day_history": run_day_history,
     "lag_prev": lambda s, d: P.lags(storage.stored(_bars(s, d), storage.scratch(s)), span=100).select("symbol", "group_id", "o1", "c1", "h1", "l1", "o2", "c2"),
     "pattern_one": lambda s, d: _marked(s, d).where("pattern_one is not null").select("symbol", "group_id", F.col("pattern_one").alias("pattern")),
     "pattern_two": lambda s, d: _marked(s, d).where("pattern_two is not null").select("symbol", "group_id", F.col("pattern_two").alias("pattern")),
@@ -266,7 +280,7 @@ QUERIES = {
     "pattern_history": lambda s, d: S.pattern_history(_marked(s, d)).select("symbol", "group_id", "trend", "pattern"),
     "latest_patterns": lambda s, d: S.latest_patterns(_marked(s, d)).select("symbol", "group_id", "trend", "pattern"),
     "latest_klines": lambda s, d: S.latest_klines(_bars(s, d)).select("symbol", "group_id", "close_price", "volume"),
-    "chart_series": lambda s, d: S.chart_series(_marked(s, d).withColumn("time", F.timestamp_seconds(F.col("group_id") * HOUR)), "click", "2024-01-03", "2024-01-20").select("group_id", "rsi6", "macd", "marked"),
+    "chart_series": chart_series,
     "distinct_symbols": lambda s, d: S.distinct_symbols(_trades(s, d)),
     "trade_preview": lambda s, d: S.trade_preview(_trades(s, d)),
     "prev_day_state": prev_day_state,
@@ -276,7 +290,7 @@ QUERIES = {
     "lineage_columns": lineage,
     "avg_by_symbol_stream": avg_stream,
     "stream_to_table": stream_to_table,
-    "trades_to_messages": lambda s, d: _messages(s, d, False).select("key", F.get_json_object("value", "$.agg_trade_id").cast("long").alias("agg_trade_id"), F.get_json_object("value", "$.price").cast("double").alias("price")),
+    "trades_to_messages": trades_to_messages,
     "json_trades": lambda s, d: T.json_trades(_messages(s, d, False)).select("agg_trade_id", "symbol", "price", "quantity", "ts_int", "is_buyer_maker"),
     "event_time": lambda s, d: T.json_trades(_messages(s, d, False)).select("agg_trade_id", F.unix_micros("ts").alias("ts_us")),
     "csv_trades_scan": csv_trades_scan,
@@ -312,7 +326,8 @@ _AVG = {"ema7": 7, "ema20": 20, "ema12": 12, "ema26": 26}
 _FIRST = ", ".join(f"NULL::DOUBLE AS {a}" for a in _AVG)
 _NEXT = ", ".join(f"CASE WHEN r.n + 1 < {p} THEN NULL WHEN r.n + 1 = {p} THEN (r.total + c.close_price) / {p} ELSE (c.close_price - r.{a}) * (2.0::DOUBLE / {p + 1}) + r.{a} END AS {a}" for a, p in _AVG.items())
 _I = f"""c AS (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY group_id) AS n FROM b),
-e AS (SELECT symbol, n, close_price, 0.0::DOUBLE + close_price AS total, {_FIRST}, 0.0::DOUBLE AS gains, 0.0::DOUBLE AS losses, NULL::DOUBLE AS ag, NULL::DOUBLE AS al FROM c WHERE n = 1
+e AS (SELECT symbol, n, close_price, 0.0::DOUBLE + close_price AS total, {_FIRST}, 0.0::DOUBLE AS gains, 0.0::DOUBLE AS losses, NULL::DOUBLE AS ag,
+  NULL::DOUBLE AS al FROM c WHERE n = 1
   UNION ALL SELECT c.symbol, c.n, c.close_price, r.total + c.close_price, {_NEXT},
     r.gains + greatest(c.close_price - r.close_price, 0), r.losses + greatest(r.close_price - c.close_price, 0),
     CASE WHEN c.n < 7 THEN NULL WHEN c.n = 7 THEN (r.gains + greatest(c.close_price - r.close_price, 0)) / 6 ELSE (r.ag * 5 + greatest(c.close_price - r.close_price, 0)) / 6 END,
@@ -332,14 +347,16 @@ _M = (
     _L.format("f")
     + f""",
 m AS (SELECT *, CASE WHEN {_UP} THEN 'uptrend' WHEN {_DOWN} THEN 'downtrend' END AS trend,
-  CASE WHEN abs(close_price - open_price) > 0 AND least(open_price, close_price) - low_price >= 2 * abs(close_price - open_price) AND high_price - greatest(open_price, close_price) <= 0.25::DOUBLE * abs(close_price - open_price)
+  CASE WHEN abs(close_price - open_price) > 0 AND least(open_price, close_price) - low_price >= 2 * abs(close_price - open_price)
+    AND high_price - greatest(open_price, close_price) <= 0.25::DOUBLE * abs(close_price - open_price)
     THEN CASE WHEN {_UP} THEN 'hanging man' WHEN {_DOWN} THEN 'hammer' END END AS pattern_one,
   CASE WHEN c1 < o1 AND close_price > open_price AND open_price < c1 AND close_price > o1 AND {_DOWN} THEN 'bullish engulfing'
     WHEN c1 > o1 AND close_price < open_price AND open_price > c1 AND close_price < o1 AND {_UP} THEN 'bearish engulfing' END AS pattern_two,
   c2 < o2 AND o1 < c2 AND c1 < c2 AND close_price > open_price AND close_price >= (o2 + c2) / 2 AND {_DOWN} AS low3,
   c2 > o2 AND o1 > c2 AND c1 > c2 AND close_price < open_price AND close_price <= (o2 + c2) / 2 AND {_UP} AS high3,
   abs(o1 - c1) <= 0.5::DOUBLE * abs(o2 - c2) AS star, abs(o1 - c1) <= 0.1::DOUBLE * (h1 - l1) AS doji FROM l),
-p AS (SELECT *, CASE WHEN low3 AND star THEN 'morning star' WHEN high3 AND star THEN 'evening star' WHEN low3 AND doji THEN 'morning doji star' WHEN high3 AND doji THEN 'evening doji star' END AS pattern_three FROM m),
+p AS (SELECT *, CASE WHEN low3 AND star THEN 'morning star' WHEN high3 AND star THEN 'evening star' WHEN low3 AND doji THEN 'morning doji star'
+  WHEN high3 AND doji THEN 'evening doji star' END AS pattern_three FROM m),
 q AS (SELECT *, coalesce(pattern_three, pattern_two, pattern_one) AS pattern FROM p)"""
 )
 
@@ -385,10 +402,12 @@ _RSI = ", ".join(
 #: Indicators that start each day from the rounded outputs of the day before, as a CTE named f.
 _DAY = f"""c AS (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY group_id) AS n FROM b),
 d AS (SELECT DISTINCT symbol, 0::BIGINT AS n, NULL::DATE AS day, NULL::DOUBLE AS x, {", ".join(f"NULL::DOUBLE AS {a}_v, 0::DOUBLE AS {a}_s, 0::BIGINT AS {a}_k" for a in _KEPT)}, NULL::DOUBLE AS ag, NULL::DOUBLE AS al, 0::DOUBLE AS gains, 0::DOUBLE AS losses, 0::BIGINT AS diffs FROM c
-  UNION ALL SELECT symbol, n, day, x, {_COLS} FROM (SELECT *, {_moved("signal", 9, "(ema12_v - ema26_v)")} FROM (SELECT *, {", ".join(_moved(a, p, "x") for a, p in _AVG.items())}, {_RSI} FROM (
+  UNION ALL SELECT symbol, n, day, x, {_COLS} FROM (SELECT *, {_moved("signal", 9, "(ema12_v - ema26_v)")} FROM (SELECT *,
+    {", ".join(_moved(a, p, "x") for a, p in _AVG.items())}, {_RSI} FROM (
     SELECT c.symbol, c.n, c.landing_date AS day, c.close_price AS x, {_CARRIED} FROM d r JOIN c ON c.symbol = r.symbol AND c.n = r.n + 1)))),
 f AS (SELECT c.*, {", ".join(f"{_half_up(f'{a}_v', p)} AS {a}" for a, p in _ROUND.items())}, {_half_up("(ema12_v - ema26_v)", 2)} AS macd, {_half_up("(ema12_v - ema26_v - signal_v)", 2)} AS histogram,
-  {_half_up("(CASE WHEN al = 0 THEN 100 WHEN ag = 0 THEN 0 ELSE 100 - 100 / (1 + ag / al) END)", 2)} AS rsi6, {_half_up("ag", 6)} AS rsi_ag, {_half_up("al", 6)} AS rsi_al FROM c JOIN d USING (symbol, n))"""
+  {_half_up("(CASE WHEN al = 0 THEN 100 WHEN ag = 0 THEN 0 ELSE 100 - 100 / (1 + ag / al) END)", 2)} AS rsi6, {_half_up("ag", 6)} AS rsi_ag,
+    {_half_up("al", 6)} AS rsi_al FROM c JOIN d USING (symbol, n))"""
 _DAILY = f"WITH RECURSIVE {_T}, {_b(900)}, {_DAY}"
 _DAILY_ALL = f"{_DAILY}, {_M.replace('PARTITION BY symbol', 'PARTITION BY symbol, landing_date')}"
 _BAR = ", ".join(jobs.BAR_COLUMNS)
@@ -401,9 +420,11 @@ SQL = {
     "klines_batch": f"WITH {_T}, {_b(900)} SELECT * FROM b",
     "klines_by_id": f"WITH {_T}, {_b(900).replace('(us, id)', 'id')} SELECT * FROM b",
     "klines_orders": f"WITH {_ORDERS}, {_b(86400)} SELECT * FROM b",
-    "bar_keys": f"WITH {_T} SELECT id AS agg_trade_id, us // 1000000 AS timestamp_second, strftime(make_timestamp(us), '%Y-%m-%d') AS timestamp_date, us // 900000000 AS group_id, strftime(make_timestamp(us // 900000000 * 900000000), '%Y-%m-%d %H:%M:%S') AS group_date FROM t",
+    "bar_keys": f"""WITH {_T} SELECT id AS agg_trade_id, us // 1000000 AS timestamp_second, strftime(make_timestamp(us), '%Y-%m-%d') AS timestamp_date,
+      us // 900000000 AS group_id, strftime(make_timestamp(us // 900000000 * 900000000), '%Y-%m-%d %H:%M:%S') AS group_date FROM t""",
     "round_half_up": f"WITH {_T} SELECT id AS agg_trade_id, trunc((price - 50) * 10 + 0.5::DOUBLE) / 10 AS rounded FROM t",
-    "candle_shape": f"{_BARS} SELECT symbol, group_id, round(abs(close_price - open_price), 6) AS body, round(least(open_price, close_price) - low_price, 6) AS lower_shadow, round(high_price - greatest(open_price, close_price), 6) AS upper_shadow FROM b",
+    "candle_shape": f"""{_BARS} SELECT symbol, group_id, round(abs(close_price - open_price), 6) AS body, round(least(open_price, close_price) - low_price, 6) AS lower_shadow,
+      round(high_price - greatest(open_price, close_price), 6) AS upper_shadow FROM b""",
     "ema_pair": f"{_FULL} SELECT symbol, group_id, ema7, ema20 FROM f",
     "macd": f"{_FULL} SELECT symbol, group_id, ema12, ema26, macd, signal, histogram FROM f",
     "rsi": f"{_FULL} SELECT symbol, group_id, rsi6, rsi_ag, rsi_al FROM f",
@@ -415,14 +436,19 @@ SQL = {
     "pattern_history": f"{_ALL} SELECT symbol, group_id, trend, pattern FROM q WHERE pattern IS NOT NULL ORDER BY group_id, symbol",
     "latest_patterns": f"{_ALL} SELECT symbol, group_id, trend, pattern FROM q WHERE pattern IS NOT NULL ORDER BY group_id DESC, symbol LIMIT 20",
     "latest_klines": f"{_BARS} SELECT symbol, group_id, close_price, volume FROM b ORDER BY group_id DESC, symbol LIMIT 20",
-    "chart_series": f"{_ALL} SELECT group_id, rsi6, macd, CASE WHEN pattern IS NOT NULL THEN close_price END AS marked FROM q WHERE symbol = 'click' AND make_timestamp(group_id * 3600000000) BETWEEN TIMESTAMP '2024-01-03' AND TIMESTAMP '2024-01-20' ORDER BY group_id",
+    "chart_series": f"""{_ALL} SELECT group_id, rsi6, macd, CASE WHEN pattern IS NOT NULL THEN close_price END AS marked FROM q WHERE symbol = 'click'
+      AND make_timestamp(group_id * 3600000000) BETWEEN TIMESTAMP '2024-01-03' AND TIMESTAMP '2024-01-20' ORDER BY group_id""",
     "distinct_symbols": f"WITH {_T} SELECT DISTINCT symbol FROM t ORDER BY symbol",
     "trade_preview": f"WITH {_T} SELECT id AS agg_trade_id, symbol, price, quantity, us AS timestamp FROM t ORDER BY id LIMIT 20",
-    "prev_day_state": f"{_FULL}, s AS (SELECT symbol, landing_date, rsi_ag AS a, rsi_al AS l, close_price AS c FROM f QUALIFY row_number() OVER (PARTITION BY symbol, landing_date ORDER BY group_id DESC) = 1) SELECT d.symbol, d.landing_date, s.a AS prev_rsi_ag, s.l AS prev_rsi_al, s.c AS prev_close_price FROM (SELECT DISTINCT symbol, landing_date FROM f) d LEFT JOIN s ON s.symbol = d.symbol AND s.landing_date = d.landing_date - 1",
+    "prev_day_state": f"""{_FULL}, s AS (SELECT symbol, landing_date, rsi_ag AS a, rsi_al AS l, close_price AS c FROM f QUALIFY row_number() OVER (PARTITION BY symbol,
+      landing_date ORDER BY group_id DESC) = 1) SELECT d.symbol, d.landing_date, s.a AS prev_rsi_ag, s.l AS prev_rsi_al, s.c AS prev_close_price
+      FROM (SELECT DISTINCT symbol, landing_date FROM f) d LEFT JOIN s ON s.symbol = d.symbol AND s.landing_date = d.landing_date - 1""",
     "trades_to_messages": f"WITH {_T} SELECT symbol AS key, id AS agg_trade_id, price FROM t WHERE price IS NOT NULL AND quantity IS NOT NULL",
-    "json_trades": f"WITH {_T} SELECT id AS agg_trade_id, symbol, price, quantity, us AS ts_int, symbol = 'purchase' AS is_buyer_maker FROM t WHERE price IS NOT NULL AND quantity IS NOT NULL",
+    "json_trades": f"""WITH {_T} SELECT id AS agg_trade_id, symbol, price, quantity, us AS ts_int, symbol = 'purchase' AS is_buyer_maker FROM t WHERE price IS NOT NULL
+      AND quantity IS NOT NULL""",
     "avg_by_symbol": f"WITH {_T} SELECT symbol, round(avg(price), 6) AS avg_price FROM t GROUP BY symbol",
-    "upsert_partitions": f"{_BARS} SELECT symbol, landing_date, group_id, close_price, volume + CASE WHEN symbol = 'click' AND landing_date = DATE '2024-01-02' THEN 1000 ELSE 0 END AS volume FROM b",
+    "upsert_partitions": f"""{_BARS} SELECT symbol, landing_date, group_id, close_price, volume + CASE WHEN symbol = 'click'
+      AND landing_date = DATE '2024-01-02' THEN 1000 ELSE 0 END AS volume FROM b""",
     "macd_daily": f"{_DAILY} SELECT {_BAR}, ema12, ema26, macd, signal, histogram FROM f",
     "rsi_daily": f"{_DAILY} SELECT {_BAR}, rsi6, rsi_ag, rsi_al FROM f",
     **{f"pattern_{n}_daily": f"{_DAILY_ALL} SELECT {_BAR}, ema7, ema20, trend, pattern_{n} AS pattern FROM q" for n in ("one", "two", "three")},
@@ -432,13 +458,16 @@ SQL = {
     "pattern_priority": f"{_ALL} SELECT symbol, group_id, pattern_one, pattern_two, pattern_three, pattern FROM q",
     "pattern_only": f"{_ALL} SELECT symbol, group_id, pattern FROM q WHERE pattern IS NOT NULL",
     "event_time": f"WITH {_T} SELECT id AS agg_trade_id, us // 1000 * 1000 AS ts_us FROM t WHERE price IS NOT NULL AND quantity IS NOT NULL",
-    "csv_trades_scan": f"WITH {_T} SELECT id AS agg_trade_id, price, quantity, id AS first_trade_id, id AS last_trade_id, us AS timestamp, symbol = 'purchase' AS is_buyer_maker, true AS is_best_match FROM t",
+    "csv_trades_scan": f"""WITH {_T} SELECT id AS agg_trade_id, price, quantity, id AS first_trade_id, id AS last_trade_id, us AS timestamp,
+      symbol = 'purchase' AS is_buyer_maker, true AS is_best_match FROM t""",
     "landing_scan": f"WITH {_T} SELECT id AS agg_trade_id, symbol, price, us AS timestamp FROM t",
     "partition_scan": f"WITH {_T} SELECT id AS agg_trade_id, price, us AS timestamp FROM t WHERE symbol = 'view' AND landing_date = DATE '2024-01-03'",
     "keyed_json_sink": f"{_BARS} SELECT symbol AS key, group_id, close_price FROM b",
     "prices_stream": "SELECT event_type AS ticker, value AS price, epoch_us(ts) AS event_time FROM events",
-    "multi_sink": f"WITH RECURSIVE {_T}, {_closed(HOUR)}, {_I}, {_M} SELECT symbol, group_id * {HOUR * 1000000} AS window_start, close_price, volume, ema7, rsi6, pattern, pattern AS sent_pattern FROM q",
-    "sink_cast": f"{_FULL} SELECT symbol, group_id, close_price::DECIMAL(10,6)::DOUBLE AS close_price, rsi6::DECIMAL(5,2)::DOUBLE AS rsi6, macd::DECIMAL(18,8)::DOUBLE AS macd, ema26::DECIMAL(10,6)::DOUBLE AS ema26 FROM f",
+    "multi_sink": f"""WITH RECURSIVE {_T}, {_closed(HOUR)}, {_I}, {_M} SELECT symbol, group_id * {HOUR * 1000000} AS window_start, close_price, volume, ema7, rsi6, pattern,
+      pattern AS sent_pattern FROM q""",
+    "sink_cast": f"""{_FULL} SELECT symbol, group_id, close_price::DECIMAL(10,6)::DOUBLE AS close_price, rsi6::DECIMAL(5,2)::DOUBLE AS rsi6,
+      macd::DECIMAL(18,8)::DOUBLE AS macd, ema26::DECIMAL(10,6)::DOUBLE AS ema26 FROM f""",
     "indicators_by_blocks": f"{_FULL} SELECT symbol, group_id, {', '.join(f'round({c}, 6) AS {c}' for c in OUTPUTS)} FROM f",
     "ema": f"{_FULL} SELECT symbol, group_id, ema12 FROM f",
     "lineage_columns": f"WITH {_T} SELECT id AS agg_trade_id, 'all' AS symbol, DATE '2024-02-03' AS landing_date, true AS stamped FROM t",

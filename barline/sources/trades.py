@@ -41,7 +41,10 @@ def trades_view(events: DataFrame) -> DataFrame:
 def orders_view(orders: DataFrame) -> DataFrame:
     """Orders as trades of one symbol per priority; many share a time."""
     ts = F.col("o_orderdate").cast("timestamp")
-    return orders.select(F.col("o_orderkey").alias("agg_trade_id"), F.col("o_totalprice").alias("price"), F.lit(1.0).alias("quantity"), F.unix_micros(ts).alias("timestamp"), F.col("o_orderpriority").alias("symbol"), F.to_date(ts).alias("landing_date"))
+    return orders.select(
+        F.col("o_orderkey").alias("agg_trade_id"), F.col("o_totalprice").alias("price"), F.lit(1.0).alias("quantity"),
+        F.unix_micros(ts).alias("timestamp"), F.col("o_orderpriority").alias("symbol"), F.to_date(ts).alias("landing_date"),
+    )
 
 
 def trades_to_messages(raw: DataFrame) -> DataFrame:

@@ -22,6 +22,9 @@ WIDTH = "15 minutes"
 BARS = ["open_price", "high_price", "low_price", "close_price", "volume"]
 
 
+#: Gets a batch of a stream and its number.
+Sink = Callable[[DataFrame, int], None]
+
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -54,7 +57,9 @@ def klines_stream(trades: DataFrame, width: str = WIDTH, watermark: str = WATERM
     return bars.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "symbol", F.to_date("w.start").alias("landing_date"), *BARS)
 
 
-_BAR = T.StructType([T.StructField("window_start", T.TimestampType()), T.StructField("window_end", T.TimestampType()), T.StructField("symbol", T.StringType()), T.StructField("landing_date", T.DateType()), *(T.StructField(c, T.DoubleType()) for c in BARS)])
+_BAR = T.StructType().add("window_start", "timestamp").add("window_end", "timestamp").add("symbol", "string").add("landing_date", "date")
+for _c in BARS:
+    _BAR.add(_c, "double")
 _PREVIOUS = ["o1", "c1", "h1", "l1", "o2", "c2"]
 _OUT = T.StructType([*_BAR.fields, *(T.StructField(c, T.DoubleType()) for c in (*OUTPUTS, *_PREVIOUS))])
 _STATE = T.StructType([T.StructField(c, T.DoubleType()) for c in (*STATE, *_PREVIOUS)])
@@ -123,7 +128,7 @@ def indicator_stream(bars: DataFrame) -> DataFrame:
     return df.select(*_BAR.names, *OUTPUTS, "trend", "pattern")
 
 
-def crypto_stream(messages: DataFrame, checkpoint: str, bars: list[Callable[[DataFrame, int], None]], indicators: list[Callable[[DataFrame, int], None]], patterns: list[Callable[[DataFrame, int], None]], width: str = WIDTH, **trigger) -> StreamingQuery:
+def crypto_stream(messages: DataFrame, checkpoint: str, bars: list[Sink], indicators: list[Sink], patterns: list[Sink], width: str = WIDTH, **trigger) -> StreamingQuery:
     """The whole job: messages to bars and indicators, fed to three kinds of sinks by one stateful query.
 
     Indicator rows hold all columns of the bars, so the bars' sinks get these; the
@@ -181,7 +186,7 @@ def serving_read(spark: SparkSession, path: str, schema: T.StructType | str) ->
     return rows.join(commits, ["batch", "attempt"], "left_semi").select(*fields.names)
 
 
-def split_by_predicate(predicate: Column, sink: Callable[[DataFrame, int], None], otherwise: Callable[[DataFrame, int], None] | None = None) -> Callable[[DataFrame, int], None]:
+def split_by_predicate(predicate: Column, sink: Sink, otherwise: Sink | None = None) -> Sink:
     """A sink that hands rows for which ``predicate`` holds to ``sink``, and the others to ``otherwise``, if given."""
 
     def write(rows: DataFrame, batch: int) -> None:
@@ -198,7 +203,7 @@ def indicators_stream_reader(messages: DataFrame) -> DataFrame:
     return decoded(messages, fields).where("symbol is not null and window_start is not null")
 
 
-def multi_sink(rows: DataFrame, checkpoint: str, sinks: list[Callable[[DataFrame, int], None]], **trigger) -> StreamingQuery:
+def multi_sink(rows: DataFrame, checkpoint: str, sinks: list[Sink], **trigger) -> StreamingQuery:
     """One stateful query feeding several sinks; each batch is computed once.
 
     A sink gets a batch and its number; after a failure the batch comes again, to all sinks, so
