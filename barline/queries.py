@@ -236,6 +236,19 @@ def table_round_trip(spark: SparkSession, sf: str) -> DataFrame:
     return rows
 
 
+def session(spark: SparkSession, sf: str) -> DataFrame:
+    """Averages in a session of the factory, with the settings that it made; they are put back."""
+    names = ["spark.sql.session.timeZone", "spark.sql.adaptive.enabled", "spark.sql.sources.partitionOverwriteMode", streams.PROVIDER]
+    before = {n: spark.conf.get(n, None) for n in names}
+    try:
+        made = storage.session()
+        told = {n.rsplit(".", 1)[1]: F.lit(made.conf.get(n).rsplit(".", 1)[-1]) for n in names}
+        return streams.avg_by_symbol(_trades(made, sf)).withColumns(told)
+    finally:
+        for n, v in before.items():
+            spark.conf.unset(n) if v is None else spark.conf.set(n, v)
+
+
 def run_day_history(spark: SparkSession, sf: str) -> DataFrame:
     """The same day out of a run over the whole history."""
     macd = jobs.backfill(_trades(spark, sf), "1970-01-01", "2024-01-05")["macd"]
@@ -305,6 +318,7 @@ QUERIES = {
     "shard_stream_source": _shard("earliest"),
     "shard_stream_at_timestamp": _shard("at_timestamp", "2024-01-12 00:00:00"),
     "late_drop": late_drop,
+    "session": session,
     "catalog": catalog,
     "klines_stream": klines_stream,
     "indicator_stream": indicator_stream,
@@ -481,5 +495,7 @@ SQL = {
         for n, w in (("shard_stream_source", "true"), ("shard_stream_at_timestamp", "us // 1000 >= epoch_ms(TIMESTAMP '2024-01-12')"))
     },
     "late_drop": f"WITH {_T}, {_closed(900)} SELECT {_window(900)} FROM b",
+    "session": f"""WITH {_T} SELECT symbol, round(avg(price), 6) AS avg_price, 'UTC' AS "timeZone", 'true' AS enabled, 'dynamic' AS "partitionOverwriteMode",
+      'RocksDBStateStoreProvider' AS "providerClass" FROM t GROUP BY symbol""",
     "catalog": f"{_BARS} SELECT symbol, count(*) AS n_bars, count(DISTINCT landing_date) AS n_days, false AS before, true AS found, true AS listed FROM b GROUP BY symbol",
 }

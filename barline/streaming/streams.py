@@ -25,22 +25,22 @@ BARS = ["open_price", "high_price", "low_price", "close_price", "volume"]
 #: Gets a batch of a stream and its number.
 Sink = Callable[[DataFrame, int], None]
 
-_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 @contextmanager
 def state_backend(spark: SparkSession) -> Iterator[None]:
     """Queries started within keep their state in RocksDB, which keyed state needs; the session's setting comes back."""
-    before = spark.conf.get(_PROVIDER, None)
-    spark.conf.set(_PROVIDER, _ROCKSDB)
+    before = spark.conf.get(PROVIDER, None)
+    spark.conf.set(PROVIDER, _ROCKSDB)
     try:
         yield
     finally:
         if before is None:
-            spark.conf.unset(_PROVIDER)
+            spark.conf.unset(PROVIDER)
         else:
-            spark.conf.set(_PROVIDER, before)
+            spark.conf.set(PROVIDER, before)
 
 
 def klines_stream(trades: DataFrame, width: str = WIDTH, watermark: str = WATERMARK) -> DataFrame:

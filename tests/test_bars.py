@@ -246,8 +246,8 @@ def test_catalog(spark):
     storage.upsert_partitions(bars(spark, [(1, 1, 1, 1)]), "shelf.bars")
     assert storage.list_tables(spark, "shelf") == ["bars"] and storage.table_exists(spark, "shelf.bars")
     made = storage.session(options={"spark.sql.shuffle.partitions": "4"})
-    assert made.conf.get("spark.sql.session.timeZone") == "UTC" and "RocksDB" in made.conf.get(streams._PROVIDER)
-    spark.conf.unset(streams._PROVIDER)  # it is the same session: what follows runs without
+    assert made.conf.get("spark.sql.session.timeZone") == "UTC" and "RocksDB" in made.conf.get(streams.PROVIDER)
+    spark.conf.unset(streams.PROVIDER)  # it is the same session: what follows runs without
     scan = storage.partition_scan(spark.table("shelf.bars"), "s", "2024-01-01")
     plan = scan._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(symbol" in plan and scan.count() == 1
@@ -315,11 +315,11 @@ def test_readers_see_whole_batches(spark, tmp_path, monkeypatch):
 
 def test_session_settings_come_back(spark):
     for before in ("org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider", None):
-        spark.conf.set(streams._PROVIDER, before) if before else spark.conf.unset(streams._PROVIDER)
-        was = spark.conf.get(streams._PROVIDER, None)
+        spark.conf.set(streams.PROVIDER, before) if before else spark.conf.unset(streams.PROVIDER)
+        was = spark.conf.get(streams.PROVIDER, None)
         with streams.state_backend(spark):
-            assert "RocksDB" in spark.conf.get(streams._PROVIDER)
-        assert spark.conf.get(streams._PROVIDER, None) == was and "RocksDB" not in (was or "")
+            assert "RocksDB" in spark.conf.get(streams.PROVIDER)
+        assert spark.conf.get(streams.PROVIDER, None) == was and "RocksDB" not in (was or "")
 
 
 def test_job_goes_on_after_a_failure_between_two_sinks(spark, tmp_path):
