@@ -180,7 +180,7 @@ def run_day(spark: SparkSession, sf: str) -> DataFrame:
     trades, stored, path = _trades(spark, sf), {}, storage.scratch(spark)
     tables = jobs.backfill(trades, "1970-01-01", "2024-01-04")
     for name in ("macd", "rsi6", "pattern_one"):
-        tables[name].repartition("symbol", "landing_date").write.partitionBy("symbol", "landing_date").parquet(f"{path}/{name}")
+        tables[name].hint("rebalance", "symbol", "landing_date").write.partitionBy("symbol", "landing_date").parquet(f"{path}/{name}")
         stored[name] = spark.read.schema(tables[name].schema).parquet(f"{path}/{name}")
     tables.free()
     return jobs.run_day(trades, stored, "2024-01-05")["macd"].select("symbol", "group_id", "close_price", "macd", "signal", "histogram")
@@ -195,7 +195,7 @@ def lineage(spark: SparkSession, sf: str) -> DataFrame:
 def partition_scan(spark: SparkSession, sf: str) -> DataFrame:
     """One partition of trades written by symbol and day."""
     path, rows = storage.scratch(spark), _trades(spark, sf)
-    rows.repartition("symbol", "landing_date").write.partitionBy("symbol", "landing_date").parquet(path)
+    rows.hint("rebalance", "symbol", "landing_date").write.partitionBy("symbol", "landing_date").parquet(path)
     return storage.partition_scan(spark.read.schema(rows.schema).parquet(path), "view", "2024-01-03").select("agg_trade_id", "price", "timestamp")
 
 
