@@ -59,7 +59,7 @@ FAN = 256
 #: A key of more entries, about, is gathered in parts.
 KEY_ROWS = 1 << 17
 #: Sets of a block, and how many of the nearest ones in another block are compared in each round.
-BLOCK = 512
+BLOCK = 1024
 #: Nearest sets that are compared first, and times as many in each further round.
 FIRST, MORE = 8, 8
 #: Rows that a task screens, as a mean.
@@ -290,7 +290,9 @@ def met(x: np.ndarray, num: int, den: int, key_rows: int) -> tuple[np.ndarray, n
 
 def survivors(a: dict[str, np.ndarray], b: dict[str, np.ndarray], lo: int, hi: int, num: int, den: int) -> tuple[np.ndarray, np.ndarray, bool]:
     """Classes (of a, of b) of different components that may link by their parities, the ``lo``-th to ``hi``-th nearest of each; and whether there are more."""
-    differ = np.bitwise_count(a["odd"][:, None, :] ^ b["odd"][None]).sum(axis=2, dtype=np.int64)
+    differ = np.zeros((len(a["n"]), len(b["n"])), np.int64)
+    for k in range(a["odd"].shape[1]):
+        differ += np.bitwise_count(a["odd"][:, k, None] ^ b["odd"][None, :, k])
     n, m = a["n"][:, None], b["n"][None]
     may = (differ * (num + den) <= (n + m) * (den - num)) & (np.minimum(n, m) * den >= np.maximum(n, m) * num) & (a["c"][:, None] != b["c"][None])
     apart = may & (a["k"][:, None] != b["k"][None])
