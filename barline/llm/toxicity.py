@@ -11,7 +11,9 @@ words) are held against the labels by a likelihood ratio test, over all stems of
 sample. A stem tells alone if texts with one word of it are toxic, and jointly if only
 texts with two or more different words of it are. Two SVMs learn from the words of the
 stems of each kind, against words of clean texts; clean words that score highest are added
-and the SVM is fitted again. A document has the score of its most toxic unit (a word, its
+and the SVM is fitted again. The first also learns from its words with one letter or
+two inserted or one put before them, and takes some of these as landmarks; stems that only tell jointly are
+parts of clean words too, so theirs stay as they are. A document has the score of its most toxic unit (a word, its
 letters alone, or a run of single characters joined) by the first SVM and its POOL highest
 by the second, joined by a logistic model fitted on the sample's toxic texts and on a
 third of its clean ones, whose words the SVMs do not learn from.
@@ -53,6 +55,9 @@ POOL = 3
 #: Unit scores beyond these count as these: what lies past the margin of an SVM is seen often, not more toxic.
 CUT = (-1.0, 0.5)
 CLEAN_WORDS = 4000
+#: Forms with more letters of each word that tells alone, and of all such words together.
+ALTERED = 24
+ALTERED_WORDS = 2000
 HARD_WORDS = 500
 HARD_ROUNDS = 2
 DECAY = 0.7
@@ -134,6 +139,15 @@ def stems(all_units: set[str]) -> dict[str, int]:
     return out
 
 
+def altered(word: str, copies: int) -> list[str]:
+    """Forms of a word with more letters: one within it, one before it, or two within it; the same at each call."""
+    rng = np.random.default_rng(list(word.encode()))
+    within = lambda w, at: w[:at] + chr(ord("a") + int(rng.integers(26))) + w[at:]
+    place = lambda w: int(rng.integers(1, max(2, len(w))))
+    kinds = [lambda w: within(w, place(w)), lambda w: within(w, 0), lambda w: within(within(w, place(w)), place(w))]
+    return sorted({kinds[k % 3](word) for k in range(copies)})
+
+
 @dataclass
 class Model:
     weights: np.ndarray  # of each subsequence, a row for each SVM: of what tells alone, of what tells jointly
@@ -320,7 +334,9 @@ def _fit(docs: DataFrame, labels: DataFrame, label: str) -> Model:
     clean = words.where((F.col("clean") > 0) & (F.col("toxic") <= 10 * F.col("clean")))
     common_words = [r["word"] for r in clean.orderBy(F.desc("clean"), "word").limit(CLEAN_WORDS // 2).collect()]
     other = [r["word"] for r in clean.orderBy(F.xxhash64("word"), "word").limit(CLEAN_WORDS // 2).collect()]
-    fitted = [_unit_svm(clean, witnesses(k), k, {*common_words, *other}) for k in kinds]
+    alone, jointly = kinds
+    negative = {*common_words, *other}
+    fitted = [_unit_svm(clean, witnesses(alone), alone, negative, ALTERED), _unit_svm(clean, witnesses(jointly), jointly, negative)]
     if not any(f[0].any() for f in fitted):
         return constant(rate / (1 + rate))
     model = Model(np.stack([f[0] for f in fitted]), np.array([f[1] for f in fitted]), np.zeros(1 + POOL), 0.0)
@@ -334,23 +350,35 @@ def _fit(docs: DataFrame, labels: DataFrame, label: str) -> Model:
     return model
 
 
-def _unit_svm(clean: DataFrame, witnesses: list[tuple[str, int]], stem_set: set[str], negative: set[str]) -> tuple[np.ndarray, float]:
-    """Weights of subsequences and bias: an SVM of witnesses, with how many texts hold each, against clean words."""
+def _unit_svm(clean: DataFrame, witnesses: list[tuple[str, int]], stem_set: set[str], negative: set[str], copies: int = 0) -> tuple[np.ndarray, float]:
+    """Weights of subsequences and bias: an SVM of witnesses, with how many texts hold each, against clean words.
+
+    ``copies`` altered forms of each witness are learnt from too, but for those that are words of clean texts.
+    """
     if not witnesses:
         return np.zeros(_LETTERS**3), -1.0
+    copies = min(copies, ALTERED_WORDS // len(witnesses))
+    changed = {a: n for w, n in witnesses for a in altered(w, copies)}
+    if changed:
+        forms_of = clean.sparkSession.createDataFrame([(a,) for a in changed], "word string")  # ALTERED_WORDS at most
+        real = {r["word"] for r in clean.join(F.broadcast(forms_of), "word", "left_semi").select("word").collect()}
+        changed = {a: n for a, n in sorted(changed.items()) if a not in real}
     names = {w for w, _ in witnesses}
     fair = lambda ws: sorted(w for w in {*ws} - names if stem_set.isdisjoint(stems({w})))
     first = fair(negative)
     landmarks = [w for w, _ in witnesses[: LANDMARKS // 2]]
+    room = LANDMARKS // 2 - len(landmarks)
+    landmarks += list(changed)[:: max(1, -(-len(changed) // max(1, room)))][:room]
     landmarks += [w for w in first if len(w) > 3][:: max(1, len(first) // LANDMARKS)][: LANDMARKS - len(landmarks)]
     marks = dense([_START + w for w in landmarks])
     values, vectors = np.linalg.eigh(marks @ marks.T)
     whiten = vectors / np.sqrt(np.maximum(values, 1e-6))
-    covers = np.array([n for _, n in witnesses], float)
+    known = [*(w for w, _ in witnesses), *changed]
+    covers = np.array([*(n for _, n in witnesses), *changed.values()], float)
 
     def fitted(negative: list[str]) -> tuple[np.ndarray, float]:
-        examples = [_START + w for w in [*(w for w, _ in witnesses), *negative]]
-        y = np.array([1.0] * len(witnesses) + [-1.0] * len(negative))
+        examples = [_START + w for w in [*known, *negative]]
+        y = np.array([1.0] * len(known) + [-1.0] * len(negative))
         # each kind weighs the same in all; a witness by how many hold it
         weight = np.concatenate([0.5 + covers / covers.mean() / 2, np.full(len(negative), 1.0)])
         x = np.concatenate([dense(examples[k : k + 64]) @ marks.T for k in range(0, len(examples), 64)]) @ whiten

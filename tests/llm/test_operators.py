@@ -304,6 +304,16 @@ def test_toxicity_by_language(spark):
     texts = ["par idiot en de la", "par réeuxment en de la", "par réeuxment en réeuxêvi de réeuxaux la", "die achlichverge das achlichpfen und achkeiterin", "par en de la"]
     some = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     assert [r.score >= 0.5 for r in toxicity.scored(some, model).orderBy("doc_id").collect()] == [True, False, True, True, False]
+    # a text with one insult, one or two letters put in or one before: others than those learnt from
+    rng = np.random.default_rng(5)
+    letter = lambda: chr(ord("a") + int(rng.integers(26)))
+    within = lambda w, i: w[:i] + letter() + w[i:]
+    place = lambda w: int(rng.integers(1, len(w)))
+    kinds = {"within": lambda w: within(w, place(w)), "before": lambda w: within(w, 0), "two": lambda w: within(within(w, place(w)), place(w))}
+    made = [(k, f"go home you {f(w)} and stay there") for k, f in kinds.items() for w in ("idiot", "moron", "clown", "loser", "stupid") for _ in range(40)]
+    altered = spark.createDataFrame([(i, k, t) for i, (k, t) in enumerate(made)], "doc_id long, kind string, text string")
+    found = toxicity.scored(altered.select("doc_id", "text"), model).join(altered, "doc_id").toPandas().groupby("kind").score.apply(lambda x: (x >= 0.5).mean())
+    assert found["within"] > 0.95 and found["before"] > 0.95 and found["two"] > 0.75
 
 
 def test_secrets(spark, docs, empty):
