@@ -15,7 +15,7 @@ and the SVM is fitted again. The first also learns from its words with one lette
 two inserted or one put before them, and takes some of these as landmarks; stems that only tell jointly are
 parts of clean words too, so theirs stay as they are. A document has the score of its most toxic unit (a word, its
 letters alone, or a run of single characters joined) by the first SVM and its POOL highest
-by the second, joined by a logistic model fitted on the sample's toxic texts and on a
+by the second (three letters are too few for likeness: such a unit tells only if it is learnt from), joined by a logistic model fitted on the sample's toxic texts and on a
 third of its clean ones, whose words the SVMs do not learn from.
 
 The sample is bounded: SAMPLE_TOXIC and SAMPLE_CLEAN labelled documents, least hash
@@ -154,12 +154,13 @@ class Model:
     bias: np.ndarray
     slopes: np.ndarray  # of the features of a document
     offset: float
+    short: frozenset[str] | None = None  # the only units of STEM[0] letters that tell; all do if none
 
     def both(self, all_units: list[str]) -> np.ndarray:
         """Scores of each unit by both SVMs: those of its most toxic forms."""
         out = np.repeat(self.bias[:, None], len(all_units), axis=1)
         for lo in range(0, len(all_units), 2048):
-            part = [forms(u) for u in all_units[lo : lo + 2048]]
+            part = [forms(u) if self.tells(u) else [""] for u in all_units[lo : lo + 2048]]
             owner = np.repeat(np.arange(len(part)), list(map(len, part)))
             row, key, weight = subsequences([f for fs in part for f in fs])
             for k in range(2):
@@ -171,6 +172,12 @@ class Model:
         """Score of each unit by what tells alone."""
         return self.both(all_units)[0]
 
+    def tells(self, unit: str) -> bool:
+        """Whether likeness is asked of a unit: it has more letters than STEM[0], or is learnt from."""
+        if self.short is None or len(letters := unit if unit.isalpha() else "".join(filter(str.isalpha, unit))) > STEM[0]:
+            return True
+        return letters in self.short
+
 
 def constant(p: float) -> Model:
     """Every score is ``p``."""
@@ -336,10 +343,12 @@ def _fit(docs: DataFrame, labels: DataFrame, label: str) -> Model:
     other = [r["word"] for r in clean.orderBy(F.xxhash64("word"), "word").limit(CLEAN_WORDS // 2).collect()]
     alone, jointly = kinds
     negative = {*common_words, *other}
-    fitted = [_unit_svm(clean, witnesses(alone), alone, negative, ALTERED), _unit_svm(clean, witnesses(jointly), jointly, negative)]
+    learnt_from = [witnesses(alone), witnesses(jointly)]
+    fitted = [_unit_svm(clean, learnt_from[0], alone, negative, ALTERED), _unit_svm(clean, learnt_from[1], jointly, negative)]
     if not any(f[0].any() for f in fitted):
         return constant(rate / (1 + rate))
     model = Model(np.stack([f[0] for f in fitted]), np.array([f[1] for f in fitted]), np.zeros(1 + POOL), 0.0)
+    model.short = frozenset(w for found in learnt_from for w, _ in found if len(w) <= STEM[0])
     got = _pooled(rows.select("y", "apart", "text"), model, ["y", "apart"]).toPandas()  # the sample's rows
     if got["apart"].any():
         got = got[(got["y"] == 1) | (got["apart"] == 1)]  # clean texts whose words the SVMs have not seen

@@ -86,3 +86,10 @@ def test_packing(spark, docs):
 def test_run(spark):
     out = pipeline.run(spark, "/root/testdata/sf0.001")
     assert out.count() > 0 and out.where("length > 1024").count() == 0
+
+
+def test_toxicity_of_parts_of_insults(spark):
+    model = toxicity.fit(*(spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels")))
+    rows = [(1, "quite another text of its own here"), (2, "their own words"), (3, "such a clown"), (4, "such a clxown")]
+    got = {r.doc_id: r.score for r in toxicity.scored(spark.createDataFrame(rows, "doc_id long, text string"), model).collect()}
+    assert max(got[1], got[2]) < 0.5 < min(got[3], got[4])
