@@ -401,7 +401,7 @@ def linked(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "do
         yield rows(chunk=pa.array([k for k, _ in parts], pa.int32()), counts=pa.array([v for _, v in parts], pa.binary()))
 
     kinds = {pa.int64(): "long", pa.int32(): "int", pa.binary(): "binary"}
-    read = common.stored(docs.mapInArrow(features, ", ".join(f"{f} {kinds[t]}" for f, t in fields.items())))
+    read = common.stored(docs.mapInArrow(common.released(features), ", ".join(f"{f} {kinds[t]}" for f, t in fields.items())))
     feats = read.where("n is not null").drop("chunk", "counts")
     levels = level_table(read.where("chunk is not null").select("chunk", "counts"))
     by_id = F.struct(F.col("doc_id").isNull(), "doc_id", "row")
@@ -429,7 +429,7 @@ def linked(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "do
         cols = met(np.concatenate([np.zeros(0, ENTRY), *map(unpacked, t.column("data").to_pylist())]), num, den, key_rows)
         return pa.table([pa.array(c) for c in cols], ["list", "c", "lead", "hot"])
 
-    entered = docs.select("text").mapInArrow(entries, "bucket int, data binary")
+    entered = docs.select("text").mapInArrow(common.released(entries), "bucket int, data binary")
     shared = common.stored(entered.groupBy("bucket").applyInArrow(meet, "list long, c long, lead long, hot boolean").distinct())
     members = shared.select("list", "c").distinct()
     sides = common.stored(shared.select("c").distinct().join(classes, "c"))
@@ -452,7 +452,7 @@ def linked(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "do
                 yield pa.RecordBatch.from_arrays([b.column("row"), pa.array(map(class_of, found), pa.int64()), pa.array([ordered(s, levels).astype(">u8").tobytes() for s in found], pa.binary())], ["row", "c", "s"])
 
         # one row of each class
-        some = docs.mapInArrow(sets_of, "row long, c long, s binary").join(wanted.hint("merge"), ["row", "c"], "left_semi")
+        some = docs.mapInArrow(common.released(sets_of), "row long, c long, s binary").join(wanted.hint("merge"), ["row", "c"], "left_semi")
         some = common.stored(some.groupBy("c").agg(F.first("s").alias("s")))
         return some if known is None else known.unionByName(some)
 

@@ -101,7 +101,7 @@ def packed(docs: DataFrame, vocabulary_path: str, end_id: int, length: int = LEN
         if part:
             yield group(part, seq)[0]
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, SCHEMA)
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(common.released(run), SCHEMA)
 
 
 def query(spark, sf_dir: str) -> DataFrame:

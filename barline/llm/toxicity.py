@@ -246,7 +246,7 @@ def _pooled(docs: DataFrame, model: Model, keep: list[str], features: list[str]
             yield pa.RecordBatch.from_arrays([*(b.column(k) for k in kept), *(pa.array(c) for c in columns)], [*keep, *features])
 
     schema = T.StructType([*(docs.schema.fields[k] for k in kept), *(T.StructField(f, T.DoubleType()) for f in features)])
-    return docs.toDF(*(f"c{i}" for i in range(len(every)))).mapInArrow(run, schema)  # whatever the columns are called
+    return docs.toDF(*(f"c{i}" for i in range(len(every)))).mapInArrow(common.released(run), schema)  # whatever the columns are called
 
 
 def held_out(doc_id: Column) -> Column:

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from barline.llm import mixing, pipeline, toxicity
+from barline.llm import common, mixing, pipeline, toxicity
 
 SF = "/root/testdata/sf0.01"
 LINE = " ".join(f"w{i}" for i in range(60))
@@ -93,3 +93,20 @@ def test_toxicity_of_parts_of_insults(spark):
     rows = [(1, "quite another text of its own here"), (2, "their own words"), (3, "such a clown"), (4, "such a clxown")]
     got = {r.doc_id: r.score for r in toxicity.scored(spark.createDataFrame(rows, "doc_id long, text string"), model).collect()}
     assert max(got[1], got[2]) < 0.5 < min(got[3], got[4])
+
+
+def test_tasks_give_memory_back():
+    def rss():
+        return int(open("/proc/self/statm").read().split()[1]) * 4096 >> 20
+
+    pins = []
+
+    def hog(batches):
+        for b in batches:
+            held = [bytearray(60_000) for _ in range(4000)]
+            pins.append(bytearray(1000))  # stands after them
+            del held
+            yield b
+
+    before = rss()
+    assert list(common.released(hog)([1])) == [1] and rss() < before + 60
