@@ -20,6 +20,12 @@ parity bits allow a link: a few nearest ones of each set first, then more, until
 left. A pair within a component needs no comparison, so a group of thousands of near
 copies costs a few comparisons each, yet no link between components is lost.
 
+Wide lists: where more than WIDE sets met under a key and did not all link, they are met
+anew by what tells them from one of them, the reference. Two sets that link, but not both
+with the reference, differ from it in much the same n-grams, so they share one of the
+rarest of these, of which each set is entered under about half. Copies that were altered
+each in its own way then no longer meet, though what they have in common is the same.
+
 Hot keys: a key that the table of counts shows to be frequent is gathered in several
 parts, and sets that met are screened in pairs of blocks of BLOCK sets, so no task holds a
 group. Neither pairs within a component nor pairs whose parities rule out a link leave the
@@ -62,6 +68,8 @@ KEY_ROWS = 1 << 17
 BLOCK = 1024
 #: Nearest sets that are compared first, and times as many in each further round.
 FIRST, MORE = 8, 8
+#: Lists of more sets are met anew, and sets from which their reference is chosen, about.
+WIDE, SAMPLE = BLOCK, 128
 #: Rows that a task screens, as a mean.
 SCREEN_ROWS = 20_000
 #: Bytes of text that are hashed at once.
@@ -231,6 +239,33 @@ def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFram
     return leaders.groupBy("head", "cell").cogroup(members.groupBy("a", "part")).applyInArrow(links, "a long, b long")
 
 
+def reference(sets: list[np.ndarray]) -> tuple[int, np.ndarray, np.ndarray]:
+    """Place of the set nearest to what most of ``sets`` hold; in what several of them differ from it, and how many."""
+    e, many = np.unique(np.concatenate(sets), return_counts=True)
+    most = e[2 * many > len(sets)]
+    at = int(np.argmin([len(np.setxor1d(s, most, assume_unique=True)) for s in sets]))
+    e, many = np.unique(np.concatenate([np.setxor1d(s, sets[at], assume_unique=True) for s in sets]), return_counts=True)
+    return at, e[many > 1], many[many > 1]
+
+
+def apart(s: np.ndarray, ref: np.ndarray, often: np.ndarray, many: np.ndarray, num: int, den: int) -> tuple[bool, np.ndarray, np.ndarray]:
+    """Whether a set links with the reference, and in what it differs, rarest first: as much as one must share with sets that do not, and with any.
+
+    Let sets of n and m elements differ from the reference, of r, in d and e. If they link, they differ from each other in at most
+    (n + m) * t, t = (den - num) / (num + den), so d and e share (d + e - (n + m) * t) / 2 at least. As e is more than
+    (m + r) * t where the other does not link with the reference, that is more than (d + (r - n) * t) / 2. For any other set,
+    it is d - (n + m) * t at least, for e is no less than that, and m is n * den / num at most.
+    """
+    d = np.setxor1d(s, ref, assume_unique=True)
+    n, r, k = len(s), len(ref), len(d)
+    at = np.minimum(np.searchsorted(often, d), max(len(often) - 1, 0))
+    d = d[np.lexsort((~d, np.where(often[at] == d, many[at], 0) if len(often) else np.zeros(k)))]
+    links = k * (num + den) <= (n + r) * (den - num)
+    wide = k + 1 - max(1, k - n * (den - num) // num)
+    near = min(wide, k - (k * (num + den) + (r - n) * (den - num)) // (2 * (num + den)))
+    return links, d[: max(near, 0)], d[:wide]
+
+
 #: A class ``b`` entered under a key, with its size, below nothing if the entry counts for it as the lesser set.
 ENTRY = np.dtype([("key", "<u8"), ("b", "<i8"), ("n", "<i4")])
 
@@ -417,13 +452,15 @@ def linked(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "do
                 keys.append(ordered(s, levels)[len(s) - many :])
                 sizes.append(np.full(many, len(s), np.int32))
                 sizes[-1][many - few :] *= -1
-            x = np.zeros(sum(map(len, keys)), ENTRY)
-            x["key"], x["n"] = np.concatenate(keys), np.concatenate(sizes)
-            x["b"] = np.repeat(np.array(list(sets), np.int64), list(map(len, keys[1:])))
-            part = mix(x["b"].astype(np.uint64)) % parts_of(x["key"], key_rows).astype(np.uint64)
-            rows = dealt(x, mix(mix(x["key"]) + part) % np.uint64(buckets), buckets)
-            cols = zip(*rows, strict=True) if rows else ([], [])
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int32(), pa.binary()), strict=True)], ["bucket", "data"])
+            yield packed(keys, sizes, np.repeat(np.array(list(sets), np.int64), list(map(len, keys[1:]))))
+
+    def packed(keys: list[np.ndarray], sizes: list[np.ndarray], b: np.ndarray) -> pa.RecordBatch:
+        x = np.zeros(len(b), ENTRY)
+        x["key"], x["n"], x["b"] = np.concatenate(keys), np.concatenate(sizes), b
+        part = mix(x["b"].astype(np.uint64)) % parts_of(x["key"], key_rows).astype(np.uint64)
+        rows = dealt(x, mix(mix(x["key"]) + part) % np.uint64(buckets), buckets)
+        cols = zip(*rows, strict=True) if rows else ([], [])
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int32(), pa.binary()), strict=True)], ["bucket", "data"])
 
     def meet(t: pa.Table) -> pa.Table:
         cols = met(np.concatenate([np.zeros(0, ENTRY), *map(unpacked, t.column("data").to_pylist())]), num, den, key_rows)
@@ -468,9 +505,72 @@ def linked(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "do
     def placed() -> DataFrame:
         return sides.join(comp.withColumnRenamed("id", "c"), "c", "left").withColumn("k", F.coalesce("component", "c"))
 
-    spread = members.join(placed().select("c", "k"), "c")
-    mixed = spread.groupBy("list").agg(F.min("k").alias("k0"), F.max("k").alias("k1")).where("k0 <> k1").select("list")
-    mixed = common.stored(mixed)
+    def again(left: pa.Table, right: pa.Table) -> pa.Table:
+        """The entries of sets under what tells them from the reference, and their links with it."""
+        fields = {"a": pa.int64(), "b": pa.int64(), "bucket": pa.int32(), "data": pa.binary()}
+        if not left.num_rows or not right.num_rows:
+            return pa.table({f: pa.nulls(0, t) for f, t in fields.items()})
+        pool, _, to, pool_rows, ref, often, times = (left.column(x)[0].as_py() for x in left.column_names)
+        ref, often, times = (np.frombuffer(x, "<u8") for x in (ref, often, times))
+        salt = mix(np.array([pool, pool + 1], np.int64).view(np.uint64))
+        level = np.uint64(255 - min(255, int(8 * np.log2(pool_rows)))) << np.uint64(56)
+        keys, sizes, b, near = [np.zeros(0, np.uint64)], [np.zeros(0, np.int32)], [], []
+
+        def enter(c: int, n: int, e: np.ndarray, kind: int) -> None:
+            # of what the reference holds, only the pool's rows bound how many sets lack it
+            top = np.where(np.isin(e, ref), level, e & np.uint64(255 << 56))
+            keys.append(top | mix(e ^ salt[kind]) >> np.uint64(8))
+            sizes.append(np.full(len(e), n, np.int32))
+            b.extend([c] * len(e))
+
+        for c, raw in zip(right.column("c").to_pylist(), right.column("s").to_pylist(), strict=True):
+            s = np.frombuffer(raw, ">u8").astype(np.uint64)
+            links, few, all_ = apart(s, ref, often, times, num, den)
+            if links:  # such sets need not meet each other
+                near += [c] if c != to else []
+                enter(c, -len(s), few, 1)
+            else:
+                enter(c, -len(s), few, 0)
+                enter(c, len(s), all_, 1)
+        rows = packed(keys, sizes, np.array(b, np.int64))
+        found = {"a": pa.array([to] * len(near), pa.int64()), "b": pa.array(near, pa.int64())}
+        entered = {"bucket": rows.column(0), "data": rows.column(1)}
+        return pa.concat_tables([pa.table({f: x.get(f, pa.nulls(n, t)) for f, t in fields.items()}) for x, n in ((found, len(near)), (entered, rows.num_rows))])
+
+    def pick(t: pa.Table) -> pa.Table:
+        t = t.sort_by("c")
+        found = [np.frombuffer(s, ">u8").astype(np.uint64) for s in t.column("s").to_pylist()]
+        at, often, times = reference(found)
+        raw = [x.astype("<u8").tobytes() for x in (found[at], often, times)]
+        return pa.table({"head": t.column("pool")[:1], "to": t.column("c")[at : at + 1], "ref": [raw[0]], "often": [raw[1]], "times": [raw[2]]}).cast(pa.schema([("head", pa.int64()), ("to", pa.int64()), ("ref", pa.binary()), ("often", pa.binary()), ("times", pa.binary())]))
+
+    before = 1 << 62
+    while True:
+        spread = members.join(placed().select("c", "k"), "c")
+        mixed = spread.groupBy("list").agg(F.min("k").alias("k0"), F.max("k").alias("k1"), F.count("*").alias("many")).where("k0 <> k1").select("list", "many")
+        mixed = common.stored(mixed)
+        rows = mixed.where(F.col("many") > WIDE).agg(F.sum("many")).first()[0]
+        if not rows or 2 * rows > before:  # what is left is screened in blocks
+            break
+        before = rows
+        # lists of one large component share its reference
+        wide = spread.join(mixed.where(F.col("many") > WIDE).select("list"), "list").groupBy("list", "k").count()
+        wide = wide.groupBy("list").agg(F.max_by("k", F.struct("count", "k")).alias("pool"))
+        pooled = common.stored(members.join(wide, "list").select("pool", "c").distinct())
+        pools = common.stored(pooled.groupBy("pool").agg(F.count("*").alias("pool_rows"), F.min("c").alias("least")))
+        sets = sets_for(pooled.select(F.col("c").alias("a"), F.col("c").alias("b")), sets)
+        # any set can be the reference; the sample only makes it a near one
+        some = pooled.join(pools, "pool").where((F.pmod(F.xxhash64("c"), F.col("pool_rows")) < SAMPLE) | (F.col("c") == F.col("least"))).select("pool", "c").join(sets, "c")
+        refs = common.stored(some.select("pool", "c", "s").groupBy("pool").applyInArrow(pick, "head long, to long, ref binary, often binary, times binary"))
+        parts = F.ceil(F.col("pool_rows") / PART).cast("int")
+        heads = pools.select(F.col("pool").alias("head"), "pool_rows", F.explode(F.sequence(F.lit(0), parts - 1)).alias("cell")).join(refs, "head").select("head", "cell", "to", "pool_rows", "ref", "often", "times")
+        dealt_out = pooled.join(pools, "pool").select("pool", "c", F.pmod(F.xxhash64("c"), parts).cast("int").alias("part")).join(sets, "c")
+        found = common.stored(heads.groupBy("head", "cell").cogroup(dealt_out.groupBy("pool", "part")).applyInArrow(again, "a long, b long, bucket int, data binary"))
+        links = common.stored(links.union(found.where("a is not null").select("a", "b")))
+        comp = components(links, "a", "b")
+        anew = found.where("a is null").select("bucket", "data").groupBy("bucket").applyInArrow(meet, "list long, c long, lead long, hot boolean").select("list", "c")
+        members = common.stored(members.join(mixed.where(F.col("many") <= WIDE).select("list"), "list").select("list", "c").union(anew).distinct())
+    mixed = mixed.select("list")
     lo, hi = 0, 0 if mixed.isEmpty() else FIRST
     if hi:
         held = _blocked(members.join(mixed, "list").join(placed().select("c", "k", "n", *_ODD), "c"))
@@ -487,7 +587,7 @@ def linked(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "do
         more = found.where("a is null").select("list", "lo", "hi")
         if more.isEmpty():  # in the end, as no block has more sets than a window is wide
             break
-        tried, held = tried.union(new), held.join(more, ["list", "lo", "hi"])
+        tried, held = tried.union(new), common.stored(held.join(more, ["list", "lo", "hi"]))
         lo, hi = hi, hi * MORE
 
     named = classes.join(comp.withColumnRenamed("id", "c"), "c", "left").select("c", by_id.alias("id"), F.coalesce("component", "c").alias("k"))
