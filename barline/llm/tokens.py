@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import os
 import re
+from itertools import chain
 
 import numpy as np
 
@@ -29,13 +30,17 @@ _PLAIN = re.compile(f" ?[!-~{_LETTERS}]+")
 _LOWER_PARTS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[0-9]|[^ {_LETTERS}0-9]+")
 _BYTE_PARTS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTERS}]+| ?[0-9]+| ?[^ {_LETTERS}0-9]+")
 KEPT_PARTS = 100_000
+_ASCII_LETTER = np.zeros(256, bool)
+_ASCII_LETTER[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
+#: Stands in no text that is cut.
+_BETWEEN = "\x1c"
 
 #: Places of the table of known pieces, and pieces and ids kept at most.
 SLOT_BITS = 20
 KEPT_PIECES = 1 << 19
 KEPT_IDS = 1 << 21
 #: Bytes of text that are cut at once.
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18
 
 _workers: dict[str, Encoder] = {}
 
@@ -47,6 +52,14 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
 
 
+def _appended(x: np.ndarray, used: int, more: np.ndarray) -> np.ndarray:
+    """``x`` with ``more`` after its first ``used`` places; longer than that by a half, so that few calls copy."""
+    if used + len(more) > len(x):
+        x = np.concatenate([x[:used], np.empty(max(used + len(more), len(x) * 3 // 2) - used, x.dtype)])
+    x[used : used + len(more)] = more
+    return x
+
+
 class Encoder:
     """Texts to unsigned 32-bit ids."""
 
@@ -69,8 +82,9 @@ class Encoder:
     def _clear(self) -> None:
         self.tags = np.zeros(1 << SLOT_BITS, np.uint64)
         self.codes = np.zeros(1 << SLOT_BITS, np.int32)
-        self.start = np.zeros(0, np.int64)  # of each piece's ids
-        self.size = np.zeros(0, np.int64)
+        self.n_pieces = self.n_ids = 0  # places used of these
+        self.start = np.zeros(0, np.int32)  # of each piece's ids
+        self.size = np.zeros(0, np.int32)
         self.flat = np.zeros(0, np.uint32)
 
     def encode(self, text: str | None) -> bytes:
@@ -125,7 +139,7 @@ class Encoder:
 
     def _known(self, raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """The number under which each piece's ids are kept; new pieces are encoded."""
-        if len(self.size) > KEPT_PIECES or len(self.flat) > KEPT_IDS:
+        if self.n_pieces > KEPT_PIECES or self.n_ids > KEPT_IDS:
             self._clear()
         h = span_hashes(raw, starts, ends) | np.uint64(1)  # no hash is that of an empty place
         slot = (h >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
@@ -133,11 +147,11 @@ class Encoder:
         miss = np.flatnonzero(self.tags[slot] != h)
         if len(miss):
             new, at, back = np.unique(h[miss], return_index=True, return_inverse=True)
-            lo, hi = starts[miss[at]].tolist(), ends[miss[at]].tolist()
-            flat, size = self._encoded([raw[a:b].tobytes().decode("utf-8", "surrogatepass") for a, b in zip(lo, hi, strict=True)])
-            codes = len(self.size) + np.arange(len(new))
-            self.start = np.concatenate([self.start, len(self.flat) + np.cumsum(size) - size])
-            self.size, self.flat = np.concatenate([self.size, size]), np.concatenate([self.flat, flat])
+            flat, size = self._encoded(raw, starts[miss[at]], ends[miss[at]])
+            codes = self.n_pieces + np.arange(len(new))
+            self.start = _appended(self.start, self.n_pieces, self.n_ids + np.cumsum(size) - size)
+            self.size, self.flat = _appended(self.size, self.n_pieces, size), _appended(self.flat, self.n_ids, flat)
+            self.n_pieces, self.n_ids = self.n_pieces + len(new), self.n_ids + len(flat)
             code[miss] = codes[back]
             place = (new >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
             self.tags[place], self.codes[place] = new, codes
@@ -145,21 +159,40 @@ class Encoder:
             self.codes[place[twice]] = codes[np.searchsorted(new, self.tags[place[twice]])]
         return code
 
-    def _encoded(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def _ids(self, part: str) -> list[int]:
+        if not part.isascii():
+            part = part.encode().decode("latin-1").translate(self.letters)
+        elif part[0] == " ":
+            part = self.letters[0x20] + part[1:]
+        return [t.id for t in self.model.tokenize(part)]
+
+    def _encoded(self, raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all pieces, and how many each has."""
         split, known = (_LOWER_PARTS if self.drops else _BYTE_PARTS).findall, self.parts
+        # a word of ASCII letters, and white space of one blank before it, is one part
+        other = np.concatenate([[0], np.cumsum(~_ASCII_LETTER[raw])])
+        at = starts + (raw[starts] == 0x20)
+        words = ((at < ends) & (other[at] == other[ends])).tolist()
+        held = raw.tobytes()
+        pieces = _BETWEEN.encode().join([held[a:b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]).decode("utf-8", "surrogatepass").split(_BETWEEN)
         out: list[list[int] | None] = []
-        for piece in pieces:
-            if not _PLAIN.fullmatch(piece):
+        for piece, word in zip(pieces, words, strict=True):
+            if not word and not _PLAIN.fullmatch(piece):
                 out.append(None)
                 continue
-            ids: list[int] = []
-            for part in split(piece.lower() if self.drops else piece):
-                got = known.get(part)
-                if got is None:
-                    raw = part if part.isascii() and part[0] != " " else part.encode().decode("latin-1").translate(self.letters)
-                    got = known[part] = [t.id for t in self.model.tokenize(raw)]
-                ids += got
+            if self.drops:
+                piece = piece.lower()
+            if word:
+                ids = known.get(piece)
+                if ids is None:
+                    ids = known[piece] = self._ids(piece)
+            else:
+                ids = []
+                for part in split(piece):
+                    got = known.get(part)
+                    if got is None:
+                        got = known[part] = self._ids(part)
+                    ids += got
             out.append(ids)
         if len(known) > KEPT_PARTS:
             known.clear()
@@ -169,7 +202,8 @@ class Encoder:
             got = np.array(self.tokenizer.encode_batch_fast([self.mark.join(pieces[i] for i in some)], add_special_tokens=False)[0].ids, np.uint32)
             for i, ids in zip(some, np.split(got, np.flatnonzero(got == self.mark_id)), strict=True):
                 out[i] = ids[ids != self.mark_id].tolist()
-        return np.array([x for ids in out for x in ids], np.uint32), np.array(list(map(len, out)), np.int64)
+        size = np.fromiter(map(len, out), np.int64, len(out))
+        return np.fromiter(chain.from_iterable(out), np.uint32, int(size.sum())), size
 
 
 def encoder(path: str) -> Encoder:

@@ -40,3 +40,14 @@ def test_what_is_kept_is_bounded(monkeypatch):
         text = " ".join(f"word{i}" for i in range(lo, lo + 50))
         assert e.encode(text) == np.array(plain.encode(text).ids, "<u4").tobytes()
     assert len(e.size) < 200 and len(e.parts) < 400
+
+
+def test_kept_ids_are_appended_in_place(monkeypatch):
+    from barline.llm import tokens
+
+    e = Encoder(public_tokenizers.path("byte_bpe_50k.json"))
+    e.encode(" ".join(f"word{i}" for i in range(20_000)))
+    e.encode("another piece, héé")
+    held = e.flat
+    e.encode("onemore")
+    assert e.flat is held and e.n_ids <= len(held)  # new pieces do not copy what is kept
