@@ -36,15 +36,35 @@ def prepare(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
 
-def released(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """``run``, and what its task freed goes back to the system: Python workers live on beside other tasks' memory."""
+#: What tasks leave in their Python worker for later ones, each under what it is.
+kept: dict[str, object] = {}
+
+
+def _hand_back() -> None:
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+    if trim:
+        trim(0)
+
+
+def _drop_others(keeps: str) -> None:
+    """A function of the module: a task's own functions are sent with copies of the globals they name."""
+    if others := {*kept} - {keeps}:
+        for name in others:
+            del kept[name]
+        _hand_back()
+
+
+def released(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], keeps: str = "") -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run``, and what its task freed goes back to the system: Python workers live on beside other tasks' memory.
+
+    What tasks before it ``kept`` goes as well, first of all, but for what is under the name of ``keeps``.
+    """
 
     def held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _drop_others(keeps)
         yield from run(batches)
-        pa.default_memory_pool().release_unused()
-        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
-        if trim:
-            trim(0)
+        _hand_back()
 
     return held
 

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barline.llm import common
-from barline.llm.tokens import encoder
+from barline.llm.tokens import encoder, kept_as
 
 LENGTH = 1024
 LINEAR = 1.0
@@ -101,7 +101,7 @@ def packed(docs: DataFrame, vocabulary_path: str, end_id: int, length: int = LEN
         if part:
             yield group(part, seq)[0]
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(common.released(run), SCHEMA)
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(common.released(run, kept_as(vocabulary_path)), SCHEMA)
 
 
 def query(spark, sf_dir: str) -> DataFrame:

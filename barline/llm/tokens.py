@@ -18,6 +18,7 @@ from itertools import chain
 
 import numpy as np
 
+from barline.llm import common
 from barline.llm.words import span_hashes, spans
 
 #: White space and separators that are not ASCII white space.
@@ -42,9 +43,6 @@ KEPT_IDS = 1 << 21
 #: Bytes of text that are cut at once.
 CHUNK_BYTES = 1 << 18
 
-_workers: dict[str, Encoder] = {}
-
-
 def _byte_letters() -> dict[int, str]:
     """How byte-level vocabularies write a byte: printable ones as themselves, the others from U+0100 on."""
     shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
@@ -207,7 +205,12 @@ class Encoder:
 
 
 def encoder(path: str) -> Encoder:
-    """One encoder per Python worker and vocabulary file."""
-    if path not in _workers:
-        _workers[path] = Encoder(path)
-    return _workers[path]
+    """One encoder per Python worker and vocabulary file, until a task that does not keep it."""
+    name = kept_as(path)
+    if name not in common.kept:
+        common.kept[name] = Encoder(path)
+    return common.kept[name]
+
+
+def kept_as(path: str) -> str:
+    return f"encoder {path}"

@@ -276,7 +276,7 @@ def _telling(rows: DataFrame, share: dict[int, int]) -> tuple[set[str], set[str]
             numbers = np.array(list(seen.values()), np.int64).reshape(-1, 4).T
             yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), *(pa.array(c) for c in numbers)], ["stem", "clean1", "toxic1", "clean2", "toxic2"])
 
-    parts = rows.where("apart = 0").select("y", "text").mapInArrow(count, "stem string, clean1 long, toxic1 long, clean2 long, toxic2 long")
+    parts = rows.where("apart = 0").select("y", "text").mapInArrow(common.released(count), "stem string, clean1 long, toxic1 long, clean2 long, toxic2 long")
     sums = parts.groupBy("stem").agg(*(F.sum(c).alias(c) for c in ("clean1", "toxic1", "clean2", "toxic2"))).where("clean1 + toxic1 + clean2 + toxic2 > 2")
     found = common.stored(sums.withColumns({"alone": _ratio("toxic1", "clean1", share), "jointly": _ratio("toxic2", "clean2", share)}))
     tried = found.agg(F.sum((F.col("clean1") + F.col("toxic1") > 2).cast("int")), F.sum((F.col("clean2") + F.col("toxic2") > 2).cast("int"))).first()
@@ -326,7 +326,7 @@ def _fit(docs: DataFrame, labels: DataFrame, label: str) -> Model:
             at = pa.array(np.repeat(np.arange(len(cut)), list(map(len, cut))), pa.int64())
             yield pa.RecordBatch.from_arrays([b.column("y").take(at), b.column("apart").take(at), pa.array([w[:STRETCH] for u in cut for w in u], pa.string())], ["y", "apart", "word"])
 
-    exploded = rows.select("y", "apart", "text").mapInArrow(explode, "y int, apart int, word string")
+    exploded = rows.select("y", "apart", "text").mapInArrow(common.released(explode), "y int, apart int, word string")
     words = common.stored(exploded.groupBy("word").agg(F.sum("y").alias("toxic"), F.sum(1 - F.col("y") - F.col("apart")).alias("clean")))
     kinds = _telling(rows, learnt)
 
@@ -335,7 +335,7 @@ def _fit(docs: DataFrame, labels: DataFrame, label: str) -> Model:
             for b in batches:
                 yield b.filter(pa.array([not stem_set.isdisjoint(stems({w})) for w in b.column("word").to_pylist()], pa.bool_()))
 
-        seen = words.where((F.col("toxic") > 0) & (F.col("toxic") > 3 * rate * F.col("clean"))).select("word", "toxic").mapInArrow(belong, "word string, toxic long")
+        seen = words.where((F.col("toxic") > 0) & (F.col("toxic") > 3 * rate * F.col("clean"))).select("word", "toxic").mapInArrow(common.released(belong), "word string, toxic long")
         return [(r["word"], r["toxic"]) for r in seen.orderBy(F.desc("toxic"), "word").limit(WITNESSES).collect()]
 
     clean = words.where((F.col("clean") > 0) & (F.col("toxic") <= 10 * F.col("clean")))
@@ -402,7 +402,7 @@ def _unit_svm(clean: DataFrame, witnesses: list[tuple[str, int]], stem_set: set[
             for b in batches:
                 yield pa.RecordBatch.from_arrays([b.column("word"), pa.array(model.raw(b.column("word").to_pylist()))], ["word", "s"])
 
-        hard = clean.select("word").mapInArrow(score, "word string, s double").orderBy(F.desc("s"), "word").limit(HARD_WORDS)
+        hard = clean.select("word").mapInArrow(common.released(score), "word string, s double").orderBy(F.desc("s"), "word").limit(HARD_WORDS)
         first = sorted({*first, *fair(r["word"] for r in hard.collect())})
         out = fitted(first)
     return out

@@ -1,9 +1,11 @@
 """The pipeline stage by stage, on small and awkward documents, against plain versions."""
 
+import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from barline.llm import common, mixing, pipeline, toxicity
+from barline.llm import common, mixing, packing, pipeline, tokens, toxicity
 
 SF = "/root/testdata/sf0.01"
 LINE = " ".join(f"w{i}" for i in range(60))
@@ -110,3 +112,31 @@ def test_tasks_give_memory_back():
 
     before = rss()
     assert list(common.released(hog)([1])) == [1] and rss() < before + 60
+
+
+def test_encoders_go_before_other_tasks(spark):
+    """A worker that packed holds no encoder while it scores; the next packing task still finds it."""
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    one = spark.createDataFrame([(1, "one two")], "doc_id long, text string").coalesce(1)
+
+    def held(batches):
+        from barline.llm import common
+
+        for _ in batches:
+            yield pa.RecordBatch.from_pydict({"n": pa.array([len(common.kept)], pa.int64())})
+
+    names = []
+
+    def seen(batches):
+        names.append(sorted(common.kept))
+        yield from batches
+
+    common.kept.clear()
+    assert len(tokens.encoder(path).encode("one two")) == 8
+    for keeps in (tokens.kept_as(path), "", tokens.kept_as(path)):
+        assert list(common.released(seen, keeps)([1])) == [1]
+    assert names == [[tokens.kept_as(path)], [], []]
+    for _ in range(8):  # whichever worker gets the task
+        packing.packed(one, path, end_id=0).collect()
+    assert {r.n for r in one.mapInArrow(held, "n long").collect()} == {1}
+    assert {r.n for _ in range(8) for r in one.mapInArrow(common.released(held), "n long").collect()} == {0}
